@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.operators import clean as C
+from cartograph.operators import cooccur as CO
 from cartograph.operators import features as FT
 from cartograph.plans import oracle as O
 from cartograph.session import materialize
@@ -116,3 +117,83 @@ def q_min_max_normalize(spark, sf_dir):
 SELECT user_id, f1, f2, f3 FROM norm""")
 def q_user_features_norm(spark, sf_dir):
     return FT.normalized_user_features(_clean(spark, sf_dir))
+
+
+# ------------------------------------------------------------- co-occurrence (T2)
+
+def _edges(spark, sf_dir):
+    return CO.interaction_edges(_log(spark, sf_dir))
+
+
+def _list_text(col):
+    return F.array_join(F.col(col).cast("array<string>"), ",")
+
+
+@register("deep_interactions", O.DEEP + """
+SELECT user_id, item_id, category_id, behavior_type, ts, split FROM deep""")
+def q_deep_interactions(spark, sf_dir):
+    return C.deep_interactions(_log(spark, sf_dir)).drop("event_id")
+
+
+@register("interaction_edges", O.DEEP + """
+SELECT user_id, item_id FROM edges""")
+def q_interaction_edges(spark, sf_dir):
+    return _edges(spark, sf_dir)
+
+
+@register("inverted_index", O.DEEP + """
+SELECT item_id, user_id >> 20 AS user_block, count(*) AS n_users,
+       string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids
+FROM edges GROUP BY item_id, user_id >> 20""")
+def q_inverted_index(spark, sf_dir):
+    idx = CO.inverted_index(_edges(spark, sf_dir))
+    return idx.select("item_id", "user_block", F.size("user_ids").cast("bigint").alias("n_users"),
+                      _list_text("user_ids").alias("user_ids"))
+
+
+@register("user_baskets", O.DEEP + """
+SELECT user_id, item_id >> 20 AS item_block, count(*) AS n_items,
+       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
+FROM edges GROUP BY user_id, item_id >> 20""")
+def q_user_baskets(spark, sf_dir):
+    b = CO.user_baskets(_edges(spark, sf_dir))
+    return b.select("user_id", "item_block", F.size("item_ids").cast("bigint").alias("n_items"),
+                    _list_text("item_ids").alias("item_ids"))
+
+
+@register("item_pairs", O.PAIRS + """
+SELECT user_id, item_a, item_b FROM pairs""")
+def q_item_pairs(spark, sf_dir):
+    return CO.item_pairs(_edges(spark, sf_dir))
+
+
+@register("item_pairs_split_baskets", O.PAIRS + """
+SELECT user_id, item_a, item_b FROM pairs""")
+def q_item_pairs_split_baskets(spark, sf_dir):
+    # Same pairs with every basket above 8 items split into hash blocks:
+    # exercises the hot-user path on the whole table.
+    return CO.item_pairs(_edges(spark, sf_dir), block_size=8)
+
+
+@register("item_cooccurrence", O.PAIRS + """
+SELECT item_a, item_b, n_users FROM cooc""")
+def q_item_cooccurrence(spark, sf_dir):
+    return CO.item_cooccurrence(_edges(spark, sf_dir))
+
+
+@register("top_item_pairs", O.PAIRS + """
+SELECT item_a, item_b, n_users FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000""")
+def q_top_item_pairs(spark, sf_dir):
+    return CO.top_item_pairs(CO.item_cooccurrence(_edges(spark, sf_dir)))
+
+
+@register("cooccurrence_stats", O.PAIRS + """
+SELECT 'n_deep_rows' AS metric, count(*) AS value FROM deep
+UNION ALL SELECT 'n_edges', count(*) FROM edges
+UNION ALL SELECT 'n_items', count(DISTINCT item_id) FROM edges
+UNION ALL SELECT 'n_users', count(DISTINCT user_id) FROM edges
+UNION ALL SELECT 'n_pairs', count(*) FROM cooc""")
+def q_cooccurrence_stats(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    edges = CO.interaction_edges(log)
+    return CO.cooccurrence_stats(log, edges, CO.item_cooccurrence(edges))

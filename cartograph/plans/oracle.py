@@ -44,3 +44,8 @@ norm AS (
          round(CASE WHEN a1 = a0 THEN 0.5 ELSE (CAST(activity_count AS DOUBLE) - a0) / (a1 - a0) END, 4) AS f2,
          round(CASE WHEN v1 = v0 THEN 0.5 ELSE (value_score - v0) / (v1 - v0) END, 4) AS f3
   FROM feat, b)"""
+
+PAIRS = DEEP + """,
+pairs AS (SELECT a.user_id, a.item_id AS item_a, b.item_id AS item_b
+          FROM edges a JOIN edges b ON a.user_id = b.user_id AND a.item_id < b.item_id),
+cooc AS (SELECT item_a, item_b, count(*) AS n_users FROM pairs GROUP BY item_a, item_b)"""
