@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartograph.operators import clean as C
 from cartograph.operators import cooccur as CO
 from cartograph.operators import features as FT
+from cartograph.operators import rank as RK
 from cartograph.plans import oracle as O
 from cartograph.session import materialize
 from cartograph.sources import adapters as A
@@ -197,3 +198,142 @@ def q_cooccurrence_stats(spark, sf_dir):
     log = _log(spark, sf_dir)
     edges = CO.interaction_edges(log)
     return CO.cooccurrence_stats(log, edges, CO.item_cooccurrence(edges))
+
+
+# ------------------------------------------------------------ personal rank (T4)
+
+RANK_TARGET = O.RANK_TARGET
+UNKNOWN_TARGET = -1
+_RANK_MEMO: dict = {}
+
+
+def _graph(spark, sf_dir):
+    return RK.bipartite_edges(_edges(spark, sf_dir))
+
+
+def _walk(spark, sf_dir, target=RANK_TARGET) -> RK.RankResult:
+    key = (spark.sparkContext.applicationId, sf_dir, target)
+    if key not in _RANK_MEMO:
+        _RANK_MEMO[key] = RK.personal_rank(_graph(spark, sf_dir), target)
+    return _RANK_MEMO[key]
+
+
+def _r9(c):
+    return F.round(F.col(c), 9).alias(c)
+
+
+@register("bipartite_edges", O.GRAPH + """
+SELECT src_kind, src_id, dst_kind, dst_id FROM bi""")
+def q_bipartite_edges(spark, sf_dir):
+    return _graph(spark, sf_dir)
+
+
+@register("graph_nodes", O.GRAPH + """
+SELECT kind, id FROM nodes""")
+def q_graph_nodes(spark, sf_dir):
+    return RK.graph_nodes(_graph(spark, sf_dir))
+
+
+@register("out_degree", O.GRAPH + """
+SELECT kind, id, out_deg FROM deg""")
+def q_out_degree(spark, sf_dir):
+    return RK.out_degree(_graph(spark, sf_dir))
+
+
+@register("graph_stats", O.GRAPH + """
+SELECT 'n_nodes' AS metric, count(*) AS value FROM nodes
+UNION ALL SELECT 'n_users', count(*) FILTER (WHERE kind = 0) FROM nodes
+UNION ALL SELECT 'n_items', count(*) FILTER (WHERE kind = 1) FROM nodes
+UNION ALL SELECT 'n_edges', count(*) FROM bi""")
+def q_graph_stats(spark, sf_dir):
+    return RK.graph_stats(_graph(spark, sf_dir))
+
+
+@register("rank_init", O.GRAPH + f"""
+SELECT kind, id, 1.0::DOUBLE AS score FROM nodes WHERE kind = 0 AND id = {RANK_TARGET}""")
+def q_rank_init(spark, sf_dir):
+    return RK.rank_init(_graph(spark, sf_dir), RANK_TARGET)
+
+
+@register("rank_step", O.rank_walk(max_iter=1) + """
+SELECT kind, id, round(score, 9) AS score FROM walk WHERE turn = 1 AND score <> 0""")
+def q_rank_step(spark, sf_dir):
+    g = _graph(spark, sf_dir)
+    return RK.rank_step(g, RK.rank_init(g, RANK_TARGET), RANK_TARGET).select("kind", "id", _r9("score"))
+
+
+@register("dangling_mass", O.DEEP + f""",
+d AS (SELECT count(*) AS n FROM edges WHERE user_id = {RANK_TARGET})
+SELECT round(coalesce(sum(0.85::DOUBLE * (1.0::DOUBLE / d.n)), 0.0), 9) AS dangling
+FROM edges, d WHERE edges.user_id = {RANK_TARGET}""")
+def q_dangling_mass(spark, sf_dir):
+    # user -> item only: items have no out-edges, so one turn moves mass onto
+    # dangling nodes
+    g = RK.directed_edges(_edges(spark, sf_dir))
+    step = RK.rank_step(g, RK.rank_init(g, RANK_TARGET), RANK_TARGET)
+    return RK.dangling_mass(step, g).select(_r9("dangling"))
+
+
+@register("rank_delta", O.rank_walk(max_iter=1) + """
+SELECT round(change, 9) AS max_change FROM chg WHERE turn = 1""")
+def q_rank_delta(spark, sf_dir):
+    g = _graph(spark, sf_dir)
+    init = RK.rank_init(g, RANK_TARGET)
+    return RK.rank_delta(init, RK.rank_step(g, init, RANK_TARGET)).select(_r9("max_change"))
+
+
+@register("personal_rank", O.rank_walk() + """
+SELECT kind, id, round(score, 9) AS score FROM final WHERE score <> 0""")
+def q_personal_rank(spark, sf_dir):
+    return _walk(spark, sf_dir).scores.select("kind", "id", _r9("score"))
+
+
+@register("personal_rank_stats", O.rank_walk() + """
+SELECT CAST(stop.turn AS BIGINT) AS iterations,
+       EXISTS (SELECT 1 FROM chg WHERE change < 1e-4) AS converged FROM stop""")
+def q_personal_rank_stats(spark, sf_dir):
+    res = _walk(spark, sf_dir)
+    return spark.range(1).select(F.lit(res.iterations).cast("bigint").alias("iterations"),
+                                 F.lit(res.converged).alias("converged"))
+
+
+@register("seen_items", O.DEEP + f"""
+SELECT DISTINCT item_id FROM edges WHERE user_id = {RANK_TARGET}""")
+def q_seen_items(spark, sf_dir):
+    return RK.seen_items(_edges(spark, sf_dir), RANK_TARGET)
+
+
+_TOP = O.rank_walk() + f""",
+cand AS (SELECT n.id AS item_id, coalesce(f.score, 0.0) AS score
+         FROM nodes n LEFT JOIN final f ON f.kind = 1 AND f.id = n.id
+         WHERE n.kind = 1 AND n.id NOT IN (SELECT item_id FROM edges WHERE user_id = {RANK_TARGET})),
+top AS (SELECT CAST({RANK_TARGET} AS BIGINT) AS target_id,
+               CAST(row_number() OVER (ORDER BY score DESC, CAST(item_id AS VARCHAR)) AS INTEGER) AS rank,
+               item_id, score
+        FROM cand ORDER BY rank LIMIT 10)"""
+
+
+@register("recommend_top_k", _TOP + """
+SELECT target_id, rank, item_id, round(score, 9) AS score FROM top""")
+def q_recommend_top_k(spark, sf_dir):
+    recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
+    return recs.select("target_id", "rank", "item_id", _r9("score"))
+
+
+@register("recommendation_line", _TOP + """
+SELECT CAST(min(target_id) AS VARCHAR) || chr(9) ||
+       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+FROM top""")
+def q_recommendation_line(spark, sf_dir):
+    recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
+    return RK.recommendation_line(recs)
+
+
+@register("recommend_unknown_target", O.GRAPH + f"""
+SELECT CAST({UNKNOWN_TARGET} AS BIGINT) AS target_id,
+       CAST(row_number() OVER (ORDER BY CAST(id AS VARCHAR)) AS INTEGER) AS rank,
+       id AS item_id, 0.0::DOUBLE AS score
+FROM nodes WHERE kind = 1 ORDER BY CAST(id AS VARCHAR) LIMIT 10""")
+def q_recommend_unknown_target(spark, sf_dir):
+    res = _walk(spark, sf_dir, UNKNOWN_TARGET)
+    return RK.recommend_top_k(res, _edges(spark, sf_dir), UNKNOWN_TARGET)

@@ -49,3 +49,43 @@ PAIRS = DEEP + """,
 pairs AS (SELECT a.user_id, a.item_id AS item_a, b.item_id AS item_b
           FROM edges a JOIN edges b ON a.user_id = b.user_id AND a.item_id < b.item_id),
 cooc AS (SELECT item_a, item_b, count(*) AS n_users FROM pairs GROUP BY item_a, item_b)"""
+
+RANK_TARGET = 1
+
+# Bipartite graph, degrees and the walk as a recursive CTE (100 turns, full
+# vectors), then the first turn whose L-inf change is below 1e-4.
+GRAPH = DEEP + """,
+bi AS (SELECT 0 AS src_kind, user_id AS src_id, 1 AS dst_kind, item_id AS dst_id FROM edges
+       UNION ALL
+       SELECT 1 AS src_kind, item_id AS src_id, 0 AS dst_kind, user_id AS dst_id FROM edges),
+deg AS (SELECT src_kind AS kind, src_id AS id, count(*) AS out_deg FROM bi GROUP BY 1, 2),
+nodes AS (SELECT src_kind AS kind, src_id AS id FROM bi UNION SELECT dst_kind, dst_id FROM bi),
+wbi AS (SELECT bi.*, CAST(deg.out_deg AS DOUBLE) AS src_deg
+        FROM bi JOIN deg ON bi.src_kind = deg.kind AND bi.src_id = deg.id)"""
+
+
+def recursive(sql: str) -> str:
+    assert sql.startswith("WITH ")
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
+def rank_walk(target: int = RANK_TARGET, max_iter: int = 100) -> str:
+    return recursive(GRAPH) + f""",
+walk(turn, kind, id, score) AS (
+  SELECT 0, kind, id, CASE WHEN kind = 0 AND id = {target} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM nodes
+  UNION ALL
+  SELECT turn, kind, id, sum(rst) + 0.85::DOUBLE * sum(inc) FROM (
+    SELECT p.turn + 1 AS turn, w.dst_kind AS kind, w.dst_id AS id, p.score / w.src_deg AS inc, 0.0::DOUBLE AS rst
+    FROM walk p JOIN wbi w ON p.kind = w.src_kind AND p.id = w.src_id
+    WHERE p.turn < {max_iter}
+    UNION ALL
+    SELECT p.turn + 1, p.kind, p.id, 0.0::DOUBLE,
+           CASE WHEN p.kind = 0 AND p.id = {target} THEN 1.0::DOUBLE - 0.85::DOUBLE ELSE 0.0::DOUBLE END
+    FROM walk p WHERE p.turn < {max_iter}
+  ) GROUP BY turn, kind, id
+),
+chg AS (SELECT a.turn, max(abs(a.score - b.score)) AS change
+        FROM walk a JOIN walk b ON a.kind = b.kind AND a.id = b.id AND a.turn = b.turn + 1
+        GROUP BY a.turn),
+stop AS (SELECT coalesce(min(turn) FILTER (WHERE change < 1e-4), {max_iter}) AS turn FROM chg),
+final AS (SELECT w.kind, w.id, w.score FROM walk w JOIN stop ON w.turn = stop.turn)"""
