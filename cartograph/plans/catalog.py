@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from cartograph.operators import clean as C
 from cartograph.operators import cooccur as CO
+from cartograph.operators import cluster as KM
 from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
 from cartograph.plans import oracle as O
 from cartograph.session import materialize
 from cartograph.sources import adapters as A
+from cartograph.sources import text as TX
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -337,3 +339,110 @@ FROM nodes WHERE kind = 1 ORDER BY CAST(id AS VARCHAR) LIMIT 10""")
 def q_recommend_unknown_target(spark, sf_dir):
     res = _walk(spark, sf_dir, UNKNOWN_TARGET)
     return RK.recommend_top_k(res, _edges(spark, sf_dir), UNKNOWN_TARGET)
+
+
+# ------------------------------------------------------------------ k-means (T3)
+
+_KM_MEMO: dict = {}
+
+
+def _train_users(spark, sf_dir):
+    # user ids of every train-split line, read through the strict text path
+    lines = A.log_lines(_log(spark, sf_dir).where("split = 'train'"))
+    return TX.parse_user_ids(lines, strict=True)
+
+
+def _points(spark, sf_dir):
+    feats = FT.normalized_user_features(_clean(spark, sf_dir))
+    return KM.restrict_to_users(feats, _train_users(spark, sf_dir))
+
+
+def _kmeans(spark, sf_dir) -> KM.KMeansResult:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _KM_MEMO:
+        _KM_MEMO[key] = KM.kmeans(_points(spark, sf_dir))
+    return _KM_MEMO[key]
+
+
+def _step_centres(pts):
+    return KM.init_centres(pts, 3)[:2] + [O.FAR_CENTRE]
+
+
+@register("read_user_ids", O.EV + """
+SELECT DISTINCT user_id FROM ev WHERE split = 'train'""")
+def q_read_user_ids(spark, sf_dir):
+    return _train_users(spark, sf_dir)
+
+
+@register("restrict_to_users", O.POINTS + """
+SELECT user_id, f1, f2, f3 FROM pts""")
+def q_restrict_to_users(spark, sf_dir):
+    return _points(spark, sf_dir)
+
+
+@register("init_centres", O.POINTS + """
+SELECT cluster_id, f1, f2, f3 FROM init""")
+def q_init_centres(spark, sf_dir):
+    return KM.centres_frame(spark, KM.init_centres(_points(spark, sf_dir), 3))
+
+
+@register("assign_nearest", O.STEP_CENTRES + """
+SELECT user_id, cluster_id FROM asg""")
+def q_assign_nearest(spark, sf_dir):
+    pts = materialize(_points(spark, sf_dir), "points")
+    return KM.assign_nearest(pts, _step_centres(pts)).select("user_id", "cluster_id")
+
+
+@register("update_centres", O.STEP_CENTRES + """
+SELECT cluster_id, round(f1, 9) AS f1, round(f2, 9) AS f2, round(f3, 9) AS f3 FROM c1""")
+def q_update_centres(spark, sf_dir):
+    pts = materialize(_points(spark, sf_dir), "points")
+    return KM.update_centres_frame(pts, _step_centres(pts)).select(
+        "cluster_id", _r9("f1"), _r9("f2"), _r9("f3"))
+
+
+@register("centre_shift", O.STEP_CENTRES + f""",
+d AS (SELECT {O._dist('a', 'b')} AS dist FROM c0 a JOIN c1 b ON a.cluster_id = b.cluster_id)
+SELECT round(max(dist), 9) AS shift FROM d""")
+def q_centre_shift(spark, sf_dir):
+    pts = materialize(_points(spark, sf_dir), "points")
+    old = _step_centres(pts)
+    shift = KM.centre_shift(old, KM.update_centres(pts, old))
+    return spark.range(1).select(F.round(F.lit(shift), 9).alias("shift"))
+
+
+@register("cluster_sizes", O.STEP_CENTRES + """
+SELECT c0.cluster_id, count(a.user_id) AS n_users
+FROM c0 LEFT JOIN asg a ON a.cluster_id = c0.cluster_id GROUP BY c0.cluster_id""")
+def q_cluster_sizes(spark, sf_dir):
+    pts = materialize(_points(spark, sf_dir), "points")
+    return KM.cluster_sizes(KM.assign_nearest(pts, _step_centres(pts)))
+
+
+@register("kmeans_centres", O.kmeans_loop() + """
+SELECT cluster_id, round(f1, 9) AS f1, round(f2, 9) AS f2, round(f3, 9) AS f3 FROM centres""")
+def q_kmeans_centres(spark, sf_dir):
+    return _kmeans(spark, sf_dir).centres_frame(spark).select(
+        "cluster_id", _r9("f1"), _r9("f2"), _r9("f3"))
+
+
+@register("kmeans_labels", O.kmeans_loop() + """
+SELECT user_id, cluster_id FROM labels""")
+def q_kmeans_labels(spark, sf_dir):
+    return _kmeans(spark, sf_dir).labels
+
+
+@register("kmeans_cluster_sizes", O.kmeans_loop() + """
+SELECT c.cluster_id, count(l.user_id) AS n_users
+FROM centres c LEFT JOIN labels l ON l.cluster_id = c.cluster_id GROUP BY c.cluster_id""")
+def q_kmeans_cluster_sizes(spark, sf_dir):
+    return KM.cluster_sizes(_kmeans(spark, sf_dir).labels)
+
+
+@register("kmeans_stats", O.kmeans_loop() + """
+SELECT CAST(kstop.turn AS BIGINT) AS iterations,
+       EXISTS (SELECT 1 FROM shift WHERE shift < 1e-4) AS converged FROM kstop""")
+def q_kmeans_stats(spark, sf_dir):
+    res = _kmeans(spark, sf_dir)
+    return spark.range(1).select(F.lit(res.iterations).cast("bigint").alias("iterations"),
+                                 F.lit(res.converged).alias("converged"))

@@ -89,3 +89,52 @@ chg AS (SELECT a.turn, max(abs(a.score - b.score)) AS change
         GROUP BY a.turn),
 stop AS (SELECT coalesce(min(turn) FILTER (WHERE change < 1e-4), {max_iter}) AS turn FROM chg),
 final AS (SELECT w.kind, w.id, w.score FROM walk w JOIN stop ON w.turn = stop.turn)"""
+
+# K-means over the rounded scaled features of training users (any train-split
+# row counts, also an unknown behaviour); initial centres = the 3 smallest ids.
+POINTS = NORM + """,
+train_users AS (SELECT DISTINCT user_id FROM ev WHERE split = 'train'),
+pts AS (SELECT user_id, f1, f2, f3 FROM norm WHERE user_id IN (SELECT user_id FROM train_users)),
+init AS (SELECT CAST(row_number() OVER (ORDER BY user_id) - 1 AS INTEGER) AS cluster_id, f1, f2, f3
+         FROM pts ORDER BY user_id LIMIT 3)"""
+
+
+def _dist(p: str, c: str) -> str:
+    return (f"sqrt(({p}.f1 - {c}.f1) * ({p}.f1 - {c}.f1) + ({p}.f2 - {c}.f2) * ({p}.f2 - {c}.f2)"
+            f" + ({p}.f3 - {c}.f3) * ({p}.f3 - {c}.f3))")
+
+
+def kmeans_loop(max_iter: int = 20, init: str = "init") -> str:
+    return recursive(POINTS) + f""",
+km(turn, cluster_id, f1, f2, f3) AS (
+  SELECT 0, cluster_id, f1, f2, f3 FROM {init}
+  UNION ALL
+  SELECT c.turn + 1, c.cluster_id, coalesce(m.f1, c.f1), coalesce(m.f2, c.f2), coalesce(m.f3, c.f3)
+  FROM km c LEFT JOIN (
+    SELECT turn, cid, sum(f1) / count(*) AS f1, sum(f2) / count(*) AS f2, sum(f3) / count(*) AS f3
+    FROM (SELECT k2.turn, p.user_id, p.f1, p.f2, p.f3,
+                 arg_min(k2.cluster_id, [{_dist('p', 'k2')}, k2.cluster_id]) AS cid
+          FROM pts p, km k2 GROUP BY k2.turn, p.user_id, p.f1, p.f2, p.f3)
+    GROUP BY turn, cid) m ON m.turn = c.turn AND m.cid = c.cluster_id
+  WHERE c.turn < {max_iter}
+),
+shift AS (SELECT a.turn, max({_dist('a', 'b')}) AS shift
+          FROM km a JOIN km b ON a.cluster_id = b.cluster_id AND a.turn = b.turn + 1 GROUP BY a.turn),
+kstop AS (SELECT coalesce(min(turn) FILTER (WHERE shift < 1e-4), {max_iter}) AS turn FROM shift),
+centres AS (SELECT km.cluster_id, km.f1, km.f2, km.f3 FROM km JOIN kstop ON km.turn = kstop.turn),
+labels AS (SELECT p.user_id, arg_min(c.cluster_id, [{_dist('p', 'c')}, c.cluster_id]) AS cluster_id
+           FROM pts p, centres c GROUP BY p.user_id)"""
+
+
+# Fixed centres for the single-step queries: the two smallest ids' rows and a
+# far-away centre that stays empty.
+FAR_CENTRE = (5.0, 5.0, 5.0)
+STEP_CENTRES = POINTS + f""",
+c0 AS (SELECT cluster_id, f1, f2, f3 FROM init WHERE cluster_id < 2
+       UNION ALL SELECT 2, {FAR_CENTRE[0]}::DOUBLE, {FAR_CENTRE[1]}::DOUBLE, {FAR_CENTRE[2]}::DOUBLE),
+asg AS (SELECT p.user_id, p.f1, p.f2, p.f3, arg_min(c.cluster_id, [{_dist('p', 'c')}, c.cluster_id]) AS cluster_id
+        FROM pts p, c0 c GROUP BY p.user_id, p.f1, p.f2, p.f3),
+c1 AS (SELECT c0.cluster_id, coalesce(m.f1, c0.f1) AS f1, coalesce(m.f2, c0.f2) AS f2, coalesce(m.f3, c0.f3) AS f3
+       FROM c0 LEFT JOIN (SELECT cluster_id, sum(f1) / count(*) AS f1, sum(f2) / count(*) AS f2,
+                                 sum(f3) / count(*) AS f3 FROM asg GROUP BY cluster_id) m
+       ON m.cluster_id = c0.cluster_id)"""
