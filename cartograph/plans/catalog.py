@@ -16,7 +16,7 @@ from cartograph.operators import cluster as KM
 from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
 from cartograph.plans import oracle as O
-from cartograph.session import materialize
+from cartograph.session import materialize, scratch_path
 from cartograph.sources import adapters as A
 from cartograph.sources import text as TX
 
@@ -446,3 +446,65 @@ def q_kmeans_stats(spark, sf_dir):
     res = _kmeans(spark, sf_dir)
     return spark.range(1).select(F.lit(res.iterations).cast("bigint").alias("iterations"),
                                  F.lit(res.converged).alias("converged"))
+
+
+# ------------------------------------------------------------ text sources (T1-T4)
+
+def _lines(spark, sf_dir):
+    # written once, so the parser reads a plain text column as it would from files
+    return materialize(A.damaged_log_lines(spark, sf_dir), "log-lines")
+
+
+def _text_files(spark, sf_dir) -> list[str]:
+    """Damaged lines written as text, one directory per split (train, test)."""
+    lines = A.damaged_log_lines(spark, sf_dir)
+    base = scratch_path(spark, "log-text")
+    paths = []
+    for split in ("train", "test"):
+        path = f"{base}/{split}"
+        lines.where(F.col("split") == split).select("value").write.text(path)
+        paths.append(path)
+    return paths
+
+
+@register("read_lines", O.LINES + """
+SELECT value FROM lines""")
+def q_read_lines(spark, sf_dir):
+    return TX.read_lines(spark, _text_files(spark, sf_dir))
+
+
+@register("parse_behavior_lines", O.parsed() + """
+SELECT split, user_id, item_id, category_id, behavior_type, ts FROM parsed""")
+def q_parse_behavior_lines(spark, sf_dir):
+    return TX.parse_behavior_lines(_lines(spark, sf_dir), keep=["split"])
+
+
+@register("parse_behavior_lines_lenient", O.parsed(False) + """
+SELECT split, user_id, item_id, category_id, behavior_type, ts FROM parsed""")
+def q_parse_behavior_lines_lenient(spark, sf_dir):
+    return TX.parse_behavior_lines(_lines(spark, sf_dir), require_category=False, keep=["split"])
+
+
+@register("rejected_lines", O.parsed() + """
+SELECT value, reason FROM rejected""")
+def q_rejected_lines(spark, sf_dir):
+    return TX.rejected_lines(_lines(spark, sf_dir))
+
+
+@register("rejected_lines_lenient", O.parsed(False) + """
+SELECT value, reason FROM rejected""")
+def q_rejected_lines_lenient(spark, sf_dir):
+    return TX.rejected_lines(_lines(spark, sf_dir), require_category=False)
+
+
+@register("read_behavior_log", O.parsed() + """
+SELECT user_id, item_id, category_id, behavior_type, ts FROM parsed""")
+def q_read_behavior_log(spark, sf_dir):
+    return TX.read_behavior_log(spark, _text_files(spark, sf_dir))
+
+
+@register("clean_log_from_text", O.parsed() + """
+SELECT user_id, item_id, category_id, behavior_type, ts FROM parsed
+WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy')""")
+def q_clean_log_from_text(spark, sf_dir):
+    return C.clean_behavior_log(TX.read_behavior_log(spark, _text_files(spark, sf_dir)))

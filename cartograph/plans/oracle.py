@@ -138,3 +138,51 @@ c1 AS (SELECT c0.cluster_id, coalesce(m.f1, c0.f1) AS f1, coalesce(m.f2, c0.f2)
        FROM c0 LEFT JOIN (SELECT cluster_id, sum(f1) / count(*) AS f1, sum(f2) / count(*) AS f2,
                                  sum(f3) / count(*) AS f3 FROM asg GROUP BY cluster_id) m
        ON m.cluster_id = c0.cluster_id)"""
+
+# Text adapter: the events log rendered as lines, damaged by event_id % 20.
+JTRIM = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+
+
+def _jtrim(x: str) -> str:
+    return JTRIM.format(x=x)
+
+
+def _int_parse(x: str, typ: str) -> str:
+    t = _jtrim(x)
+    return f"CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+') THEN TRY_CAST({t} AS {typ}) END"
+
+
+LINES = EV + """,
+fields AS (SELECT event_id, split, CAST(user_id AS VARCHAR) AS u, CAST(item_id AS VARCHAR) AS i,
+                  CAST(category_id AS VARCHAR) AS c, behavior_type AS b, CAST(ts AS VARCHAR) AS t FROM ev),
+lines AS (
+  SELECT event_id, split, CASE event_id % 20
+    WHEN 0 THEN concat_ws(',', u, i, c, b)
+    WHEN 1 THEN concat_ws(',', u, i, 'x', b, t)
+    WHEN 2 THEN concat_ws(',', '1.5', i, c, b, t)
+    WHEN 3 THEN concat_ws(',', u, i, c, ' ' || upper(b) || ' ', t)
+    WHEN 4 THEN concat_ws(',', u, i, c, b, t, 'extra')
+    WHEN 5 THEN concat_ws(',', u, i, '9999999999', b, t)
+    WHEN 6 THEN 'user_id,item_id,category_id,behavior_type,timestamp'
+    WHEN 7 THEN ''
+    ELSE concat_ws(',', u, i, c, b, t) END AS value
+  FROM fields),
+data AS (SELECT split, value, string_split(value, ',') AS parts FROM lines
+         WHERE NOT starts_with(value, 'user_id') AND """ + _jtrim("value") + """ <> ''),
+typed AS (
+  SELECT split, value, len(parts) AS n,
+         """ + _int_parse("parts[1]", "BIGINT") + """ AS user_id,
+         """ + _int_parse("parts[2]", "BIGINT") + """ AS item_id,
+         """ + _int_parse("parts[3]", "INTEGER") + """ AS category_id,
+         lower(""" + _jtrim("parts[4]") + """) AS behavior_type,
+         """ + _int_parse("parts[5]", "BIGINT") + """ AS ts
+  FROM data)"""
+
+
+def parsed(require_category: bool = True) -> str:
+    cat = " AND category_id IS NOT NULL" if require_category else ""
+    return LINES + f""",
+parsed AS (SELECT split, user_id, item_id, category_id, behavior_type, ts FROM typed
+           WHERE n >= 5 AND user_id IS NOT NULL AND item_id IS NOT NULL AND ts IS NOT NULL{cat}),
+rejected AS (SELECT value, CASE WHEN n < 5 THEN 'arity' ELSE 'number' END AS reason FROM typed
+             WHERE NOT (n >= 5 AND user_id IS NOT NULL AND item_id IS NOT NULL AND ts IS NOT NULL{cat}))"""
