@@ -10,11 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartograph import sinks as SK
 from cartograph.operators import clean as C
 from cartograph.operators import cooccur as CO
 from cartograph.operators import cluster as KM
 from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
+from cartograph.plans import jobs as J
 from cartograph.plans import oracle as O
 from cartograph.session import materialize, scratch_path
 from cartograph.sources import adapters as A
@@ -508,3 +510,107 @@ SELECT user_id, item_id, category_id, behavior_type, ts FROM parsed
 WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy')""")
 def q_clean_log_from_text(spark, sf_dir):
     return C.clean_behavior_log(TX.read_behavior_log(spark, _text_files(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ end-to-end jobs
+
+def _clean_text_files(spark, sf_dir) -> list[str]:
+    """Undamaged log lines per split (the training-user file of the clustering job)."""
+    lines = A.log_lines(_log(spark, sf_dir))
+    base = scratch_path(spark, "log-clean-text")
+    paths = []
+    for split in ("train", "test"):
+        path = f"{base}/{split}"
+        lines.where(F.col("split") == split).select("value").write.text(path)
+        paths.append(path)
+    return paths
+
+
+@register("run_features", O.NORM_TEXT + """
+SELECT user_id, f1, f2, f3 FROM norm""")
+def q_run_features(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return J.run_features(spark, train, test, scratch_path(spark, "job-features")).result
+
+
+@register("run_cooccurrence", O.PAIRS_TEXT + """
+SELECT printf('%d,%d', item_a, item_b) || chr(9) || CAST(n_users AS VARCHAR) AS value
+FROM (SELECT * FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000)""")
+def q_run_cooccurrence(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return J.run_cooccurrence(spark, train, test, scratch_path(spark, "job-cooccurrence")).result
+
+
+@register("run_clustering", O.kmeans_loop_text() + """
+SELECT CAST(user_id AS VARCHAR) || ',' || CAST(cluster_id AS VARCHAR) AS value FROM labels""")
+def q_run_clustering(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    feats = J.run_features(spark, train, test, scratch_path(spark, "job-features")).paths["features"]
+    clean_train, _ = _clean_text_files(spark, sf_dir)
+    return J.run_clustering(spark, feats, scratch_path(spark, "job-clustering"), clean_train).result
+
+
+@register("run_rank", O.rank_walk_text() + f""",
+cand AS (SELECT n.id AS item_id, coalesce(f.score, 0.0) AS score
+         FROM nodes n LEFT JOIN final f ON f.kind = 1 AND f.id = n.id
+         WHERE n.kind = 1 AND n.id NOT IN (SELECT item_id FROM edges WHERE user_id = {RANK_TARGET})),
+top AS (SELECT item_id, score, row_number() OVER (ORDER BY score DESC, CAST(item_id AS VARCHAR)) AS rank
+        FROM cand ORDER BY rank LIMIT 10)
+SELECT '{RANK_TARGET}' || chr(9) ||
+       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+FROM top""")
+def q_run_rank(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return J.run_rank(spark, train, test, scratch_path(spark, "job-rank"), RANK_TARGET).result
+
+
+# ------------------------------------------------------------- sink round trips
+
+def _round_trip(spark, writer, df, name):
+    path = scratch_path(spark, name)
+    writer(df, path)
+    return spark.read.text(path)
+
+
+@register("write_clean_log", O.CLEAN + """
+SELECT concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR),
+                 behavior_type, CAST(ts AS VARCHAR)) AS value FROM clean""")
+def q_write_clean_log(spark, sf_dir):
+    return _round_trip(spark, SK.write_clean_log, _clean(spark, sf_dir), "sink-clean-log")
+
+
+@register("write_user_features", O.NORM + """
+SELECT CAST(user_id AS VARCHAR) || ',' || printf('%.4f', f1) || ',' || printf('%.4f', f2) || ','
+       || printf('%.4f', f3) AS value FROM norm""")
+def q_write_user_features(spark, sf_dir):
+    return _round_trip(spark, SK.write_user_features,
+                       FT.normalized_user_features(_clean(spark, sf_dir)), "sink-features")
+
+
+@register("write_inverted_index", O.DEEP + """
+SELECT CAST(item_id AS VARCHAR) || chr(9) || string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS value
+FROM edges GROUP BY item_id, user_id >> 20""")
+def q_write_inverted_index(spark, sf_dir):
+    return _round_trip(spark, SK.write_inverted_index, CO.inverted_index(_edges(spark, sf_dir)),
+                       "sink-index")
+
+
+@register("write_cooccurrence", O.PAIRS + """
+SELECT printf('%d,%d', item_a, item_b) || chr(9) || CAST(n_users AS VARCHAR) AS value
+FROM (SELECT * FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000)""")
+def q_write_cooccurrence(spark, sf_dir):
+    return _round_trip(spark, SK.write_cooccurrence,
+                       CO.top_item_pairs(CO.item_cooccurrence(_edges(spark, sf_dir))), "sink-pairs")
+
+
+@register("write_centres", O.kmeans_loop() + """
+SELECT CAST(cluster_id AS VARCHAR) || chr(9) || printf('%.4f', f1) || ',' || printf('%.4f', f2) || ','
+       || printf('%.4f', f3) AS value FROM centres""")
+def q_write_centres(spark, sf_dir):
+    return _round_trip(spark, SK.write_centres, _kmeans(spark, sf_dir).centres_frame(spark), "sink-centres")
+
+
+@register("write_labels", O.kmeans_loop() + """
+SELECT CAST(user_id AS VARCHAR) || ',' || CAST(cluster_id AS VARCHAR) AS value FROM labels""")
+def q_write_labels(spark, sf_dir):
+    return _round_trip(spark, SK.write_labels, _kmeans(spark, sf_dir).labels, "sink-labels")

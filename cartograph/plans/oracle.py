@@ -186,3 +186,30 @@ parsed AS (SELECT split, user_id, item_id, category_id, behavior_type, ts FROM t
            WHERE n >= 5 AND user_id IS NOT NULL AND item_id IS NOT NULL AND ts IS NOT NULL{cat}),
 rejected AS (SELECT value, CASE WHEN n < 5 THEN 'arity' ELSE 'number' END AS reason FROM typed
              WHERE NOT (n >= 5 AND user_id IS NOT NULL AND item_id IS NOT NULL AND ts IS NOT NULL{cat}))"""
+
+
+def _over_text(sql: str, prefix: str, require_category: bool, table: str) -> str:
+    """Re-base a query written over ``ev`` onto the parsed text lines."""
+    assert sql.startswith(prefix)
+    return parsed(require_category) + f""",
+src AS (SELECT user_id, item_id, category_id, behavior_type, ts, split FROM parsed),
+{table}""" + sql[len(prefix):]
+
+
+_CLEAN_TAIL = "clean AS (SELECT * FROM src WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy'))"
+_DEEP_TAIL = ("deep AS (SELECT * FROM src WHERE behavior_type IN ('cart', 'fav', 'buy')),\n"
+              "edges AS (SELECT DISTINCT user_id, item_id FROM deep)")
+
+NORM_TEXT = _over_text(NORM, CLEAN, True, _CLEAN_TAIL)
+PAIRS_TEXT = _over_text(PAIRS, DEEP, True, _DEEP_TAIL)
+
+
+def rank_walk_text(target: int = RANK_TARGET) -> str:
+    return recursive(_over_text(rank_walk(target)[len("WITH RECURSIVE "):].join(["WITH ", ""]),
+                                DEEP, False, _DEEP_TAIL))
+
+
+def kmeans_loop_text() -> str:
+    # features from the parsed text, training users from the clean train lines
+    body = kmeans_loop()[len("WITH RECURSIVE "):]
+    return recursive(_over_text("WITH " + body, CLEAN, True, _CLEAN_TAIL))
