@@ -7,6 +7,8 @@ from cartograph.functions.columns import (  # noqa: F401
     format_fixed,
     java_trim,
     min_max_scale,
+    node_kind_id,
+    node_name,
     parse_int,
     parse_long,
     split_field,

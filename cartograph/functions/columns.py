@@ -80,3 +80,16 @@ def euclidean_distance(xs: Sequence[Column], ys: Sequence[Column]) -> Column:
 def format_fixed(c: Column | str, decimals: int) -> Column:
     """Fixed-point text with HALF_UP rounding, no grouping separators."""
     return F.format_string(f"%.{decimals}f", _col(c))
+
+
+def node_name(kind: Column | str, node_id: Column | str) -> Column:
+    """Text node key ``U_<id>`` (kind 0, user) or ``I_<id>`` (kind 1, item)."""
+    prefix = F.when(_col(kind) == 0, F.lit("U_")).otherwise(F.lit("I_"))
+    return F.concat(prefix, _col(node_id).cast("string"))
+
+
+def node_kind_id(name: Column | str) -> tuple[Column, Column]:
+    """Inverse of :func:`node_name`: (kind, id) from ``U_<id>`` / ``I_<id>``."""
+    n = _col(name)
+    kind = F.when(n.startswith("U_"), F.lit(0)).when(n.startswith("I_"), F.lit(1))
+    return kind, parse_long(F.substring(n, 3, 1 << 30))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph import sinks as SK
+from cartograph import functions as FN
 from cartograph.operators import clean as C
 from cartograph.operators import cooccur as CO
 from cartograph.operators import cluster as KM
@@ -614,3 +615,52 @@ def q_write_centres(spark, sf_dir):
 SELECT CAST(user_id AS VARCHAR) || ',' || CAST(cluster_id AS VARCHAR) AS value FROM labels""")
 def q_write_labels(spark, sf_dir):
     return _round_trip(spark, SK.write_labels, _kmeans(spark, sf_dir).labels, "sink-labels")
+
+
+# ------------------------------------------------------------ scalar functions
+
+_DAY_REF = 1706745600  # 2024-02-01T00:00:00Z, a fixed cut-off for day_difference
+
+
+@register("scalar_functions", O.EV + f""",
+x AS (SELECT ev.*, concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR),
+                             behavior_type, CAST(ts AS VARCHAR)) AS line,
+             chr(9) || ' ' || upper(behavior_type) || ' ' || chr(10) AS padded,
+             value AS amount
+      FROM ev JOIN (SELECT event_id, value FROM events) USING (event_id))
+SELECT event_id,
+       starts_with(line, 'user_id') AS is_header,
+       lower({O._jtrim('padded')}) AS behavior_trimmed,
+       {O._int_parse("string_split(line, ',')[1]", 'BIGINT')} AS user_parsed,
+       {O._int_parse("string_split(line, ',')[6]", 'BIGINT')} AS past_end,
+       {O.WEIGHT} AS weight,
+       (CAST({_DAY_REF} AS BIGINT) - ts) / 86400.0 AS days_before,
+       CASE WHEN 1000.0 = 0.0 THEN 0.5 ELSE (amount - 0.0) / (1000.0 - 0.0) END AS amount_scaled,
+       sqrt((amount - 0.0) * (amount - 0.0) + (CAST(item_id AS DOUBLE) - 0.0) * (CAST(item_id AS DOUBLE) - 0.0)) AS dist,
+       printf('%.4f', amount) AS amount_text,
+       'I_' || CAST(item_id AS VARCHAR) AS node,
+       item_id AS node_id_back
+FROM x""")
+def q_scalar_functions(spark, sf_dir):
+    ev = _log(spark, sf_dir)
+    amount = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("value").alias("amount"))
+    x = ev.join(amount, "event_id").withColumn(
+        "line", F.concat_ws(",", *[F.col(c).cast("string") for c in C.LOG_COLUMNS])).withColumn(
+        "padded", F.concat(F.lit("\t "), F.upper("behavior_type"), F.lit(" \n")))
+    parts = F.split("line", ",", -1)
+    node = FN.node_name(F.lit(1), F.col("item_id"))
+    return x.select(
+        "event_id",
+        F.col("line").startswith("user_id").alias("is_header"),
+        F.lower(FN.java_trim("padded")).alias("behavior_trimmed"),
+        FN.parse_long(FN.split_field(parts, 0)).alias("user_parsed"),
+        FN.parse_long(FN.split_field(parts, 5)).alias("past_end"),
+        FN.behavior_weight("behavior_type").alias("weight"),
+        FN.day_difference(F.lit(_DAY_REF).cast("bigint"), F.col("ts")).alias("days_before"),
+        FN.min_max_scale("amount", F.lit(0.0), F.lit(1000.0)).alias("amount_scaled"),
+        FN.euclidean_distance([F.col("amount"), F.col("item_id").cast("double")],
+                              [F.lit(0.0), F.lit(0.0)]).alias("dist"),
+        FN.format_fixed("amount", 4).alias("amount_text"),
+        node.alias("node"),
+        FN.node_kind_id(node)[1].alias("node_id_back"),
+    )
