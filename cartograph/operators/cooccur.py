@@ -26,6 +26,8 @@ from cartograph.schema import TOP_PAIRS
 
 DEFAULT_BLOCK_BITS = 20
 DEFAULT_PAIR_BLOCK = 4096
+# (user_id, nsplit) rows are 12 bytes: 1M rows is a ~12 MB broadcast
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def interaction_edges(log: DataFrame, deep_only: bool = True) -> DataFrame:
@@ -58,15 +60,23 @@ def basket_sizes(edges: DataFrame) -> DataFrame:
     return edges.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def _split_counts(edges: DataFrame, block_size: int) -> DataFrame:
-    """Attach ``nsplit`` (hash blocks of the user's basket) to each edge."""
+def _split_counts(edges: DataFrame, block_size: int,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Attach ``nsplit`` (hash blocks of the user's basket) to each edge.
+
+    Heavy users number at most ``|edges| / block_size``.  Their count is
+    checked first: none -> no join at all; up to ``broadcast_rows`` -> the
+    (user_id, nsplit) table is broadcast, so the edges are not shuffled by
+    user; beyond that -> a shuffle join whose skewed partitions AQE splits.
+    """
     heavy = (basket_sizes(edges)
              .where(F.col("n_items") > block_size)
              .select("user_id", F.ceil(F.col("n_items") / F.lit(block_size)).cast("int").alias("nsplit")))
-    # Heavy users number at most |edges| / block_size; AQE broadcasts the
-    # table when its measured size allows, otherwise it is a shuffle join
-    # whose skewed partitions AQE splits.
-    return (edges.join(heavy, "user_id", "left")
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        return edges.withColumn("nsplit", F.lit(1))
+    side = F.broadcast(heavy) if n_heavy <= broadcast_rows else heavy
+    return (edges.join(side, "user_id", "left")
             .withColumn("nsplit", F.coalesce(F.col("nsplit"), F.lit(1))))
 
 

@@ -16,8 +16,9 @@ Scale design (see :func:`personal_rank`):
 
 * the vector is sparse (unreached nodes are exactly 0 and are not stored);
 * static edge table ``(src, salt, dst, src_deg, dst_deg, dst_nsalt)`` is
-  written once and kept hash-partitioned on ``(src_kind, src_id, salt)`` so
-  each turn shuffles only the (smaller) vector; a node with more than
+  written once as a table bucketed on ``(src_kind, src_id, salt)``, so each
+  turn shuffles only the (smaller) vector into the buckets and the edges
+  stream through a shuffle-hash join without being re-sorted; a node with more than
   ``block_size`` out-edges has them spread over ``ceil(deg/block_size)``
   salts and its score row is replicated to each salt, so no join key holds
   more than ``block_size`` edges however hot the node;
@@ -32,7 +33,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -41,6 +41,8 @@ from cartograph.session import materialize, scratch_path
 
 USER, ITEM = 0, 1
 DEFAULT_RANK_BLOCK = 1 << 16
+# vector rows are ~25 bytes: 1M rows is a ~25 MB broadcast
+DEFAULT_BROADCAST_ROWS = 1_000_000
 _NODE = ["kind", "id"]
 _VEC_SCHEMA = "kind int, id long, score double, out_deg long, nsalt int"
 
@@ -170,7 +172,7 @@ _TURN_SQL = """
 SELECT kind, id, sum(rst) + {alpha} * sum(inc) AS score, sum(old) AS old,
        max(out_deg) AS out_deg, max(nsalt) AS nsalt
 FROM (
-  SELECT e.dst_kind AS kind, e.dst_id AS id, v.score / e.src_deg AS inc, 0D AS rst, 0D AS old,
+  SELECT /*+ {join_hint}(v) */ e.dst_kind AS kind, e.dst_id AS id, v.score / e.src_deg AS inc, 0D AS rst, 0D AS old,
          e.dst_deg AS out_deg, e.dst_nsalt AS nsalt
   FROM {edges} e
   JOIN (SELECT kind, id, explode(sequence(0, nsalt - 1)) AS salt, score
@@ -185,15 +187,26 @@ FROM (
 
 def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
                   max_iter: int = RANK_MAX_ITER, tol: float = RANK_TOL,
-                  block_size: int = DEFAULT_RANK_BLOCK, partitions: int | None = None) -> RankResult:
-    """Run the walk from user ``target`` over ``graph`` (src/dst edge table)."""
+                  block_size: int = DEFAULT_RANK_BLOCK, partitions: int | None = None,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> RankResult:
+    """Run the walk from user ``target`` over ``graph`` (src/dst edge table).
+
+    The vector's row count is known after every turn: up to
+    ``broadcast_rows`` it is broadcast to the edge scan, beyond that it is
+    shuffled into the edge table's buckets (shuffle-hash join, edges stream).
+    """
     spark = graph.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
     keys = ["src_kind", "src_id", "salt"]
-    wedges = (materialize(_weighted_edges(graph, nodes), "rank-edges")
-              .repartition(parts, *keys).sortWithinPartitions(*keys)
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
+    edges_table, vec_view = f"{tag}_edges", f"{tag}_vec"
+    # Static edges as a bucketed external table in the shared folder: each
+    # turn's join reads it already hash-partitioned on the join keys, so only
+    # the vector is shuffled (or broadcast when AQE measures it small).
+    (_weighted_edges(graph, nodes).repartition(parts, *keys)
+     .write.bucketBy(parts, *keys).option("path", scratch_path(spark, "rank-edges"))
+     .saveAsTable(edges_table))
 
     trow = nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).first()
     if trow is None:
@@ -205,13 +218,11 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
             F.lit(trow["out_deg"]).cast("long").alias("out_deg"), F.lit(trow["nsalt"]).cast("int").alias("nsalt"))
         dangling = 1.0 if trow["out_deg"] == 0 else 0.0
 
-    tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
-    edges_view, vec_view = f"{tag}_edges", f"{tag}_vec"
-    wedges.createOrReplaceTempView(edges_view)
     base = scratch_path(spark, "rank-vector")
     changes: list[float] = []
     converged = False
     it = 0
+    n_vec = 0 if trow is None else 1
     try:
         for it in range(1, max_iter + 1):
             vec.createOrReplaceTempView(vec_view)
@@ -220,25 +231,27 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
                 restart = (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
                            f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
                            f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
-            new = spark.sql(_TURN_SQL.format(edges=edges_view, vec=vec_view, alpha=repr(float(alpha)),
-                                             restart=restart))
+            hint = "BROADCAST" if n_vec <= broadcast_rows else "SHUFFLE_HASH"
+            new = spark.sql(_TURN_SQL.format(edges=edges_table, vec=vec_view, alpha=repr(float(alpha)),
+                                             restart=restart, join_hint=hint))
             obs = Observation(f"rank-turn-{it}")
             new = new.observe(obs,
                               F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
-                              F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"))
+                              F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
+                              F.count_if(F.col("score") != 0).alias("rows"))
             path = f"{base}/turn={it}"
             new.where(F.col("score") != 0).drop("old").write.parquet(path)
             m = obs.get
             change = m.get("change") or 0.0
             dangling = m.get("dangling") or 0.0
+            n_vec = m.get("rows") or 0
             changes.append(change)
             vec = spark.read.schema(_VEC_SCHEMA).parquet(path)
             if change < tol:
                 converged = True
                 break
     finally:
-        wedges.unpersist()
-        spark.catalog.dropTempView(edges_view)
+        spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
         spark.catalog.dropTempView(vec_view)
     return RankResult(scores=vec.select("kind", "id", "score"), nodes=nodes, iterations=it,
                       converged=converged, target_in_graph=trow is not None, changes=changes)
