@@ -41,6 +41,8 @@ from cartograph.session import materialize, scratch_path
 
 USER, ITEM = 0, 1
 DEFAULT_RANK_BLOCK = 1 << 16
+# edge rows are ~45 bytes: 2M rows is a ~90 MB bucket
+EDGES_PER_BUCKET = 2_000_000
 # vector rows are ~25 bytes: 1M rows is a ~25 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
 _NODE = ["kind", "id"]
@@ -196,8 +198,11 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
     shuffled into the edge table's buckets (shuffle-hash join, edges stream).
     """
     spark = graph.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
+    # buckets sized from the edge count (sum of out-degrees), at least one per core
+    n_edges = nodes.agg(F.coalesce(F.sum("out_deg"), F.lit(0))).first()[0]
+    parts = partitions or max(spark.sparkContext.defaultParallelism,
+                              -(-n_edges // EDGES_PER_BUCKET))
     keys = ["src_kind", "src_id", "salt"]
     tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
     edges_table, vec_view = f"{tag}_edges", f"{tag}_vec"
@@ -282,6 +287,15 @@ def recommend_top_k(result: RankResult, edges: DataFrame, target: int, k: int =
         "target_id", "rank", "item_id", "score")
 
 
+def recommend_stats(recs: DataFrame, low: float = 0.0005) -> DataFrame:
+    """Per target: ``top_score``, ``low_score`` (top score prints as 0.000 at
+    three decimals) and the number of recommended items."""
+    return recs.groupBy("target_id").agg(
+        F.coalesce(F.max("score"), F.lit(0.0)).alias("top_score"),
+        (F.coalesce(F.max("score"), F.lit(0.0)) < F.lit(low)).alias("low_score"),
+        F.count(F.lit(1)).alias("n_recommended"))
+
+
 def recommendation_line(recs: DataFrame, decimals: int = RANK_DECIMALS) -> DataFrame:
     """``value``: ``target<TAB>item:score,item:score,...`` per target (k entries at most)."""
     entry = F.struct("rank", F.concat(F.col("item_id").cast("string"), F.lit(":"),

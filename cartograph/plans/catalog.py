@@ -664,3 +664,20 @@ def q_scalar_functions(spark, sf_dir):
         node.alias("node"),
         FN.node_kind_id(node)[1].alias("node_id_back"),
     )
+
+
+@register("recommend_stats", _TOP + """
+SELECT min(target_id) AS target_id, round(max(score), 9) AS top_score, max(score) < 0.0005 AS low_score,
+       count(*) AS n_recommended FROM top""")
+def q_recommend_stats(spark, sf_dir):
+    recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
+    st = RK.recommend_stats(recs)
+    return st.select("target_id", _r9("top_score"), "low_score", "n_recommended")
+
+
+@register("read_user_features", O.NORM + """
+SELECT user_id, f1, f2, f3 FROM norm""")
+def q_read_user_features(spark, sf_dir):
+    path = scratch_path(spark, "features-text")
+    SK.write_user_features(FT.normalized_user_features(_clean(spark, sf_dir)), path)
+    return TX.read_user_features(spark, path)
