@@ -61,7 +61,8 @@ def main():
         force(CO.inverted_index(CO.interaction_edges(li_log())))
 
     def top_pairs_lineitem():
-        force(CO.top_item_pairs(CO.item_cooccurrence(CO.interaction_edges(li_log()))))
+        edges = materialize(CO.interaction_edges(li_log()), "bench-edges")
+        force(CO.top_item_pairs_pruned(edges))
 
     def cooccurrence_lineitem():
         force(CO.item_cooccurrence(CO.interaction_edges(li_log())))

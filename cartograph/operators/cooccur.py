@@ -18,11 +18,14 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartograph.operators.clean import deep_interactions
 from cartograph.schema import TOP_PAIRS
+from cartograph.session import materialize
 
 DEFAULT_BLOCK_BITS = 20
 DEFAULT_PAIR_BLOCK = 4096
@@ -110,6 +113,44 @@ def top_item_pairs(cooccurrence: DataFrame, limit: int = TOP_PAIRS) -> DataFrame
             .limit(limit))
 
 
+def item_degrees(edges: DataFrame) -> DataFrame:
+    """``(item_id, n_users)`` over distinct edges."""
+    return edges.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users"))
+
+
+def top_item_pairs_pruned(edges: DataFrame, limit: int = TOP_PAIRS,
+                          block_size: int = DEFAULT_PAIR_BLOCK, max_fraction: float = 0.5) -> DataFrame:
+    """Exact top ``limit`` pairs without counting every pair when possible.
+
+    A pair's count is at most either item's user count.  Counting only the
+    pairs among items with ``n_users >= T`` therefore yields every pair whose
+    count is ``>= T`` with its exact count; when at least ``limit`` such pairs
+    exist they are exactly the top ``limit``.  Otherwise ``T`` is halved; at
+    ``T <= 1`` this is the full computation.  ``T`` starts at the user count
+    of the ``4*ceil(sqrt(2*limit))``-th most shared item; once the items
+    above ``T`` hold more than ``max_fraction`` of the edges, every pair is
+    counted instead.
+    """
+    if limit <= 0:
+        return top_item_pairs(item_cooccurrence(edges.limit(0), block_size), limit)
+    deg = materialize(item_degrees(edges), "item-degrees")
+    k0 = 4 * math.ceil(math.sqrt(2 * limit))
+    top_deg = deg.orderBy(F.col("n_users").desc()).select("n_users").limit(k0).collect()
+    threshold = top_deg[-1][0] if len(top_deg) == k0 else 1
+    total = deg.agg(F.sum("n_users")).first()[0] or 0
+    while threshold > 1:
+        kept = deg.where(F.col("n_users") >= threshold).agg(F.sum("n_users")).first()[0] or 0
+        if kept > max_fraction * total:
+            break  # pruning would save little: count every pair
+        hot = deg.where(F.col("n_users") >= threshold).select("item_id")
+        cooc = materialize(item_cooccurrence(edges.join(hot, "item_id", "left_semi"), block_size),
+                           "pairs-pruned")
+        if cooc.where(F.col("n_users") >= threshold).count() >= limit:
+            return top_item_pairs(cooc, limit)
+        threshold //= 2
+    return top_item_pairs(item_cooccurrence(edges, block_size), limit)
+
+
 def cooccurrence_stats(log: DataFrame, edges: DataFrame, cooccurrence: DataFrame) -> DataFrame:
     """``(metric, value)`` rows: deep rows, edges, indexed items, users, pairs.
 

@@ -193,6 +193,12 @@ def q_top_item_pairs(spark, sf_dir):
     return CO.top_item_pairs(CO.item_cooccurrence(_edges(spark, sf_dir)))
 
 
+@register("top_item_pairs_pruned", O.PAIRS + """
+SELECT item_a, item_b, n_users FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000""")
+def q_top_item_pairs_pruned(spark, sf_dir):
+    return CO.top_item_pairs_pruned(materialize(_edges(spark, sf_dir), "edges"))
+
+
 @register("cooccurrence_stats", O.PAIRS + """
 SELECT 'n_deep_rows' AS metric, count(*) AS value FROM deep
 UNION ALL SELECT 'n_edges', count(*) FROM edges

@@ -47,7 +47,7 @@ def run_cooccurrence(spark: SparkSession, train: str, test: str | None, out: str
     edges = materialize(CO.interaction_edges(log), "edges")
     idx_path, pair_path = f"{out}/item_user_inverted_index.txt", f"{out}/item_co_occurrence.txt"
     sinks.write_inverted_index(CO.inverted_index(edges), idx_path)
-    sinks.write_cooccurrence(CO.top_item_pairs(CO.item_cooccurrence(edges), limit), pair_path)
+    sinks.write_cooccurrence(CO.top_item_pairs_pruned(edges, limit), pair_path)
     return JobOutput(spark.read.text(pair_path), {"index": idx_path, "pairs": pair_path})
 
 

@@ -69,3 +69,17 @@ def test_index_blocks_bound_lists(spark):
     assert all(len(ids) <= 4 for _, ids in rows)
     flat = [u for _, ids in rows for u in ids]
     assert flat == sorted(flat)
+
+
+def test_pruned_top_pairs_exact(spark):
+    rng = random.Random(11)
+    pairs = [(u, i) for u in range(40) for i in range(10) if rng.random() < 0.8]   # popular items
+    pairs += [(u, 1000 + 30 * u + j) for u in range(40) for j in range(30)]        # long tail
+    e = _edges(spark, sorted(set(pairs)))
+    full = CO.item_cooccurrence(e)
+    for limit in (1, 2, 5, 50):
+        want = [tuple(r) for r in CO.top_item_pairs(full, limit).collect()]
+        got = [tuple(r) for r in CO.top_item_pairs_pruned(e, limit).collect()]
+        assert got == want, limit
+    brute = sorted(_brute(pairs).items(), key=lambda kv: (-kv[1], kv[0]))[:2]
+    assert [tuple(r) for r in CO.top_item_pairs_pruned(e, 2).collect()] == [(a, b, n) for (a, b), n in brute]
