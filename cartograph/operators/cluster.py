@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.columns import euclidean_distance
 from cartograph.schema import FEATURE_COLUMNS, KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL
-from cartograph.session import materialize
+from cartograph.session import materialize, shuffle_partitions
 
 Centres = list[tuple[float, ...]]
 
@@ -136,14 +136,16 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, max_iter: int = KMEANS_MAX_ITER
     shifts: list[float] = []
     converged = False
     it = 0
-    for it in range(1, max_iter + 1):
-        new = update_centres(pts, centres, cols)
-        shift = centre_shift(centres, new)
-        shifts.append(shift)
-        centres = new
-        if shift < tol:
-            converged = True
-            break
+    # each turn's aggregate has at most k groups
+    with shuffle_partitions(pts.sparkSession, k):
+        for it in range(1, max_iter + 1):
+            new = update_centres(pts, centres, cols)
+            shift = centre_shift(centres, new)
+            shifts.append(shift)
+            centres = new
+            if shift < tol:
+                converged = True
+                break
     labels = assign_nearest(pts, centres, cols).select("user_id", "cluster_id")
     return KMeansResult(centres=centres, labels=labels, iterations=it, converged=converged, shifts=shifts)
 

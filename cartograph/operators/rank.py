@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartograph.schema import RANK_ALPHA, RANK_DECIMALS, RANK_MAX_ITER, RANK_TOL, RANK_TOP_K
-from cartograph.session import materialize, scratch_path
+from cartograph.session import materialize, scratch_path, shuffle_partitions
 
 USER, ITEM = 0, 1
 DEFAULT_RANK_BLOCK = 1 << 16
@@ -228,6 +228,8 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
     converged = False
     it = 0
     n_vec = 0 if trow is None else 1
+    scope = shuffle_partitions(spark, parts)
+    scope.__enter__()
     try:
         for it in range(1, max_iter + 1):
             vec.createOrReplaceTempView(vec_view)
@@ -256,6 +258,7 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
                 converged = True
                 break
     finally:
+        scope.__exit__(None, None, None)
         spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
         spark.catalog.dropTempView(vec_view)
     return RankResult(scores=vec.select("kind", "id", "score"), nodes=nodes, iterations=it,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,19 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int):
+    """Run a block with ``spark.sql.shuffle.partitions = n``, then restore it.
+
+    Used by the iterative loops, whose per-turn shuffles are sized by the
+    data (edge buckets, K clusters) rather than by the session default.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, int(n))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
