@@ -59,3 +59,11 @@ def test_writers_refuse_existing_output(spark, tmp_out):
     with pytest.raises(Exception):
         sinks.write_cooccurrence(df, f"{tmp_out}/p")
     assert spark.read.text(f"{tmp_out}/p").first().value == "1,2\t3"
+
+
+def test_command_line(spark, tmp_out):
+    from cartograph.__main__ import main
+    train = _write(spark, tmp_out, "cli-train", TRAIN)
+    assert main(["cooccurrence", train, f"{tmp_out}/cli-co"]) == 0
+    # train only: user 1 holds {10, 20} (its fav of 30 is in the test split)
+    assert [r.value for r in spark.read.text(f"{tmp_out}/cli-co/item_co_occurrence.txt").collect()] == ["10,20\t1"]

@@ -73,3 +73,11 @@ def test_dangling_mass_directed(spark):
     res = R.personal_rank(g, 1, max_iter=3)
     # mass that reaches items restarts at the target each turn
     assert sum(r.score for r in res.scores.collect()) == pytest.approx(1.0)
+
+
+def test_golden_component_single_pair(spark):
+    from cartograph.operators import cooccur as CO
+    e = _edges(spark, CORE)
+    assert [tuple(r) for r in CO.item_cooccurrence(e).collect()] == [(1503068, 4826576, 1)]
+    idx = {r.item_id: r.user_ids for r in CO.inverted_index(e).collect()}
+    assert idx == {4826576: [80444, 431070, 534266], 1503068: [431070, 769575]}
