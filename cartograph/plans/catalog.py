@@ -687,3 +687,12 @@ def q_read_user_features(spark, sf_dir):
     path = scratch_path(spark, "features-text")
     SK.write_user_features(FT.normalized_user_features(_clean(spark, sf_dir)), path)
     return TX.read_user_features(spark, path)
+
+
+@register("write_recommendations", _TOP + """
+SELECT CAST(min(target_id) AS VARCHAR) || chr(9) ||
+       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+FROM top""")
+def q_write_recommendations(spark, sf_dir):
+    recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
+    return _round_trip(spark, SK.write_recommendations, RK.recommendation_line(recs), "sink-recommendations")

@@ -81,3 +81,10 @@ def test_golden_component_single_pair(spark):
     assert [tuple(r) for r in CO.item_cooccurrence(e).collect()] == [(1503068, 4826576, 1)]
     idx = {r.item_id: r.user_ids for r in CO.inverted_index(e).collect()}
     assert idx == {4826576: [80444, 431070, 534266], 1503068: [431070, 769575]}
+
+
+def test_empty_graph(spark):
+    e = _edges(spark, [])
+    res = R.personal_rank(R.bipartite_edges(e), 1)
+    assert res.iterations == 1 and res.converged and not res.target_in_graph
+    assert R.recommend_top_k(res, e, 1).count() == 0
