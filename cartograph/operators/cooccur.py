@@ -137,17 +137,23 @@ def top_item_pairs_pruned(edges: DataFrame, limit: int = TOP_PAIRS,
     k0 = 4 * math.ceil(math.sqrt(2 * limit))
     top_deg = deg.orderBy(F.col("n_users").desc()).select("n_users").limit(k0).collect()
     threshold = top_deg[-1][0] if len(top_deg) == k0 else 1
-    total = deg.agg(F.sum("n_users")).first()[0] or 0
+    thresholds = []
     while threshold > 1:
-        kept = deg.where(F.col("n_users") >= threshold).agg(F.sum("n_users")).first()[0] or 0
-        if kept > max_fraction * total:
-            break  # pruning would save little: count every pair
-        hot = deg.where(F.col("n_users") >= threshold).select("item_id")
-        cooc = materialize(item_cooccurrence(edges.join(hot, "item_id", "left_semi"), block_size),
-                           "pairs-pruned")
-        if cooc.where(F.col("n_users") >= threshold).count() >= limit:
-            return top_item_pairs(cooc, limit)
+        thresholds.append(threshold)
         threshold //= 2
+    if thresholds:
+        # edges held by the items above every candidate threshold, in one job
+        n = F.col("n_users")
+        row = deg.agg(F.sum(n).alias("total"),
+                      *[F.sum(F.when(n >= t, n)).alias(f"t{i}") for i, t in enumerate(thresholds)]).first()
+        for i, t in enumerate(thresholds):
+            if (row[f"t{i}"] or 0) > max_fraction * (row["total"] or 0):
+                break  # pruning would save little: count every pair
+            hot = deg.where(n >= t).select("item_id")
+            cooc = materialize(item_cooccurrence(edges.join(hot, "item_id", "left_semi"), block_size),
+                               "pairs-pruned")
+            if cooc.where(F.col("n_users") >= t).count() >= limit:
+                return top_item_pairs(cooc, limit)
     return top_item_pairs(item_cooccurrence(edges, block_size), limit)
 
 
