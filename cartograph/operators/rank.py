@@ -228,37 +228,35 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
     converged = False
     it = 0
     n_vec = 0 if trow is None else 1
-    scope = shuffle_partitions(spark, parts)
-    scope.__enter__()
     try:
-        for it in range(1, max_iter + 1):
-            vec.createOrReplaceTempView(vec_view)
-            restart = ""
-            if trow is not None:
-                restart = (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
-                           f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
-                           f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
-            hint = "BROADCAST" if n_vec <= broadcast_rows else "SHUFFLE_HASH"
-            new = spark.sql(_TURN_SQL.format(edges=edges_table, vec=vec_view, alpha=repr(float(alpha)),
-                                             restart=restart, join_hint=hint))
-            obs = Observation(f"rank-turn-{it}")
-            new = new.observe(obs,
-                              F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
-                              F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
-                              F.count_if(F.col("score") != 0).alias("rows"))
-            path = f"{base}/turn={it}"
-            new.where(F.col("score") != 0).drop("old").write.parquet(path)
-            m = obs.get
-            change = m.get("change") or 0.0
-            dangling = m.get("dangling") or 0.0
-            n_vec = m.get("rows") or 0
-            changes.append(change)
-            vec = spark.read.schema(_VEC_SCHEMA).parquet(path)
-            if change < tol:
-                converged = True
-                break
+        with shuffle_partitions(spark, parts):
+            for it in range(1, max_iter + 1):
+                vec.createOrReplaceTempView(vec_view)
+                restart = ""
+                if trow is not None:
+                    restart = (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
+                               f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
+                               f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
+                hint = "BROADCAST" if n_vec <= broadcast_rows else "SHUFFLE_HASH"
+                new = spark.sql(_TURN_SQL.format(edges=edges_table, vec=vec_view, alpha=repr(float(alpha)),
+                                                 restart=restart, join_hint=hint))
+                obs = Observation(f"rank-turn-{it}")
+                new = new.observe(obs,
+                                  F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
+                                  F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
+                                  F.count_if(F.col("score") != 0).alias("rows"))
+                path = f"{base}/turn-{it}"
+                new.where(F.col("score") != 0).drop("old").write.parquet(path)
+                m = obs.get
+                change = m.get("change") or 0.0
+                dangling = m.get("dangling") or 0.0
+                n_vec = m.get("rows") or 0
+                changes.append(change)
+                vec = spark.read.schema(_VEC_SCHEMA).parquet(path)
+                if change < tol:
+                    converged = True
+                    break
     finally:
-        scope.__exit__(None, None, None)
         spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
         spark.catalog.dropTempView(vec_view)
     return RankResult(scores=vec.select("kind", "id", "score"), nodes=nodes, iterations=it,
