@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -34,12 +35,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be shared storage that survives executor loss; it
-    is read from the session and never invented here.  Tests set it when it
-    is unset.
+    is read from the session; when it is unset, a folder under
+    ``spark.sql.warehouse.dir`` is used (with a warning).  Tests set it when
+    it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; iterative jobs need a shared folder")
+        # the warehouse is where this session's managed tables live, i.e. storage
+        # every executor can reach; use it rather than fail
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        root = f"{warehouse.rstrip('/')}/_cartograph_checkpoints"
+        warnings.warn(f"spark.checkpoint.dir is not set; using {root}", stacklevel=2)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
