@@ -696,3 +696,20 @@ FROM top""")
 def q_write_recommendations(spark, sf_dir):
     recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
     return _round_trip(spark, SK.write_recommendations, RK.recommendation_line(recs), "sink-recommendations")
+
+
+@register("line_stats", O.LINES + f""",
+cls AS (SELECT value, starts_with(value, 'user_id') AS is_header,
+               NOT starts_with(value, 'user_id') AND {O._jtrim('value')} = '' AS is_blank FROM lines)
+SELECT count(*) AS n_lines,
+       count(*) FILTER (WHERE is_header) AS n_header,
+       count(*) FILTER (WHERE is_blank) AS n_blank,
+       count(*) FILTER (WHERE NOT is_header AND NOT is_blank) AS n_data,
+       (SELECT count(*) FROM typed WHERE n < 5) AS n_rejected_arity,
+       (SELECT count(*) FROM typed WHERE n >= 5 AND (user_id IS NULL OR item_id IS NULL OR ts IS NULL
+                                                    OR category_id IS NULL)) AS n_rejected_number,
+       (SELECT count(*) FROM typed WHERE n >= 5 AND user_id IS NOT NULL AND item_id IS NOT NULL
+                                    AND ts IS NOT NULL AND category_id IS NOT NULL) AS n_parsed
+FROM cls""")
+def q_line_stats(spark, sf_dir):
+    return TX.line_stats(_lines(spark, sf_dir))

@@ -7,6 +7,7 @@ from cartograph.sources.adapters import (  # noqa: F401
     log_lines,
 )
 from cartograph.sources.text import (  # noqa: F401
+    line_stats,
     parse_behavior_lines,
     parse_user_features,
     parse_user_ids,

@@ -86,6 +86,27 @@ def rejected_lines(lines: DataFrame, require_category: bool = True) -> DataFrame
             .where(F.col("reason").isNotNull()))
 
 
+def line_stats(lines: DataFrame, require_category: bool = True) -> DataFrame:
+    """One row of line counts: all, header, blank, data, rejected (by reason), parsed.
+
+    A single aggregation over the lines (the data-quality view of the parse).
+    """
+    v = F.col("value")
+    header = v.startswith(HEADER_PREFIX)
+    blank = ~header & (java_trim(v) == "")
+    data = ~header & ~blank
+    _, reason = _typed_fields(require_category)
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if(header).alias("n_header"),
+        F.count_if(blank).alias("n_blank"),
+        F.count_if(data).alias("n_data"),
+        F.count_if(data & (reason == "arity")).alias("n_rejected_arity"),
+        F.count_if(data & (reason == "number")).alias("n_rejected_number"),
+        F.count_if(data & reason.isNull()).alias("n_parsed"),
+    )
+
+
 def read_behavior_log(spark: SparkSession, paths: str | Sequence[str],
                       require_category: bool = True) -> DataFrame:
     return parse_behavior_lines(read_lines(spark, paths), require_category)

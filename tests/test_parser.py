@@ -78,3 +78,13 @@ def test_read_lines_keeps_duplicate_paths(spark, tmp_out):
     lines_df(spark, ["1,10,100,pv,1000", "2,10,100,buy,1001"]).write.text(p)
     assert TX.read_lines(spark, [p, p]).count() == 4
     assert TX.read_behavior_log(spark, p).count() == 2
+
+
+def test_line_stats(spark):
+    df = lines_df(spark, [c[0] for c in CASES])
+    st = TX.line_stats(df).first().asDict()
+    n_parsed = sum(1 for c in CASES if c[1] is not None)
+    assert st["n_lines"] == len(CASES) and st["n_header"] == 1 and st["n_blank"] == 2
+    assert st["n_parsed"] == n_parsed
+    assert st["n_data"] == st["n_parsed"] + st["n_rejected_arity"] + st["n_rejected_number"]
+    assert st["n_rejected_arity"] == 1
