@@ -14,6 +14,8 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from cartograph.operators import clean as C  # noqa: E402
 from cartograph.operators import cluster as KM  # noqa: E402
 from cartograph.operators import cooccur as CO  # noqa: E402
@@ -53,6 +55,12 @@ def main():
     sections.append(("T2 top pairs over all pair counts (lineitem adapter)",
                      plan_of(CO.top_item_pairs(CO.item_cooccurrence(edges)))))
 
+    deg = materialize(CO.item_degrees(edges), "plan-degrees")
+    top_deg = deg.orderBy(F.col("n_users").desc()).select("n_users").limit(126).collect()
+    hot = deg.where(F.col("n_users") >= top_deg[-1][0]).select("item_id")
+    sections.append(("T2 one pruned top-pairs round (pairs among items with >= T users)",
+                     plan_of(CO.item_cooccurrence(edges.join(hot, "item_id", "left_semi")))))
+
     pts = materialize(FT.normalized_user_features(C.clean_behavior_log(ev)), "plan-points")
     centres = KM.init_centres(pts, 3)
     sections.append(("T3 one k-means turn (K literal centres)", plan_of(KM.cluster_sums(pts, centres))))
