@@ -65,3 +65,10 @@ def test_converges_and_cost_never_rises(spark):
 def test_hash_init_is_deterministic(spark):
     pts = _pts(spark, [(i, float(i), 0.0, 0.0) for i in range(10)])
     assert KM.init_centres(pts, 3, "hash") == KM.init_centres(pts, 3, "hash")
+
+
+def test_labels_read_written_points(spark):
+    pts = _pts(spark, [(i, float(i), 0.0, 0.0) for i in range(6)])
+    res = KM.kmeans(pts, k=2, max_iter=3)
+    plan = res.labels._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "Relation" in plan
