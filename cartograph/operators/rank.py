@@ -280,12 +280,14 @@ def recommend_top_k(result: RankResult, edges: DataFrame, target: int, k: int =
             .join(scores, "item_id", "left")
             .select("item_id", F.coalesce("score", F.lit(0.0)).alias("score")))
     top = cand.orderBy(F.col("score").desc(), F.col("item_id").cast("string")).limit(k)
-    # at most k rows reach this window
-    w = top.select(F.lit(target).cast("long").alias("target_id"), "item_id", "score")
-    from pyspark.sql import Window
-    return w.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.col("score").desc(), F.col("item_id").cast("string")))).select(
-        "target_id", "rank", "item_id", "score")
+    # number the (at most k) rows per target from one sorted list
+    key = F.struct((-F.col("score")).alias("neg"), F.col("item_id").cast("string").alias("txt"),
+                   F.col("item_id").alias("item_id"), F.col("score").alias("score"))
+    ranked = (top.groupBy(F.lit(target).cast("long").alias("target_id"))
+              .agg(F.array_sort(F.collect_list(key)).alias("top"))
+              .select("target_id", F.posexplode("top").alias("pos", "e")))
+    return ranked.select("target_id", (F.col("pos") + 1).cast("int").alias("rank"),
+                         F.col("e.item_id").alias("item_id"), F.col("e.score").alias("score"))
 
 
 def recommend_stats(recs: DataFrame, low: float = 0.0005) -> DataFrame:
