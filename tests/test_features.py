@@ -64,3 +64,22 @@ def test_log_stats(spark, by):
     rows = [(1, 1, 1, "pv", 1), (1, 2, 1, "buy", 5), (2, 2, 1, "pv", 3)]
     st = C.log_stats(log_df(spark, rows), by=list(by)).collect()
     assert sum(r.n_rows for r in st) == 3
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5), st.sampled_from(["pv", "cart", "fav", "buy"]),
+                          st.integers(0, 10 ** 6)), min_size=1, max_size=30))
+def test_scaled_features_property(spark, rows):
+    log = log_df(spark, [(u, 1, 1, b, t) for u, b, t in rows])
+    feats = FT.normalized_user_features(log, decimals=None).collect()
+    for col in ("f1", "f2", "f3"):
+        vals = [r[col] for r in feats]
+        assert all(0.0 <= v <= 1.0 for v in vals)
+        if len(set(vals)) == 1:
+            assert vals[0] == 0.5
+        else:
+            assert min(vals) == 0.0 and max(vals) == 1.0
