@@ -64,9 +64,11 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     work = materialize(work.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
     if not total:
         return work.drop(*[f"target_{d}" for d in targets])
+    few = work.count() <= MAX_BROADCAST_CELLS  # then every window of a batch runs in one small task, unshuffled
     # a dimension's own share stays where it has no target
     done = 0
     while done < sweeps:
+        work = work.coalesce(1) if few else work
         for _ in range(BATCH):
             for d in targets:
                 has = F.sum("weight").over(Window.partitionBy(d))
@@ -76,7 +78,7 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         work = materialize(work, "mix-cells")
         done += BATCH
         gaps = [F.max(F.abs(F.col(f"m_{d}") - F.col(f"target_{d}") * total)) for d in targets]
-        marg = work.select(*[F.sum("weight").over(Window.partitionBy(d)).alias(f"m_{d}") for d in targets],
+        marg = (work.coalesce(1) if few else work).select(*[F.sum("weight").over(Window.partitionBy(d)).alias(f"m_{d}") for d in targets],
                            *[f"target_{d}" for d in targets])
         off = max(x or 0.0 for x in marg.agg(*gaps).first())
         if off <= tolerance * total:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartograph.llm import mixing, secrets, sharding, sql
+from cartograph.llm import (bpechunks, embedjoin, mixing, ngramjoin, quality, secrets, sharding, sql, tokenfile,
+                            toxicity, wrappers)
 from cartograph.llm.common import read_table
 
 QUERIES = {}
@@ -39,3 +41,44 @@ def q_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
     return mixing.mix(docs).select("doc_id", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
                                    F.round("__prob", 6).alias("prob"), F.col("__sampled").alias("sampled"))
+
+
+@register("op1_toxicity_automaton")
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    rated = toxicity.rate(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return rated.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+                        (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op4_token_blocks")
+def q_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokenfile.read_tokens(tokenfile.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@register("op5_risk_controlled_rules")
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                         read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@register("op6_bpe_chunk_reuse")
+def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpechunks.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                            public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+
+
+@register("op2_embedding_pigeonhole", sql.EMBEDDINGS)
+def q_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedjoin.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@register("op3_chosen_path_join", sql.JACCARD)
+def q_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.classify(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op7_html_wrappers")
+def q_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))

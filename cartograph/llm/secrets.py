@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cartograph.session import materialize
 
 SPANS = "array<struct<s:int,e:int>>"
+MAX_BROADCAST_BLOBS = 100_000  # blobs with findings; more meet their paths by a shuffle
 
 
 @dataclass(frozen=True)
@@ -136,11 +137,11 @@ def redact(docs: DataFrame, text: str = "text", rules=RULES, mask: str = "[secre
     Blobs are scanned once through the ledger; only rows whose blob has findings meet a span list.
     ``n_chars`` follows the new text where the table has it.  A null text stays null.
     """
-    findings, _ = scan(docs.select(F.lit(0).alias("path"), F.col(f"`{text}`").alias("text")), rules=rules)
-    arrays = [r.name for r in rules]
-    spans = F.array_sort(F.concat(*arrays))
-    hits = (findings.where(" or ".join(f"size({a}) > 0" for a in arrays))
-            .groupBy("blob_id").agg(F.any_value(spans).alias("__spans")))
+    _, news = scan(docs.select(F.lit(0).alias("path"), F.col(f"`{text}`").alias("text")), rules=rules)
+    hits = materialize(news.where("size(spans) > 0").groupBy("blob_id")
+                       .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans")), "secret-hits")
+    if hits.count() <= MAX_BROADCAST_BLOBS:
+        hits = F.broadcast(hits)
     body = F.col(f"`{text}`")
     # overlapping spans of different rules are cut as one
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))

@@ -104,3 +104,45 @@ SELECT doc_id, d.topic, d.tokens, round(prob, 6) AS prob,
          / {float(16 ** 12)!r} < prob AS sampled
 FROM docs d JOIN prob p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang
      AND d.topic IS NOT DISTINCT FROM p.topic"""
+
+_COMPONENTS = """
+reach AS (SELECT DISTINCT a AS node, a AS root FROM link
+          UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.node),
+comp AS (SELECT node, min(root) AS component FROM reach GROUP BY node)"""
+
+EMBEDDINGS = f"""
+WITH RECURSIVE fine AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+normed AS (SELECT *, sqrt(list_dot_product(e, e)) AS n FROM fine),
+link AS (SELECT x.r AS a, y.r AS b FROM normed x JOIN normed y ON x.label = y.label AND x.r <> y.r AND len(x.e) = len(y.e)
+         WHERE list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.98),
+n AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY a),{_COMPONENTS},
+least AS (SELECT component, min(vec_id) AS component_id FROM comp JOIN fine ON r = node GROUP BY component),
+named AS (SELECT r, vec_id, component_id FROM fine LEFT JOIN comp ON node = r LEFT JOIN least USING (component)),
+rows AS (SELECT vec_id, row_number() OVER () AS r0 FROM embeddings)
+SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM (
+  SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id
+  FROM named LEFT JOIN n USING (r)
+  UNION ALL
+  SELECT vec_id, 0, vec_id FROM embeddings
+  WHERE NOT coalesce(label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false))"""
+
+# every pair of texts that share a shingle, compared exactly
+JACCARD = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cls AS (SELECT row_number() OVER () AS c, * FROM (SELECT t, min(doc_id) AS first_doc, count(*) AS copies FROM docs GROUP BY t)),
+words AS (SELECT c, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w FROM cls),
+sh AS (SELECT DISTINCT c, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                               ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+       FROM words WHERE len(w) > 0),
+size AS (SELECT c, count(*) AS n FROM sh GROUP BY c),
+meet AS (SELECT x.c AS a, y.c AS b, count(*) AS i FROM sh x JOIN sh y USING (s) WHERE x.c <> y.c GROUP BY ALL),
+link AS (SELECT a, b FROM meet JOIN size p ON p.c = a JOIN size q ON q.c = b WHERE 9 * i >= 4 * (p.n + q.n)),
+n AS (SELECT a AS c, sum(copies)::BIGINT AS links FROM link JOIN cls ON cls.c = b GROUP BY a),{_COMPONENTS},
+named AS (SELECT cls.c, t, copies, first_doc, coalesce(component, cls.c) AS component FROM cls LEFT JOIN comp ON node = cls.c),
+least AS (SELECT component, min(first_doc) AS class_id FROM named GROUP BY component)
+SELECT doc_id, class_id, copies - 1 + coalesce(links, 0) AS n_links
+FROM docs JOIN named USING (t) JOIN least USING (component) LEFT JOIN n USING (c)"""
