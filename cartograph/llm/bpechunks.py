@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from cartograph.llm.wordbpe import WordBpe
 from cartograph.session import materialize
 
-ROLL = 16  # bytes the rolling hash sees
+STEPS = (1, 2, 4, 8)
+ROLL = 16  # bytes the rolling hash sees: 1 + sum(STEPS)
 CUT_BITS = 9  # a cut every 2 ** CUT_BITS bytes on average
 SHARED_BITS = 1 << 25  # 4 MB
 JOIN_WORDS = 1  # words on either side of a join that are encoded again first
@@ -44,10 +45,11 @@ def cut_points(raw: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     b = np.frombuffer(raw, np.uint8)
     g = GEAR[b]
-    h = g.copy()
-    for k in range(1, ROLL):  # h[i] = sum of g[i - k] << k: the gear hash over ROLL bytes
-        h[k:] += g[:-k] << np.uint32(k)
-    hits = np.flatnonzero((h[ROLL - 1:] >> np.uint32(32 - CUT_BITS)) == 0) + ROLL - 1
+    h = g
+    for k in STEPS:  # h[i] = sum of g[i - j] << j over ROLL bytes, doubled span by span
+        h = h[k:] + (h[:-k] << np.uint32(k))
+    # h[0] stands for byte ROLL - 1
+    hits = np.flatnonzero((h >> np.uint32(32 - CUT_BITS)) == 0) + ROLL - 1
     if not len(hits):
         return np.zeros(0, np.int64)
     gaps = np.flatnonzero((b == 32) | (b == 10))
@@ -67,19 +69,24 @@ def digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
+def short(d: bytes) -> int:
+    """64 bits of a digest, for counting."""
+    return int.from_bytes(d[:8], "little", signed=True)
+
+
 def spot(d: bytes) -> int:
-    return int.from_bytes(d[:8], "little") % SHARED_BITS
+    return short(d) % SHARED_BITS
 
 
 def shared_bitmap(docs: DataFrame) -> bytes:
     """Bitmap of the digests that occur twice or more among all documents' chunks."""
 
-    @F.pandas_udf("array<int>")
-    def spots(texts: pd.Series) -> pd.Series:
-        return pd.Series([[spot(digest(c)) for c in chunks(t)] if t else [] for t in texts])
+    @F.pandas_udf("array<long>")
+    def marks(texts: pd.Series) -> pd.Series:
+        return pd.Series([[short(digest(c)) for c in chunks(t)] if t else [] for t in texts])
 
-    twice = (docs.select(F.explode(spots("text")).alias("spot")).groupBy("spot").agg(F.count("*").alias("n"))
-             .where("n > 1"))
+    twice = (docs.select(F.explode(marks("text")).alias("mark")).groupBy("mark").agg(F.count("*").alias("n"))
+             .where("n > 1").select(F.pmod("mark", F.lit(SHARED_BITS)).alias("spot")).distinct())
     # the bitmap is built in fixed-size pieces where the spots land: SHARED_BITS / 8 bytes in all
     piece = 1 << 16
 
