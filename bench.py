@@ -61,14 +61,14 @@ def main():
         force(C.clean_behavior_log(TX.parse_behavior_lines(lines)))
 
     def inverted_index_lineitem():
-        force(CO.inverted_index(CO.interaction_edges(li_log())))
+        force(CO.inverted_index(materialize(CO.interaction_edges(li_log()), "bench-edges")))
 
     def top_pairs_lineitem():
         edges = materialize(CO.interaction_edges(li_log()), "bench-edges")
-        force(CO.top_item_pairs_pruned(edges))
+        force(CO.top_item_pairs(CO.item_cooccurrence(edges)))
 
     def cooccurrence_lineitem():
-        force(CO.item_cooccurrence(CO.interaction_edges(li_log())))
+        force(CO.item_cooccurrence(materialize(CO.interaction_edges(li_log()), "bench-edges")))
 
     def kmeans_events():
         feats = FT.normalized_user_features(C.clean_behavior_log(ev_log()))

@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("out")
     c = sub.add_parser("cooccurrence")
     c.add_argument("paths", nargs="+")
-    c.add_argument("--limit", type=int, default=TOP_PAIRS)
+    c.add_argument("--limit", type=int, default=TOP_PAIRS, help="rows of the report; they end in one file")
     k = sub.add_parser("clustering")
     k.add_argument("features")
     k.add_argument("out")
@@ -62,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
         out = jobs.run_rank(spark, train, test, dest, target=args.target, k=args.top_k)
     for name, value in out.paths.items():
         print(f"{name}: {value}")
+    for r in out.stats.orderBy("metric").collect():  # a few dozen counts at most
+        print(f"{r.metric}: {r.value:.10g}")
     return 0
 
 

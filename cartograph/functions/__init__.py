@@ -9,7 +9,7 @@ from cartograph.functions.columns import (  # noqa: F401
     min_max_scale,
     node_kind_id,
     node_name,
-    parse_int,
+    parse_double, parse_int,
     parse_long,
     split_field,
 )

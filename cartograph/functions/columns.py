@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from cartograph.schema import BEHAVIOR_WEIGHTS, CONSTANT_SCALE_VALUE, SECONDS_PER_DAY
 
 # Characters removed by a JVM String.trim(): every code point <= U+0020.
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
-# Plain decimal integer literal with optional sign (what a JVM Long.parseLong
-# accepts for ASCII input); decimals, exponents, hex and suffixes are rejected.
-_INTEGER_LITERAL = r"^[+-]?[0-9]+$"
+_EDGE_CONTROL = "".join(map(chr, range(0x21)))
+# Spellings of special values that a lenient cast reads and a JVM parseDouble
+# refuses: it takes only ``NaN`` and ``Infinity``, in this case, with a sign.
+_SPECIAL_DOUBLES = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+_JVM_SPECIAL_DOUBLES = ("NaN", "Infinity", "+Infinity", "-Infinity")
 
 
 def _col(c: Column | str) -> Column:
@@ -26,7 +27,7 @@ def _col(c: Column | str) -> Column:
 
 def java_trim(c: Column | str) -> Column:
     """Strip leading/trailing characters <= U+0020 (spaces, tabs, control chars)."""
-    return F.regexp_replace(_col(c), _EDGE_CONTROL, "")
+    return F.btrim(_col(c), F.lit(_EDGE_CONTROL))
 
 
 def split_field(parts: Column | str, index: int) -> Column:
@@ -36,14 +37,19 @@ def split_field(parts: Column | str, index: int) -> Column:
 
 def parse_long(c: Column | str) -> Column:
     """Lenient BIGINT parse: null unless the trimmed text is a plain integer in range."""
-    s = java_trim(c)
-    return F.when(s.rlike(_INTEGER_LITERAL), s.try_cast("bigint"))
+    return java_trim(c).try_cast("bigint")
 
 
 def parse_int(c: Column | str) -> Column:
     """Lenient INT parse: null unless the trimmed text is a plain integer in range."""
+    return java_trim(c).try_cast("int")
+
+
+def parse_double(c: Column | str) -> Column:
+    """Lenient DOUBLE parse: null unless a JVM Double.parseDouble takes the trimmed text."""
     s = java_trim(c)
-    return F.when(s.rlike(_INTEGER_LITERAL), s.try_cast("int"))
+    refused = F.lower(s).isin(*_SPECIAL_DOUBLES) & ~s.isin(*_JVM_SPECIAL_DOUBLES)
+    return F.when(~refused, s.try_cast("double"))
 
 
 def behavior_weight(c: Column | str, weights: Mapping[str, float] | None = None) -> Column:

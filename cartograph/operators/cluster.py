@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.columns import euclidean_distance
 from cartograph.schema import FEATURE_COLUMNS, KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL
-from cartograph.session import materialize, shuffle_partitions
+from cartograph.session import loop_session, scratch_path
 
 Centres = list[tuple[float, ...]]
 
@@ -35,14 +35,14 @@ def init_centres(points: DataFrame, k: int = KMEANS_K, method: str = "smallest_i
     """K initial centres (driver list; K rows at most are taken).
 
     ``smallest_ids``: rows of the k smallest user ids, in id order.
-    ``hash``: rows of the k smallest ``xxhash64(user_id, seed)`` -- a
-    deterministic stand-in for a random sample.  Fewer rows than k are
+    ``seeded``: rows of the k smallest ``md5(user_id ':' seed)`` -- a
+    repeatable stand-in for a random sample.  Fewer rows than k are
     padded by repeating the last one.
     """
     if method == "smallest_ids":
         order = [F.col("user_id")]
-    elif method == "hash":
-        order = [F.xxhash64(F.col("user_id"), F.lit(seed)), F.col("user_id")]
+    elif method == "seeded":
+        order = [F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.lit(str(seed)))), F.col("user_id")]
     else:
         raise ValueError(f"unknown init method {method!r}")
     rows = points.orderBy(*order).select(*cols).limit(k).collect()
@@ -126,7 +126,10 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, max_iter: int = KMEANS_MAX_ITER
     shift is below ``tol`` (centres are replaced before the test) or after
     ``max_iter`` turns.  Labels use the final centres.
     """
-    pts = materialize(points.select("user_id", *cols), "kmeans-points")
+    spark = points.sparkSession
+    path = scratch_path(spark, "kmeans-points")
+    points.select("user_id", *cols).write.parquet(path)
+    pts = spark.read.parquet(path)
     n = pts.count()
     if n < k:
         raise ValueError(f"{n} points is fewer than k={k} clusters")
@@ -137,15 +140,15 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, max_iter: int = KMEANS_MAX_ITER
     converged = False
     it = 0
     # each turn's aggregate has at most k groups
-    with shuffle_partitions(pts.sparkSession, k):
-        for it in range(1, max_iter + 1):
-            new = update_centres(pts, centres, cols)
-            shift = centre_shift(centres, new)
-            shifts.append(shift)
-            centres = new
-            if shift < tol:
-                converged = True
-                break
+    turns = loop_session(spark, k).read.schema(pts.schema).parquet(path)
+    for it in range(1, max_iter + 1):
+        new = update_centres(turns, centres, cols)
+        shift = centre_shift(centres, new)
+        shifts.append(shift)
+        centres = new
+        if shift < tol:
+            converged = True
+            break
     labels = assign_nearest(pts, centres, cols).select("user_id", "cluster_id")
     return KMeansResult(centres=centres, labels=labels, iterations=it, converged=converged, shifts=shifts)
 

@@ -3,10 +3,9 @@
 Scale notes
 -----------
 * Edges are de-duplicated with a partial+final hash aggregate.
-* Index and basket lists are built per ``(key, id_block)`` where the block is
-  a fixed range of ids (``id >> block_bits``): a list never holds more than
-  ``2**block_bits`` ids however hot the key is.  Lists of ordinary data fit
-  one block, so the output equals one sorted list per key.
+* Index and basket lists are one sorted list per key.  Only a key with more
+  than ``max_list`` members (1M by default) is split, into
+  ``ceil(n / max_list)`` hash blocks, so no list outgrows a task.
 * Pairs come from a self equi-join on ``(user_id, p, q)``.  A user whose
   basket exceeds ``block_size`` items is split into ``s = ceil(n/block_size)``
   hash blocks of items; each left row is replicated to the ``s`` blocks
@@ -27,9 +26,9 @@ from cartograph.operators.clean import deep_interactions
 from cartograph.schema import TOP_PAIRS
 from cartograph.session import materialize
 
-DEFAULT_BLOCK_BITS = 20
+DEFAULT_MAX_LIST = 1 << 20
 DEFAULT_PAIR_BLOCK = 4096
-# (user_id, nsplit) rows are 12 bytes: 1M rows is a ~12 MB broadcast
+# (key, nsplit) rows are 12 bytes: 1M rows is a ~12 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
@@ -39,23 +38,27 @@ def interaction_edges(log: DataFrame, deep_only: bool = True) -> DataFrame:
     return src.select("user_id", "item_id").distinct()
 
 
-def _grouped_lists(edges: DataFrame, key: str, member: str, out: str, block_bits: int) -> DataFrame:
-    block = F.shiftright(F.col(member), block_bits)
-    return (edges.groupBy(key, block.alias(f"{member.split('_')[0]}_block"))
+def _grouped_lists(edges: DataFrame, key: str, member: str, out: str, max_list: int) -> DataFrame:
+    e = _split_counts(edges, key, max_list)
+    block = F.pmod(F.xxhash64(member), F.col("nsplit")).cast("int")
+    return (e.groupBy(key, block.alias("block"))
             .agg(F.array_sort(F.collect_list(member)).alias(out)))
 
 
-def inverted_index(edges: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
-    """``(item_id, user_block, user_ids)``: ascending distinct users per item.
+def inverted_index(edges: DataFrame, max_list: int = DEFAULT_MAX_LIST) -> DataFrame:
+    """``(item_id, block, user_ids)``: ascending distinct users per item.
 
+    One row per item (``block`` 0); an item with more than ``max_list`` users
+    has its users dealt to ``ceil(n / max_list)`` blocks, a row each.
     ``edges`` must be distinct (see :func:`interaction_edges`).
     """
-    return _grouped_lists(edges, "item_id", "user_id", "user_ids", block_bits)
+    return _grouped_lists(edges, "item_id", "user_id", "user_ids", max_list)
 
 
-def user_baskets(edges: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
-    """``(user_id, item_block, item_ids)``: ascending distinct items per user."""
-    return _grouped_lists(edges, "user_id", "item_id", "item_ids", block_bits)
+def user_baskets(edges: DataFrame, max_list: int = DEFAULT_MAX_LIST) -> DataFrame:
+    """``(user_id, block, item_ids)``: ascending distinct items per user, one row
+    per user (blocks as in :func:`inverted_index`)."""
+    return _grouped_lists(edges, "user_id", "item_id", "item_ids", max_list)
 
 
 def basket_sizes(edges: DataFrame) -> DataFrame:
@@ -63,30 +66,30 @@ def basket_sizes(edges: DataFrame) -> DataFrame:
     return edges.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def _split_counts(edges: DataFrame, block_size: int,
+def _split_counts(edges: DataFrame, key: str, block_size: int,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Attach ``nsplit`` (hash blocks of the user's basket) to each edge.
+    """Attach ``nsplit`` (hash blocks of the key's members) to each edge.
 
-    Heavy users number at most ``|edges| / block_size``.  Their count is
-    checked first: none -> no join at all; up to ``broadcast_rows`` -> the
-    (user_id, nsplit) table is broadcast, so the edges are not shuffled by
-    user; beyond that -> a shuffle join whose skewed partitions AQE splits.
+    Heavy keys number at most ``|edges| / block_size``.  Their table is
+    written once and counted: none -> no join at all; up to
+    ``broadcast_rows`` -> it is broadcast, so the edges are not shuffled for
+    it; beyond that -> a shuffle join whose skewed partitions AQE splits.
     """
-    heavy = (basket_sizes(edges)
-             .where(F.col("n_items") > block_size)
-             .select("user_id", F.ceil(F.col("n_items") / F.lit(block_size)).cast("int").alias("nsplit")))
+    heavy = materialize(
+        edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_size)
+        .select(key, F.ceil(F.col("n") / F.lit(block_size)).cast("int").alias("nsplit")), "heavy-keys")
     n_heavy = heavy.count()
     if n_heavy == 0:
         return edges.withColumn("nsplit", F.lit(1))
     side = F.broadcast(heavy) if n_heavy <= broadcast_rows else heavy
-    return (edges.join(side, "user_id", "left")
+    return (edges.join(side, key, "left")
             .withColumn("nsplit", F.coalesce(F.col("nsplit"), F.lit(1))))
 
 
 def item_pairs(edges: DataFrame, block_size: int = DEFAULT_PAIR_BLOCK) -> DataFrame:
     """``(user_id, item_a, item_b)`` with ``item_a < item_b`` for every pair of
     items one user holds (edges must be distinct)."""
-    e = _split_counts(edges, block_size)
+    e = _split_counts(edges, "user_id", block_size)
     h = F.pmod(F.xxhash64("item_id"), F.col("nsplit")).cast("int")
     fan = F.explode(F.sequence(F.lit(0), F.col("nsplit") - 1))
     left = e.select("user_id", F.col("item_id").alias("item_a"), h.alias("p"), fan.alias("q"))
@@ -119,57 +122,43 @@ def item_degrees(edges: DataFrame) -> DataFrame:
 
 
 def top_item_pairs_pruned(edges: DataFrame, limit: int = TOP_PAIRS,
-                          block_size: int = DEFAULT_PAIR_BLOCK, max_fraction: float = 0.5) -> DataFrame:
-    """Exact top ``limit`` pairs without counting every pair when possible.
-
-    A pair's count is at most either item's user count.  Counting only the
-    pairs among items with ``n_users >= T`` therefore yields every pair whose
-    count is ``>= T`` with its exact count; when at least ``limit`` such pairs
-    exist they are exactly the top ``limit``.  Otherwise ``T`` is halved; at
-    ``T <= 1`` this is the full computation.  ``T`` starts at the user count
-    of the ``4*ceil(sqrt(2*limit))``-th most shared item; once the items
-    above ``T`` hold more than ``max_fraction`` of the edges, every pair is
-    counted instead.
+                          block_size: int = DEFAULT_PAIR_BLOCK) -> DataFrame:
+    """Exact top ``limit`` pairs in two passes.
+
+    A pair's count is at most either item's user count.  The ``limit``-th
+    count ``L`` among the pairs of the most shared items (a few hundred) is a
+    lower bound of the true one, so every top pair, ties included, has both
+    items at ``L`` users or more: only those items' pairs are counted.
     """
     if limit <= 0:
         return top_item_pairs(item_cooccurrence(edges.limit(0), block_size), limit)
     deg = materialize(item_degrees(edges), "item-degrees")
     k0 = 4 * math.ceil(math.sqrt(2 * limit))
-    top_deg = deg.orderBy(F.col("n_users").desc()).select("n_users").limit(k0).collect()
-    threshold = top_deg[-1][0] if len(top_deg) == k0 else 1
-    thresholds = []
-    while threshold > 1:
-        thresholds.append(threshold)
-        threshold //= 2
-    if thresholds:
-        # edges held by the items above every candidate threshold, in one job
-        n = F.col("n_users")
-        row = deg.agg(F.sum(n).alias("total"),
-                      *[F.sum(F.when(n >= t, n)).alias(f"t{i}") for i, t in enumerate(thresholds)]).first()
-        for i, t in enumerate(thresholds):
-            if (row[f"t{i}"] or 0) > max_fraction * (row["total"] or 0):
-                break  # pruning would save little: count every pair
-            hot = deg.where(n >= t).select("item_id")
-            cooc = materialize(item_cooccurrence(edges.join(hot, "item_id", "left_semi"), block_size),
-                               "pairs-pruned")
-            if cooc.where(F.col("n_users") >= t).count() >= limit:
-                return top_item_pairs(cooc, limit)
+    head = deg.orderBy(F.col("n_users").desc(), F.col("item_id")).limit(k0).select("item_id")
+    hot = edges.join(F.broadcast(head), "item_id", "left_semi")  # k0 rows
+    first = top_item_pairs(item_cooccurrence(hot, block_size), limit).agg(
+        F.count(F.lit(1)).alias("n"), F.min("n_users").alias("least")).first()
+    least = first["least"] if first["n"] == limit else 1
+    if least > 1:
+        edges = materialize(edges.join(deg.where(F.col("n_users") >= least).select("item_id"), "item_id", "left_semi"),
+                            "pair-edges")
     return top_item_pairs(item_cooccurrence(edges, block_size), limit)
 
 
+def metric_rows(one_row: DataFrame) -> DataFrame:
+    """``(metric, value)`` rows from a single row of counts."""
+    cols = one_row.columns
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in cols])
+    return one_row.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")
+
+
 def cooccurrence_stats(log: DataFrame, edges: DataFrame, cooccurrence: DataFrame) -> DataFrame:
     """``(metric, value)`` rows: deep rows, edges, indexed items, users, pairs.
 
-    A union of single-row aggregates: lazy, no cross join.
+    One aggregate per table (``edges`` should be a written table).
     """
-    parts = [
-        deep_interactions(log).agg(F.lit("n_deep_rows").alias("metric"), F.count(F.lit(1)).alias("value")),
-        edges.agg(F.lit("n_edges").alias("metric"), F.count(F.lit(1)).alias("value")),
-        edges.agg(F.lit("n_items").alias("metric"), F.count_distinct("item_id").alias("value")),
-        edges.agg(F.lit("n_users").alias("metric"), F.count_distinct("user_id").alias("value")),
-        cooccurrence.agg(F.lit("n_pairs").alias("metric"), F.count(F.lit(1)).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    n_deep = deep_interactions(log).agg(F.count(F.lit(1)).alias("n_deep_rows"))
+    e = edges.agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct("item_id").alias("n_items"),
+                  F.count_distinct("user_id").alias("n_users"))
+    n_pairs = cooccurrence.agg(F.count(F.lit(1)).alias("n_pairs"))
+    return metric_rows(n_deep).unionByName(metric_rows(e)).unionByName(metric_rows(n_pairs))

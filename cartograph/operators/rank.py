@@ -26,7 +26,10 @@ Scale design (see :func:`personal_rank`):
   -> one ``groupBy(node)`` that yields the new score, the old score (for the
   change) and the node attributes; change and dangling mass are collected
   with an ``Observation`` while the vector is written to the shared
-  checkpoint folder, which also cuts the lineage every turn.
+  checkpoint folder, which also cuts the lineage every turn;
+* for ``alpha < 1`` a reached node keeps a positive score, so the reached set
+  only grows; after the first turn that adds no node it is closed, and the
+  walk goes on over the edges that start in it, written once.
 """
 
 from __future__ import annotations
@@ -37,12 +40,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartograph.schema import RANK_ALPHA, RANK_DECIMALS, RANK_MAX_ITER, RANK_TOL, RANK_TOP_K
-from cartograph.session import materialize, scratch_path, shuffle_partitions
+from cartograph.operators.cooccur import metric_rows
+from cartograph.session import drop_folder, loop_session, materialize, scratch_path
 
 USER, ITEM = 0, 1
 DEFAULT_RANK_BLOCK = 1 << 16
 # edge rows are ~45 bytes: 2M rows is a ~90 MB bucket
 EDGES_PER_BUCKET = 2_000_000
+# a small graph's buckets hold at least so many edges; Spark refuses more than
+# 100,000 buckets, so beyond 10^11 edges the buckets grow instead
+LEAST_EDGES_PER_BUCKET = 50_000
+MAX_BUCKETS = 50_000
 # vector rows are ~25 bytes: 1M rows is a ~25 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
 _NODE = ["kind", "id"]
@@ -82,18 +90,18 @@ def graph_nodes(graph: DataFrame) -> DataFrame:
 
 
 def graph_stats(graph: DataFrame) -> DataFrame:
-    """``(metric, value)``: nodes, users, items, edges."""
-    nodes = graph_nodes(graph)
-    parts = [
-        nodes.agg(F.lit("n_nodes").alias("metric"), F.count(F.lit(1)).alias("value")),
-        nodes.agg(F.lit("n_users").alias("metric"), F.count_if(F.col("kind") == USER).alias("value")),
-        nodes.agg(F.lit("n_items").alias("metric"), F.count_if(F.col("kind") == ITEM).alias("value")),
-        graph.agg(F.lit("n_edges").alias("metric"), F.count(F.lit(1)).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """``(metric, value)``: nodes, users, items, edges.
+
+    One pass: every edge gives its two endpoints, a node's row carries the
+    edges that start there.
+    """
+    ends = graph.select(F.explode(F.array(
+        F.struct(F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), F.lit(1).alias("out")),
+        F.struct(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"), F.lit(0).alias("out")))).alias("e"))
+    nodes = ends.groupBy("e.kind", "e.id").agg(F.sum("e.out").alias("out_deg"))
+    return metric_rows(nodes.agg(
+        F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("kind") == USER).alias("n_users"),
+        F.count_if(F.col("kind") == ITEM).alias("n_items"), F.coalesce(F.sum("out_deg"), F.lit(0)).alias("n_edges")))
 
 
 def node_table(graph: DataFrame, block_size: int = DEFAULT_RANK_BLOCK) -> DataFrame:
@@ -116,25 +124,28 @@ def dangling_mass(rank: DataFrame, graph: DataFrame) -> DataFrame:
             .agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("dangling")))
 
 
-def rank_step(graph: DataFrame, rank: DataFrame, target: int, alpha: float = RANK_ALPHA) -> DataFrame:
+def rank_step(graph: DataFrame, rank: DataFrame, target: int, alpha: float = RANK_ALPHA,
+              block_size: int = DEFAULT_RANK_BLOCK) -> DataFrame:
     """One turn from a sparse vector ``(kind, id, score)``; sparse result.
 
-    Plain (unsalted) form of the turn used by :func:`personal_rank`.
+    The same salted turn as :func:`personal_rank` runs (``_TURN_SQL``).
     """
-    deg = out_degree(graph)
-    dangling = dangling_mass(rank, graph).first()["dangling"]
-    active = rank.join(deg, _NODE)
-    inc = (graph.join(active.select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"),
-                                    "score", "out_deg"), ["src_kind", "src_id"])
-           .select(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"),
-                   (F.col("score") / F.col("out_deg")).alias("inc"), F.lit(0.0).alias("rst")))
-    nodes = graph_nodes(graph)
-    restart = (nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target)))
-               .select("kind", "id", F.lit(0.0).alias("inc"),
-                       F.lit((1.0 - alpha) + alpha * dangling).alias("rst")))
-    new = (inc.unionByName(restart).groupBy(*_NODE)
-           .agg((F.sum("rst") + F.lit(alpha) * F.sum("inc")).alias("score")))
-    return new.where(F.col("score") != 0)
+    spark = graph.sparkSession
+    nodes = materialize(node_table(graph, block_size), "rank-nodes")
+    vec = materialize(rank.join(nodes, _NODE).select("kind", "id", "score", "out_deg", "nsalt"), "rank-vector")
+    dangling = vec.where("out_deg = 0").agg(F.sum("score")).first()[0] or 0.0
+    trow = nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).first()
+    tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
+    views = {f"{tag}_edges": _weighted_edges(graph, nodes), f"{tag}_vec": vec}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        new = spark.sql(_TURN_SQL.format(edges=f"{tag}_edges", vec=f"{tag}_vec", alpha=repr(float(alpha)),
+                                         restart=_restart_sql(trow, target, alpha, dangling), join_hint="SHUFFLE_HASH"))
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+    return new.where(F.col("score") != 0).select("kind", "id", "score")
 
 
 def rank_delta(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -187,82 +198,106 @@ FROM (
 """
 
 
+def _restart_sql(trow, target: int, alpha: float, dangling: float) -> str:
+    """The restart row of a turn; none when the target is not in the graph."""
+    if trow is None:
+        return ""
+    return (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
+            f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
+            f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
+
+
+def bucket_count(n_edges: int, parallelism: int) -> int:
+    """Buckets of the edge table: by edge count, one per core where that still
+    leaves LEAST_EDGES_PER_BUCKET, never above MAX_BUCKETS."""
+    wanted = max(-(-n_edges // EDGES_PER_BUCKET), min(parallelism, -(-n_edges // LEAST_EDGES_PER_BUCKET)))
+    return min(MAX_BUCKETS, max(1, wanted))
+
+
 def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
                   max_iter: int = RANK_MAX_ITER, tol: float = RANK_TOL,
                   block_size: int = DEFAULT_RANK_BLOCK, partitions: int | None = None,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> RankResult:
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS, keep_turns: bool = True) -> RankResult:
     """Run the walk from user ``target`` over ``graph`` (src/dst edge table).
 
-    The vector's row count is known after every turn: up to
-    ``broadcast_rows`` it is broadcast to the edge scan, beyond that it is
+    The rows that a turn's join replicates the vector to are known after the
+    turn before (a row per salt of each node with out-edges): up to
+    ``broadcast_rows`` they are broadcast to the edge scan, beyond that
     shuffled into the edge table's buckets (shuffle-hash join, edges stream).
+    ``keep_turns=False`` deletes vectors that no later turn reads.
     """
     spark = graph.sparkSession
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
-    # buckets sized from the edge count (sum of out-degrees), at least one per core
     n_edges = nodes.agg(F.coalesce(F.sum("out_deg"), F.lit(0))).first()[0]
-    parts = partitions or max(spark.sparkContext.defaultParallelism,
-                              -(-n_edges // EDGES_PER_BUCKET))
-    keys = ["src_kind", "src_id", "salt"]
+    parts = partitions or bucket_count(n_edges, spark.sparkContext.defaultParallelism)
+    own = loop_session(spark, parts)
     tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
-    edges_table, vec_view = f"{tag}_edges", f"{tag}_vec"
-    # Static edges as a bucketed external table in the shared folder: each
-    # turn's join reads it already hash-partitioned on the join keys, so only
-    # the vector is shuffled (or broadcast when AQE measures it small).
-    (_weighted_edges(graph, nodes).repartition(parts, *keys)
-     .write.bucketBy(parts, *keys).option("path", scratch_path(spark, "rank-edges"))
-     .saveAsTable(edges_table))
+    edges_table, vec_view = f"spark_catalog.default.{tag}_edges", f"{tag}_vec"
+    closed_table = f"{edges_table}_closed"
+    base = scratch_path(spark, "rank-vector")
 
     trow = nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).first()
-    if trow is None:
-        vec = spark.createDataFrame([], _VEC_SCHEMA)
-        dangling = 0.0
-    else:
-        vec = spark.range(1).select(
+    vec, dangling, n_vec, n_sent = own.createDataFrame([], _VEC_SCHEMA), 0.0, 0, 0
+    if trow is not None:
+        vec = own.range(1).select(
             F.lit(USER).alias("kind"), F.lit(target).cast("long").alias("id"), F.lit(1.0).alias("score"),
             F.lit(trow["out_deg"]).cast("long").alias("out_deg"), F.lit(trow["nsalt"]).cast("int").alias("nsalt"))
         dangling = 1.0 if trow["out_deg"] == 0 else 0.0
+        n_vec, n_sent = 1, trow["nsalt"]
 
-    base = scratch_path(spark, "rank-vector")
     changes: list[float] = []
-    converged = False
-    it = 0
-    n_vec = 0 if trow is None else 1
+    converged, closed, it, path = False, False, 0, None
     try:
-        with shuffle_partitions(spark, parts):
-            for it in range(1, max_iter + 1):
-                vec.createOrReplaceTempView(vec_view)
-                restart = ""
-                if trow is not None:
-                    restart = (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
-                               f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
-                               f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
-                hint = "BROADCAST" if n_vec <= broadcast_rows else "SHUFFLE_HASH"
-                new = spark.sql(_TURN_SQL.format(edges=edges_table, vec=vec_view, alpha=repr(float(alpha)),
-                                                 restart=restart, join_hint=hint))
-                obs = Observation(f"rank-turn-{it}")
-                new = new.observe(obs,
-                                  F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
-                                  F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
-                                  F.count_if(F.col("score") != 0).alias("rows"))
-                path = f"{base}/turn-{it}"
-                new.where(F.col("score") != 0).drop("old").write.parquet(path)
-                m = obs.get
-                change = m.get("change") or 0.0
-                dangling = m.get("dangling") or 0.0
-                n_vec = m.get("rows") or 0
-                changes.append(change)
-                vec = spark.read.schema(_VEC_SCHEMA).parquet(path)
-                if change < tol:
-                    converged = True
-                    break
+        _write_bucketed(_weighted_edges(graph, nodes), edges_table, parts, scratch_path(spark, "rank-edges"))
+        edges = edges_table
+        for it in range(1, max_iter + 1):
+            vec.createOrReplaceTempView(vec_view)
+            hint = "BROADCAST" if n_sent <= broadcast_rows else "SHUFFLE_HASH"
+            new = own.sql(_TURN_SQL.format(edges=edges, vec=vec_view, alpha=repr(float(alpha)), join_hint=hint,
+                                           restart=_restart_sql(trow, target, alpha, dangling)))
+            obs = Observation(f"rank-turn-{it}")
+            live = F.col("score") != 0
+            new = new.observe(obs,
+                              F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
+                              F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
+                              F.sum(F.when(live & (F.col("out_deg") > 0), F.col("nsalt"))).alias("sent"),
+                              F.count_if(live).alias("rows"))
+            last, path = path, f"{base}/turn-{it}"
+            new.where(live).drop("old").write.parquet(path)
+            m = obs.get
+            change, dangling, n_sent = m.get("change") or 0.0, m.get("dangling") or 0.0, m.get("sent") or 0
+            grown, n_vec = (m.get("rows") or 0) > n_vec, m.get("rows") or 0
+            changes.append(change)
+            vec = own.read.schema(_VEC_SCHEMA).parquet(path)
+            if last and not keep_turns:
+                drop_folder(spark, last)
+            if change < tol:
+                converged = True
+                break
+            if not grown and not closed and 0 < alpha < 1 and trow is not None:
+                closed = True
+                reached = vec.where("out_deg > 0").select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"))
+                if n_vec <= broadcast_rows:
+                    reached = F.broadcast(reached)
+                inside = own.table(edges_table).join(reached, ["src_kind", "src_id"], "left_semi")
+                _write_bucketed(inside, closed_table, parts, scratch_path(spark, "rank-edges"))
+                edges = closed_table
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
-        spark.catalog.dropTempView(vec_view)
-    return RankResult(scores=vec.select("kind", "id", "score"), nodes=nodes, iterations=it,
+        for table in (edges_table, closed_table):
+            own.sql(f"DROP TABLE IF EXISTS {table}")
+        own.catalog.dropTempView(vec_view)
+    scores = spark.read.schema(_VEC_SCHEMA).parquet(path) if path else spark.createDataFrame([], _VEC_SCHEMA)
+    return RankResult(scores=scores.select("kind", "id", "score"), nodes=nodes, iterations=it,
                       converged=converged, target_in_graph=trow is not None, changes=changes)
 
 
+def _write_bucketed(edges: DataFrame, table: str, parts: int, path: str) -> None:
+    """Static edges as an external table in the shared folder, bucketed on the
+    join keys: a turn reads it already partitioned and moves only the vector."""
+    keys = ["src_kind", "src_id", "salt"]
+    (edges.repartition(parts, *keys).write.bucketBy(parts, *keys).option("path", path).saveAsTable(table))
+
+
 def seen_items(edges: DataFrame, target: int) -> DataFrame:
     """Distinct items the target user interacted with (deep edges)."""
     return edges.where(F.col("user_id") == F.lit(target)).select("item_id").distinct()

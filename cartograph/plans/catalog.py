@@ -131,10 +131,26 @@ def _edges(spark, sf_dir):
     return CO.interaction_edges(_log(spark, sf_dir))
 
 
+def _written_edges(spark, sf_dir):
+    return materialize(_edges(spark, sf_dir), "edges")
+
+
+def _lineitem_edges(spark, sf_dir):
+    return materialize(CO.interaction_edges(A.lineitem_behavior_log(spark, sf_dir)), "edges")
+
+
 def _list_text(col):
     return F.array_join(F.col(col).cast("array<string>"), ",")
 
 
+def _index_rows(idx):
+    return idx.select("item_id", F.size("user_ids").cast("bigint").alias("n_users"), _list_text("user_ids").alias("user_ids"))
+
+
+def _basket_rows(b):
+    return b.select("user_id", F.size("item_ids").cast("bigint").alias("n_items"), _list_text("item_ids").alias("item_ids"))
+
+
 @register("deep_interactions", O.DEEP + """
 SELECT user_id, item_id, category_id, behavior_type, ts, split FROM deep""")
 def q_deep_interactions(spark, sf_dir):
@@ -148,29 +164,23 @@ def q_interaction_edges(spark, sf_dir):
 
 
 @register("inverted_index", O.DEEP + """
-SELECT item_id, user_id >> 20 AS user_block, count(*) AS n_users,
-       string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids
-FROM edges GROUP BY item_id, user_id >> 20""")
+SELECT item_id, count(*) AS n_users, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids
+FROM edges GROUP BY item_id""")
 def q_inverted_index(spark, sf_dir):
-    idx = CO.inverted_index(_edges(spark, sf_dir))
-    return idx.select("item_id", "user_block", F.size("user_ids").cast("bigint").alias("n_users"),
-                      _list_text("user_ids").alias("user_ids"))
+    return _index_rows(CO.inverted_index(_written_edges(spark, sf_dir)))
 
 
 @register("user_baskets", O.DEEP + """
-SELECT user_id, item_id >> 20 AS item_block, count(*) AS n_items,
-       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
-FROM edges GROUP BY user_id, item_id >> 20""")
+SELECT user_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
+FROM edges GROUP BY user_id""")
 def q_user_baskets(spark, sf_dir):
-    b = CO.user_baskets(_edges(spark, sf_dir))
-    return b.select("user_id", "item_block", F.size("item_ids").cast("bigint").alias("n_items"),
-                    _list_text("item_ids").alias("item_ids"))
+    return _basket_rows(CO.user_baskets(_written_edges(spark, sf_dir)))
 
 
 @register("item_pairs", O.PAIRS + """
 SELECT user_id, item_a, item_b FROM pairs""")
 def q_item_pairs(spark, sf_dir):
-    return CO.item_pairs(_edges(spark, sf_dir))
+    return CO.item_pairs(_written_edges(spark, sf_dir))
 
 
 @register("item_pairs_split_baskets", O.PAIRS + """
@@ -178,19 +188,19 @@ SELECT user_id, item_a, item_b FROM pairs""")
 def q_item_pairs_split_baskets(spark, sf_dir):
     # Same pairs with every basket above 8 items split into hash blocks:
     # exercises the hot-user path on the whole table.
-    return CO.item_pairs(_edges(spark, sf_dir), block_size=8)
+    return CO.item_pairs(_written_edges(spark, sf_dir), block_size=8)
 
 
 @register("item_cooccurrence", O.PAIRS + """
 SELECT item_a, item_b, n_users FROM cooc""")
 def q_item_cooccurrence(spark, sf_dir):
-    return CO.item_cooccurrence(_edges(spark, sf_dir))
+    return CO.item_cooccurrence(_written_edges(spark, sf_dir))
 
 
 @register("top_item_pairs", O.PAIRS + """
 SELECT item_a, item_b, n_users FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000""")
 def q_top_item_pairs(spark, sf_dir):
-    return CO.top_item_pairs(CO.item_cooccurrence(_edges(spark, sf_dir)))
+    return CO.top_item_pairs(CO.item_cooccurrence(_written_edges(spark, sf_dir)))
 
 
 @register("top_item_pairs_pruned", O.PAIRS + """
@@ -206,8 +216,7 @@ UNION ALL SELECT 'n_items', count(DISTINCT item_id) FROM edges
 UNION ALL SELECT 'n_users', count(DISTINCT user_id) FROM edges
 UNION ALL SELECT 'n_pairs', count(*) FROM cooc""")
 def q_cooccurrence_stats(spark, sf_dir):
-    log = _log(spark, sf_dir)
-    edges = CO.interaction_edges(log)
+    log, edges = _log(spark, sf_dir), _written_edges(spark, sf_dir)
     return CO.cooccurrence_stats(log, edges, CO.item_cooccurrence(edges))
 
 
@@ -222,8 +231,14 @@ def _graph(spark, sf_dir):
     return RK.bipartite_edges(_edges(spark, sf_dir))
 
 
+def _listing(spark, sf_dir):
+    """What a memo of results over ``sf_dir`` depends on: its files, sizes and times."""
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet").select("path", "length", "modificationTime")
+    return (spark.sparkContext.applicationId, *map(tuple, files.orderBy("path").collect()))
+
+
 def _walk(spark, sf_dir, target=RANK_TARGET) -> RK.RankResult:
-    key = (spark.sparkContext.applicationId, sf_dir, target)
+    key = (_listing(spark, sf_dir), target)
     if key not in _RANK_MEMO:
         _RANK_MEMO[key] = RK.personal_rank(_graph(spark, sf_dir), target)
     return _RANK_MEMO[key]
@@ -367,7 +382,7 @@ def _points(spark, sf_dir):
 
 
 def _kmeans(spark, sf_dir) -> KM.KMeansResult:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _listing(spark, sf_dir)
     if key not in _KM_MEMO:
         _KM_MEMO[key] = KM.kmeans(_points(spark, sf_dir))
     return _KM_MEMO[key]
@@ -596,9 +611,9 @@ def q_write_user_features(spark, sf_dir):
 
 @register("write_inverted_index", O.DEEP + """
 SELECT CAST(item_id AS VARCHAR) || chr(9) || string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS value
-FROM edges GROUP BY item_id, user_id >> 20""")
+FROM edges GROUP BY item_id""")
 def q_write_inverted_index(spark, sf_dir):
-    return _round_trip(spark, SK.write_inverted_index, CO.inverted_index(_edges(spark, sf_dir)),
+    return _round_trip(spark, SK.write_inverted_index, CO.inverted_index(_written_edges(spark, sf_dir)),
                        "sink-index")
 
 
@@ -607,7 +622,7 @@ SELECT printf('%d,%d', item_a, item_b) || chr(9) || CAST(n_users AS VARCHAR) AS
 FROM (SELECT * FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000)""")
 def q_write_cooccurrence(spark, sf_dir):
     return _round_trip(spark, SK.write_cooccurrence,
-                       CO.top_item_pairs(CO.item_cooccurrence(_edges(spark, sf_dir))), "sink-pairs")
+                       CO.top_item_pairs(CO.item_cooccurrence(_written_edges(spark, sf_dir))), "sink-pairs")
 
 
 @register("write_centres", O.kmeans_loop() + """
@@ -713,3 +728,179 @@ SELECT count(*) AS n_lines,
 FROM cls""")
 def q_line_stats(spark, sf_dir):
     return TX.line_stats(_lines(spark, sf_dir))
+
+
+# ------------------------------------------ larger graph, large ids, hot keys
+
+_LARGE = """,
+large AS (SELECT DISTINCT user_id * 4194304 + 5 AS user_id, item_id * 1099511627776 + 7 AS item_id FROM edges)"""
+
+
+def _large_edges(spark, sf_dir):
+    # ids far apart: neighbours in a list differ by more than any fixed id range
+    return _written_edges(spark, sf_dir).select((F.col("user_id") * 4194304 + 5).alias("user_id"),
+                                                (F.col("item_id") * 1099511627776 + 7).alias("item_id"))
+
+
+@register("inverted_index_large_ids", O.DEEP + _LARGE + """
+SELECT item_id, count(*) AS n_users, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids
+FROM large GROUP BY item_id""")
+def q_inverted_index_large_ids(spark, sf_dir):
+    return _index_rows(CO.inverted_index(_large_edges(spark, sf_dir)))
+
+
+@register("user_baskets_large_ids", O.DEEP + _LARGE + """
+SELECT user_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids
+FROM large GROUP BY user_id""")
+def q_user_baskets_large_ids(spark, sf_dir):
+    return _basket_rows(CO.user_baskets(_large_edges(spark, sf_dir)))
+
+
+@register("inverted_index_split_lists", O.DEEP + """
+SELECT item_id, user_id, count(*) OVER (PARTITION BY item_id) AS n_users,
+       CAST(ceil(count(*) OVER (PARTITION BY item_id) / 8.0) AS BIGINT) AS n_blocks FROM edges""")
+def q_inverted_index_split_lists(spark, sf_dir):
+    # every list above 8 users is split; the blocks rejoin to the whole list
+    idx = materialize(CO.inverted_index(_written_edges(spark, sf_dir), max_list=8), "split-index")
+    sizes = idx.groupBy("item_id").agg(F.sum(F.size("user_ids")).cast("bigint").alias("n_users"))
+    return (idx.select("item_id", F.explode("user_ids").alias("user_id")).join(sizes, "item_id")
+            .select("item_id", "user_id", "n_users", F.ceil(F.col("n_users") / 8).cast("bigint").alias("n_blocks")))
+
+
+@register("inverted_index_lineitem", O.lineitem(O.DEEP) + """
+SELECT item_id, count(*) AS n_users, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids
+FROM edges GROUP BY item_id""")
+def q_inverted_index_lineitem(spark, sf_dir):
+    return _index_rows(CO.inverted_index(_lineitem_edges(spark, sf_dir)))
+
+
+@register("pair_histogram_lineitem", O.lineitem(O.PAIRS) + """
+SELECT n_users, count(*) AS n_pairs, sum(item_a % 1000 + item_b % 1000)::BIGINT AS id_sum FROM cooc GROUP BY n_users""")
+def q_pair_histogram_lineitem(spark, sf_dir):
+    return CO.item_cooccurrence(_lineitem_edges(spark, sf_dir)).groupBy("n_users").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum(F.col("item_a") % 1000 + F.col("item_b") % 1000).alias("id_sum"))
+
+
+@register("top_item_pairs_lineitem", O.lineitem(O.PAIRS) + """
+SELECT item_a, item_b, n_users FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 1000""")
+def q_top_item_pairs_lineitem(spark, sf_dir):
+    return CO.top_item_pairs_pruned(_lineitem_edges(spark, sf_dir))
+
+
+@register("top_item_pairs_pruned_pass", O.lineitem(O.PAIRS) + """
+SELECT item_a, item_b, n_users FROM cooc ORDER BY n_users DESC, item_a, item_b LIMIT 5""")
+def q_top_item_pairs_pruned_pass(spark, sf_dir):
+    # few pairs wanted: the bound of the first pass leaves rare items out of the second
+    return CO.top_item_pairs_pruned(_lineitem_edges(spark, sf_dir), limit=5)
+
+
+@register("user_features_norm_lineitem", O.lineitem(O.NORM) + """
+SELECT user_id, f1, f2, f3 FROM norm""")
+def q_user_features_norm_lineitem(spark, sf_dir):
+    return FT.normalized_user_features(C.clean_behavior_log(A.lineitem_behavior_log(spark, sf_dir)))
+
+
+@register("personal_rank_lineitem", O.lineitem(O.rank_walk()) + """
+SELECT kind, id, round(score, 9) AS score FROM final WHERE score <> 0""")
+def q_personal_rank_lineitem(spark, sf_dir):
+    return RK.personal_rank(RK.bipartite_edges(_lineitem_edges(spark, sf_dir)), RANK_TARGET).scores.select("kind", "id", _r9("score"))
+
+
+@register("personal_rank_salted", O.rank_walk() + """
+SELECT kind, id, round(score, 9) AS score FROM final WHERE score <> 0""")
+def q_personal_rank_salted(spark, sf_dir):
+    # every node above 4 edges salted, the vector shuffled into the buckets, old turns dropped
+    return RK.personal_rank(_graph(spark, sf_dir), RANK_TARGET, block_size=4, broadcast_rows=0, partitions=3,
+                            keep_turns=False).scores.select("kind", "id", _r9("score"))
+
+
+# ------------------------------------------------- damaged features, seeded start
+
+@register("parse_user_features_damaged", O.DAMAGED_FEATURES)
+def q_parse_user_features_damaged(spark, sf_dir):
+    t = {c: F.format_string("%.4f", c) for c in ("f1", "f2", "f3")}
+    u, d = F.col("user_id").cast("string"), F.col("user_id") % 12
+    kinds = [F.concat_ws(",", u, t["f1"])] + [F.concat_ws(",", u, F.lit(w), t["f2"], t["f3"])
+                                              for w in ("x", "inf", "nan", "NaN", "-Infinity")]
+    kinds += [F.concat_ws(",", u, *t.values(), F.lit("extra")),
+              F.concat(F.lit(" "), u, F.lit(" , "), t["f1"], F.lit(" ,"), t["f2"], F.lit(","), t["f3"]),
+              F.concat_ws(",", F.concat(u, F.lit(".5")), *t.values()), F.concat_ws(",", u, t["f1"], F.lit("-Inf"), t["f3"])]
+    value = F.concat_ws(",", u, *t.values())
+    for i, k in enumerate(kinds):
+        value = F.when(d == i, k).otherwise(value)
+    path = scratch_path(spark, "features-damaged")
+    FT.normalized_user_features(_clean(spark, sf_dir)).select(value.alias("value")).write.text(path)
+    got = TX.read_user_features(spark, path)
+    inf = float("inf")
+
+    def shown(c):
+        return (F.when(F.isnan(c), "NaN").when(F.col(c) == inf, "Infinity").when(F.col(c) == -inf, "-Infinity")
+                .otherwise(F.format_string("%.4f", c)).alias(c))
+
+    return got.select("user_id", *[shown(c) for c in ("f1", "f2", "f3")])
+
+
+@register("init_centres_seeded", O.POINTS + f"""
+SELECT cluster_id, f1, f2, f3 FROM {O.SEEDED_INIT}""")
+def q_init_centres_seeded(spark, sf_dir):
+    return KM.centres_frame(spark, KM.init_centres(_points(spark, sf_dir), 3, method="seeded"))
+
+
+@register("kmeans_seeded", O.kmeans_loop(init=O.SEEDED_INIT) + """
+SELECT cluster_id, round(f1, 9) AS f1, round(f2, 9) AS f2, round(f3, 9) AS f3 FROM centres""")
+def q_kmeans_seeded(spark, sf_dir):
+    return KM.kmeans(_points(spark, sf_dir), init="seeded").centres_frame(spark).select(
+        "cluster_id", _r9("f1"), _r9("f2"), _r9("f3"))
+
+
+# ------------------------------------------------------------- run statistics
+
+def _union_metrics(with_sql: str, **metrics: str) -> str:
+    """Metric rows: each value is ``expression FROM ...`` over the CTEs of ``with_sql``."""
+    return with_sql + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{k}' AS metric, round(CAST({v.split(' FROM ', 1)[0]} AS DOUBLE), 6) AS value FROM {v.split(' FROM ', 1)[1]}"
+        for k, v in metrics.items())
+
+
+def _rounded(stats):
+    return stats.select("metric", F.round("value", 6).alias("value"))
+
+
+@register("run_features_stats", _union_metrics(
+    O.NORM_TEXT, n_train_rows="count(*) FROM src WHERE split = 'train'", n_test_rows="count(*) FROM src WHERE split = 'test'",
+    n_clean_rows="count(*) FROM clean", max_ts="max(ts) FROM clean", n_users="count(*) FROM agg",
+    **{f"{c}_{f}": f"{f}({c}) FROM feat" for c in ("recency_days", "activity_count", "value_score") for f in ("min", "max")}))
+def q_run_features_stats(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return _rounded(J.run_features(spark, train, test, scratch_path(spark, "job-features")).stats)
+
+
+@register("run_cooccurrence_stats", _union_metrics(
+    O.PAIRS_TEXT, n_lines="count(*) FROM lines", n_deep_rows="count(*) FROM deep", n_edges="count(*) FROM edges",
+    n_items="count(DISTINCT item_id) FROM edges", n_users="count(DISTINCT user_id) FROM edges", n_pairs="count(*) FROM cooc"))
+def q_run_cooccurrence_stats(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return _rounded(J.run_cooccurrence(spark, train, test, scratch_path(spark, "job-cooccurrence")).stats)
+
+
+@register("run_clustering_stats", _union_metrics(
+    O.kmeans_loop_text(), n_train_users="count(*) FROM train_users", n_clustered_users="count(*) FROM pts",
+    iterations="turn FROM kstop", **{f"n_cluster_{i}": f"count(*) FROM labels WHERE cluster_id = {i}" for i in range(3)}))
+def q_run_clustering_stats(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    feats = J.run_features(spark, train, test, scratch_path(spark, "job-features")).paths["features"]
+    clean_train, _ = _clean_text_files(spark, sf_dir)
+    return _rounded(J.run_clustering(spark, feats, scratch_path(spark, "job-clustering"), clean_train).stats)
+
+
+@register("run_rank_stats", _union_metrics(
+    O.rank_walk_text() + f""",
+top_score AS (SELECT coalesce(max(f.score), 0.0) AS score FROM nodes n LEFT JOIN final f ON f.kind = 1 AND f.id = n.id
+              WHERE n.kind = 1 AND n.id NOT IN (SELECT item_id FROM edges WHERE user_id = {RANK_TARGET}))""",
+    n_nodes="count(*) FROM nodes", n_users="count(*) FROM nodes WHERE kind = 0", n_items="count(*) FROM nodes WHERE kind = 1",
+    n_edges="count(*) FROM bi", iterations="turn FROM stop",
+    target_in_graph=f"count(*) FROM nodes WHERE kind = 0 AND id = {RANK_TARGET}",
+    top_score="score FROM top_score", low_score="(score < 0.0005)::INT FROM top_score"))
+def q_run_rank_stats(spark, sf_dir):
+    train, test = _text_files(spark, sf_dir)
+    return _rounded(J.run_rank(spark, train, test, scratch_path(spark, "job-rank"), RANK_TARGET).stats)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartograph import sinks
 from cartograph.operators import clean as C
@@ -16,7 +17,7 @@ from cartograph.operators import cluster as KM
 from cartograph.operators import cooccur as CO
 from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
-from cartograph.schema import KMEANS_K, RANK_TOP_K, TOP_PAIRS
+from cartograph.schema import KMEANS_K, RANK_TOP_K, TOP_PAIRS, VALID_BEHAVIORS
 from cartograph.session import materialize
 from cartograph.sources import text as TX
 
@@ -25,52 +26,94 @@ from cartograph.sources import text as TX
 class JobOutput:
     result: DataFrame
     paths: dict
+    stats: DataFrame           # (metric, value): the run's counts
+
+
+def _stats(spark: SparkSession, *parts, **scalars) -> DataFrame:
+    """One ``(metric STRING, value DOUBLE)`` table from metric frames and scalars."""
+    out = spark.createDataFrame([(k, float(v)) for k, v in scalars.items()], "metric string, value double")
+    for p in parts:
+        out = out.unionByName(p.select("metric", F.col("value").cast("double").alias("value")))
+    return out
 
 
 def run_features(spark: SparkSession, train: str, test: str, out: str) -> JobOutput:
-    """Clean both splits, write the clean log and the scaled features."""
-    log = C.clean_behavior_log(TX.read_behavior_log(spark, [train, test]))
+    """Clean both splits, write the clean log and the scaled features.
+
+    Statistics: records per split, clean records, users, latest time, bounds of the features.
+    """
+    splits = [TX.read_behavior_log(spark, p).withColumn("split", F.lit(n)) for n, p in (("train", train), ("test", test))]
+    log = materialize(C.union_splits(*splits), "log")
     log_path, feat_path = f"{out}/clean_behavior_log.csv", f"{out}/user_features.csv"
-    sinks.write_clean_log(log, log_path)
-    # the written clean log is the (already parsed) input of the aggregate
-    clean = TX.read_behavior_log(spark, log_path)
-    feats = FT.normalized_user_features(clean)
-    sinks.write_user_features(feats, feat_path)
-    return JobOutput(TX.read_user_features(spark, feat_path),
-                     {"clean_log": log_path, "features": feat_path})
+    clean = C.clean_behavior_log(log)
+    sinks.write_clean_log(clean, log_path)
+    raw = materialize(FT.user_features(clean), "user-features")
+    sinks.write_user_features(FT.min_max_normalize(raw), feat_path)
+    counts = CO.metric_rows(log.agg(
+        F.count_if(F.col("split") == "train").alias("n_train_rows"), F.count_if(F.col("split") == "test").alias("n_test_rows"),
+        F.count_if(F.col("behavior_type").isin(*VALID_BEHAVIORS)).alias("n_clean_rows"),
+        F.max(F.when(F.col("behavior_type").isin(*VALID_BEHAVIORS), F.col("ts"))).alias("max_ts")))
+    bounds = raw.agg(F.count(F.lit(1)).alias("n_users"), *[
+        f(c).cast("double").alias(f"{c}_{n}") for c in ("recency_days", "activity_count", "value_score")
+        for n, f in (("min", F.min), ("max", F.max))]).first().asDict()
+    return JobOutput(TX.read_user_features(spark, feat_path), {"clean_log": log_path, "features": feat_path},
+                     _stats(spark, counts, **{k: v for k, v in bounds.items() if v is not None}))
 
 
 def run_cooccurrence(spark: SparkSession, train: str, test: str | None, out: str,
                      limit: int = TOP_PAIRS) -> JobOutput:
-    """Inverted index and the top item pairs of the deep interactions."""
-    log = TX.read_behavior_log(spark, [train, test if test is not None else train])
+    """Inverted index and the top item pairs of the deep interactions.
+
+    ``limit`` bounds the report: its rows end in one file.  Statistics: text
+    lines, deep records, edges, indexed items, users, pairs.
+    """
+    paths = [train, test if test is not None else train]
+    lines = TX.read_lines(spark, paths)
+    log = TX.parse_behavior_lines(lines)
     edges = materialize(CO.interaction_edges(log), "edges")
     idx_path, pair_path = f"{out}/item_user_inverted_index.txt", f"{out}/item_co_occurrence.txt"
     sinks.write_inverted_index(CO.inverted_index(edges), idx_path)
-    sinks.write_cooccurrence(CO.top_item_pairs_pruned(edges, limit), pair_path)
-    return JobOutput(spark.read.text(pair_path), {"index": idx_path, "pairs": pair_path})
+    pairs = materialize(CO.item_cooccurrence(edges), "pairs")
+    sinks.write_cooccurrence(CO.top_item_pairs(pairs, limit), pair_path)
+    stats = _stats(spark, CO.cooccurrence_stats(log, edges, pairs), n_lines=lines.count())
+    return JobOutput(spark.read.text(pair_path), {"index": idx_path, "pairs": pair_path}, stats)
 
 
 def run_clustering(spark: SparkSession, features: str, out: str, train: str,
                    k: int = KMEANS_K, init="smallest_ids") -> JobOutput:
-    """K-means over the written features of the training users."""
-    pts = KM.restrict_to_users(TX.read_user_features(spark, features),
-                               TX.read_user_ids(spark, train, strict=True))
+    """K-means over the written features of the training users.
+
+    Statistics: distinct training users, users that enter clustering, turns,
+    users per cluster.
+    """
+    users = materialize(TX.read_user_ids(spark, train, strict=True), "train-users")
+    pts = materialize(KM.restrict_to_users(TX.read_user_features(spark, features), users), "points")
     res = KM.kmeans(pts, k=k, init=init)
     c_path, l_path = f"{out}/cluster_centers.txt", f"{out}/user_cluster_labels.csv"
     sinks.write_centres(res.centres_frame(spark), c_path)
     sinks.write_labels(res.labels, l_path)
-    return JobOutput(spark.read.text(l_path), {"centres": c_path, "labels": l_path,
-                                                "iterations": res.iterations})
+    sizes = KM.cluster_sizes(res.labels, k).select(
+        F.concat(F.lit("n_cluster_"), F.col("cluster_id").cast("string")).alias("metric"), F.col("n_users").alias("value"))
+    stats = _stats(spark, sizes, n_train_users=users.count(), n_clustered_users=pts.count(), iterations=res.iterations)
+    return JobOutput(spark.read.text(l_path), {"centres": c_path, "labels": l_path, "iterations": res.iterations}, stats)
 
 
 def run_rank(spark: SparkSession, train: str, test: str | None, out: str, target: int,
              k: int = RANK_TOP_K) -> JobOutput:
-    """Personal rank from ``target``; writes one recommendation line."""
+    """Personal rank from ``target``; writes one recommendation line of ``k`` entries.
+
+    Statistics: nodes, users, items, edges, turns, whether the target is in
+    the graph, the top score and whether it prints as 0.000.
+    """
     log = TX.read_behavior_log(spark, [train, test if test is not None else train],
                                require_category=False)
     edges = materialize(CO.interaction_edges(log), "edges")
-    res = RK.personal_rank(RK.bipartite_edges(edges), target)
+    graph = RK.bipartite_edges(edges)
+    res = RK.personal_rank(graph, target)
     path = f"{out}/personal_rank_recommendations.txt"
-    sinks.write_recommendations(RK.recommendation_line(RK.recommend_top_k(res, edges, target, k)), path)
-    return JobOutput(spark.read.text(path), {"recommendations": path, "iterations": res.iterations})
+    recs = materialize(RK.recommend_top_k(res, edges, target, k), "recommendations")
+    sinks.write_recommendations(RK.recommendation_line(recs), path)
+    top = RK.recommend_stats(recs).first()
+    notes = {"top_score": top["top_score"], "low_score": top["low_score"]} if top else {}
+    stats = _stats(spark, RK.graph_stats(graph), iterations=res.iterations, target_in_graph=res.target_in_graph, **notes)
+    return JobOutput(spark.read.text(path), {"recommendations": path, "iterations": res.iterations}, stats)

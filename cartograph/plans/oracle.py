@@ -205,11 +205,59 @@ PAIRS_TEXT = _over_text(PAIRS, DEEP, True, _DEEP_TAIL)
 
 
 def rank_walk_text(target: int = RANK_TARGET) -> str:
-    return recursive(_over_text(rank_walk(target)[len("WITH RECURSIVE "):].join(["WITH ", ""]),
-                                DEEP, False, _DEEP_TAIL))
+    plain = "WITH " + rank_walk(target)[len("WITH RECURSIVE "):]
+    return recursive(_over_text(plain, DEEP, False, _DEEP_TAIL))
 
 
 def kmeans_loop_text() -> str:
     # features from the parsed text, training users from the clean train lines
     body = kmeans_loop()[len("WITH RECURSIVE "):]
     return recursive(_over_text("WITH " + body, CLEAN, True, _CLEAN_TAIL))
+
+
+# Lineitem adapter: the same ``ev`` columns from customers x parts.
+_LINEITEM_EV = """ev AS (
+  SELECT l_orderkey AS event_id, o_custkey AS user_id, l_partkey AS item_id,
+         CAST(l_partkey % 100 AS INTEGER) AS category_id,
+         CASE l_returnflag WHEN 'A' THEN 'fav' WHEN 'N' THEN 'buy' WHEN 'R' THEN 'cart' ELSE 'unknown' END AS behavior_type,
+         CAST(floor(epoch(l_shipdate)) AS BIGINT) AS ts,
+         CASE WHEN l_orderkey % 4 <> 3 THEN 'train' ELSE 'test' END AS split
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def lineitem(sql: str) -> str:
+    """A query written over the events adapter, over the lineitem adapter."""
+    events = EV[len("WITH "):]
+    assert events in sql
+    return sql.replace(events, _LINEITEM_EV)
+
+
+# K initial centres: the rows of the 3 smallest md5(user ':' seed).
+SEEDED_INIT = """(SELECT CAST(row_number() OVER (ORDER BY md5(CAST(user_id AS VARCHAR) || ':42'), user_id) - 1 AS INTEGER) AS cluster_id,
+                 f1, f2, f3 FROM pts QUALIFY cluster_id < 3)"""
+
+# Feature lines with one kind of damage per user_id % 12.
+FEATURE_LINES = NORM + """,
+ftext AS (SELECT user_id, CAST(user_id AS VARCHAR) AS u, printf('%.4f', f1) AS a, printf('%.4f', f2) AS b, printf('%.4f', f3) AS c FROM norm),
+flines AS (SELECT CASE user_id % 12
+    WHEN 0 THEN u || ',' || a WHEN 1 THEN concat_ws(',', u, 'x', b, c) WHEN 2 THEN concat_ws(',', u, 'inf', b, c)
+    WHEN 3 THEN concat_ws(',', u, 'nan', b, c) WHEN 4 THEN concat_ws(',', u, 'NaN', b, c)
+    WHEN 5 THEN concat_ws(',', u, '-Infinity', b, c) WHEN 6 THEN concat_ws(',', u, a, b, c, 'extra')
+    WHEN 7 THEN ' ' || u || ' , ' || a || ' ,' || b || ',' || c WHEN 8 THEN concat_ws(',', u || '.5', a, b, c)
+    WHEN 9 THEN concat_ws(',', u, a, '-Inf', c) ELSE concat_ws(',', u, a, b, c) END AS value FROM ftext),
+fparts AS (SELECT string_split(value, ',') AS p FROM flines WHERE len(string_split(value, ',')) >= 4)"""
+
+
+def _double(x: str) -> str:
+    t = f"trim({x})"
+    return (f"CASE WHEN {t} IN ('NaN', 'Infinity', '+Infinity', '-Infinity') THEN TRY_CAST({t} AS DOUBLE) "
+            f"WHEN lower(trim({t}, '+-')) IN ('nan', 'inf', 'infinity') THEN NULL ELSE TRY_CAST({t} AS DOUBLE) END")
+
+
+DAMAGED_FEATURES = FEATURE_LINES + f""",
+fvals AS (SELECT TRY_CAST(trim(p[1]) AS BIGINT) AS user_id, trim(p[1]) AS ut, {_double('p[2]')} AS f1, {_double('p[3]')} AS f2,
+                 {_double('p[4]')} AS f3 FROM fparts)
+SELECT user_id, """ + ", ".join(
+    f"CASE WHEN isnan({f}) THEN 'NaN' WHEN isinf({f}) THEN CASE WHEN {f} > 0 THEN 'Infinity' ELSE '-Infinity' END "
+    f"ELSE printf('%.4f', {f}) END AS {f}" for f in ("f1", "f2", "f3")) + """
+FROM fvals WHERE NOT contains(ut, '.') AND user_id IS NOT NULL AND f1 IS NOT NULL AND f2 IS NOT NULL AND f3 IS NOT NULL"""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,22 +34,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be shared storage that survives executor loss; it
-    is read from the session; when it is unset, a folder under
-    ``spark.sql.warehouse.dir`` is used (with a warning).  Tests set it when
-    it is unset.
+    is read from the session.  When it is unset, a folder under
+    ``spark.sql.warehouse.dir`` is used with a warning if executors can reach
+    it: always on a ``local`` master, else only where the path names a store
+    other than the local file system.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # the warehouse is where this session's managed tables live, i.e. storage
-        # every executor can reach; use it rather than fail
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        root = f"{warehouse.rstrip('/')}/_cartograph_checkpoints"
+        root = fallback_root(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
         warnings.warn(f"spark.checkpoint.dir is not set; using {root}", stacklevel=2)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def fallback_root(warehouse: str, master: str) -> str:
+    """Scratch folder under the warehouse; refused where it is one machine's own disk."""
+    on_one_machine = master == "local" or master.startswith("local[")
+    scheme = warehouse.partition(":")[0] if ":" in warehouse else ""
+    if not on_one_machine and scheme in ("", "file"):
+        raise ValueError(f"spark.checkpoint.dir is not set and {warehouse} is local to one machine: "
+                         "set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_cartograph_checkpoints"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never re-used location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/cartograph/{name}-{uuid.uuid4().hex}"
@@ -68,17 +75,21 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-@contextmanager
-def shuffle_partitions(spark: SparkSession, n: int):
-    """Run a block with ``spark.sql.shuffle.partitions = n``, then restore it.
+def loop_session(spark: SparkSession, shuffle_partitions: int) -> SparkSession:
+    """A session of its own for a loop whose shuffles are sized by its data.
 
-    Used by the iterative loops, whose per-turn shuffles are sized by the
-    data (edge buckets, K clusters) rather than by the session default.
+    It shares the context and the catalog; settings and views are its own, so
+    loops of several callers do not change each other's or the caller's.
     """
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, int(n))))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    own = spark.newSession()
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
+                "spark.sql.adaptive.skewJoin.enabled", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.shuffle.partitions", str(max(1, int(shuffle_partitions))))
+    return own
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this library wrote."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -16,11 +16,13 @@ from cartograph.schema import FEATURE_DECIMALS
 _MODE = "errorifexists"
 
 
-def _write_lines(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    out = lines.select("value")
+def _write_lines(lines: DataFrame, path: str, single_file: bool = False, order: tuple = ()) -> None:
+    """``order``: sort keys of a single file, applied inside its one partition."""
     if single_file:
-        out = out.coalesce(1)
-    out.write.mode(_MODE).text(path)
+        lines = lines.coalesce(1)
+        if order:
+            lines = lines.sortWithinPartitions(*order)
+    lines.select("value").write.mode(_MODE).text(path)
 
 
 def clean_log_lines(log: DataFrame) -> DataFrame:
@@ -38,19 +40,19 @@ def feature_lines(features: DataFrame, decimals: int = FEATURE_DECIMALS) -> Data
 
 
 def inverted_index_lines(index: DataFrame) -> DataFrame:
-    """``item<TAB>user,user,...`` per (item, id block)."""
+    """``item<TAB>user,user,...``: one line per item (per block of an item above the list bound)."""
     return index.select(F.concat(F.col("item_id").cast("string"), F.lit("\t"),
                                  F.array_join(F.col("user_ids").cast("array<string>"), ",")).alias("value"))
 
 
 def cooccurrence_lines(pairs: DataFrame) -> DataFrame:
     """``a,b<TAB>n``."""
-    return pairs.select(F.format_string("%d,%d\t%d", "item_a", "item_b", "n_users").alias("value"))
+    return pairs.select("*", F.format_string("%d,%d\t%d", "item_a", "item_b", "n_users").alias("value"))
 
 
 def centre_lines(centres: DataFrame, decimals: int = FEATURE_DECIMALS) -> DataFrame:
     """``id<TAB>f1,f2,f3`` with fixed decimals."""
-    return centres.select(F.concat(F.col("cluster_id").cast("string"), F.lit("\t"),
+    return centres.select("*", F.concat(F.col("cluster_id").cast("string"), F.lit("\t"),
                                    F.concat_ws(",", *[format_fixed(c, decimals) for c in ("f1", "f2", "f3")])
                                    ).alias("value"))
 
@@ -75,12 +77,12 @@ def write_inverted_index(index: DataFrame, path: str) -> None:
 
 def write_cooccurrence(top_pairs: DataFrame, path: str) -> None:
     """Top pairs (bounded by the report limit) in one file, most shared first."""
-    ordered = top_pairs.orderBy(F.col("n_users").desc(), "item_a", "item_b")
-    _write_lines(cooccurrence_lines(ordered), path, single_file=True)
+    _write_lines(cooccurrence_lines(top_pairs), path, single_file=True,
+                 order=(F.col("n_users").desc(), F.col("item_a"), F.col("item_b")))
 
 
 def write_centres(centres: DataFrame, path: str) -> None:
-    _write_lines(centre_lines(centres.orderBy("cluster_id")), path, single_file=True)
+    _write_lines(centre_lines(centres), path, single_file=True, order=(F.col("cluster_id"),))
 
 
 def write_labels(labels: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartograph.functions.columns import java_trim, parse_int, parse_long, split_field
+from cartograph.functions.columns import java_trim, parse_double, parse_int, parse_long, split_field
 from cartograph.schema import HEADER_PREFIX
 
 _LOG_ARITY = 5
@@ -30,7 +30,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """
     if isinstance(paths, str):
         paths = [paths]
-    frames = [spark.read.text(p) for p in paths]
+    # only the line itself: a partitioned folder would add its partition columns
+    frames = [spark.read.text(p).select("value") for p in paths]
     return reduce(DataFrame.union, frames)
 
 
@@ -139,11 +140,12 @@ def parse_user_features(lines: DataFrame) -> DataFrame:
     """``user,f1,f2,f3`` lines -> ``(user_id, f1, f2, f3)``; bad lines dropped.
 
     Lines with fewer than four fields or an unparsable number are skipped;
-    fields past the fourth are ignored.
+    fields past the fourth are ignored.  Numbers follow the JVM's rules:
+    ``NaN`` and ``Infinity`` are values, ``nan`` and ``inf`` are not.
     """
     parts = F.split(F.col("value"), ",", -1)
     user = parse_long(split_field(parts, 0))
-    fs = [java_trim(split_field(parts, i)).try_cast("double") for i in (1, 2, 3)]
+    fs = [parse_double(split_field(parts, i)) for i in (1, 2, 3)]
     ok = (F.size(parts) >= _FEATURE_ARITY) & user.isNotNull()
     for f in fs:
         ok = ok & f.isNotNull()

@@ -62,9 +62,9 @@ def test_converges_and_cost_never_rises(spark):
     assert res.converged and res.shifts[-1] < 1e-4
 
 
-def test_hash_init_is_deterministic(spark):
+def test_seeded_init_is_deterministic(spark):
     pts = _pts(spark, [(i, float(i), 0.0, 0.0) for i in range(10)])
-    assert KM.init_centres(pts, 3, "hash") == KM.init_centres(pts, 3, "hash")
+    assert KM.init_centres(pts, 3, "seeded") == KM.init_centres(pts.repartition(3), 3, "seeded")
 
 
 def test_labels_read_written_points(spark):

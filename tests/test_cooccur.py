@@ -62,13 +62,20 @@ def test_pairs_property(spark, pairs, block):
     assert got == _brute(pairs)
 
 
-def test_index_blocks_bound_lists(spark):
-    e = _edges(spark, [(u, 1) for u in range(10)] + [(1 << 20, 1)])
-    rows = sorted((r.user_block, r.user_ids) for r in CO.inverted_index(e, block_bits=2).collect())
-    assert rows[0] == (0, [0, 1, 2, 3]) and rows[-1] == (1 << 18, [1 << 20])
-    assert all(len(ids) <= 4 for _, ids in rows)
-    flat = [u for _, ids in rows for u in ids]
-    assert flat == sorted(flat)
+def test_one_list_per_key_whatever_the_ids(spark):
+    e = _edges(spark, [(1, 4174985), (1, 4263844), (1, 100), ((1 << 20) + 5, 100), ((1 << 40) + 7, 100)])
+    assert {r.item_id: (r.block, r.user_ids) for r in CO.inverted_index(e).collect()} == {
+        100: (0, [1, (1 << 20) + 5, (1 << 40) + 7]), 4174985: (0, [1]), 4263844: (0, [1])}
+    assert {r.user_id: r.item_ids for r in CO.user_baskets(e).collect()}[1] == [100, 4174985, 4263844]
+
+
+def test_heavy_lists_split_and_rejoin(spark):
+    pairs = [(u * 7, 1) for u in range(50)] + [(u, 2) for u in range(4)]
+    rows = CO.inverted_index(_edges(spark, pairs), max_list=4).collect()
+    assert [(r.block, r.user_ids) for r in rows if r.item_id == 2] == [(0, [0, 1, 2, 3])]
+    heavy = [r for r in rows if r.item_id == 1]
+    assert len(heavy) > 1 and all(r.user_ids == sorted(r.user_ids) for r in heavy)
+    assert sorted(u for r in heavy for u in r.user_ids) == [u * 7 for u in range(50)]
 
 
 def test_pruned_top_pairs_exact(spark):

@@ -8,13 +8,12 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 import __spark_entry__ as E  # noqa: E402
+from cartograph.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 
-FAST = ["clean_behavior_log", "log_stats", "user_features", "user_features_norm", "inverted_index",
-        "item_cooccurrence", "top_item_pairs", "rank_step", "parse_behavior_lines", "rejected_lines",
-        "assign_nearest", "scalar_functions"]
+LIBRARY = sorted(catalog.QUERIES)
 
 
 def test_entry_runs(spark):
@@ -23,8 +22,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_oracle_has_a_query():
-    assert set(E.oracle_sql()) <= set(E.queries())
+def test_every_query_has_an_oracle():
+    assert set(catalog.ORACLE) == set(catalog.QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(LIBRARY) <= set(E.queries())
 
 
 def _canon(cols, rows):
@@ -33,7 +33,7 @@ def _canon(cols, rows):
     return sorted(norm, key=repr)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", LIBRARY)
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("events", "orders", "lineitem"):

@@ -49,6 +49,24 @@ def test_all_jobs_end_to_end(spark, tmp_out):
     # user 3's only deep item is 20; the lenient parse keeps user 2's category-x cart of 20
     assert target == "3" and [x.split(":")[0] for x in entries.split(",")] == ["10", "30"]
 
+    stats = [{r.metric: r.value for r in job.stats.collect()} for job in (f, c, k, r)]
+    assert stats[0]["n_train_rows"] == 7 and stats[0]["n_test_rows"] == 2 and stats[0]["max_ts"] == 2100
+    assert stats[1] == {"n_lines": 13, "n_deep_rows": 7, "n_edges": 7, "n_items": 3, "n_users": 5, "n_pairs": 3}
+    assert stats[2]["n_train_users"] == 4 == stats[2]["n_clustered_users"]
+    assert stats[2]["n_cluster_0"] + stats[2]["n_cluster_1"] == 4
+    assert stats[3]["target_in_graph"] == 1 and stats[3]["n_edges"] == 16 and stats[3]["low_score"] == 0
+
+
+def test_sorted_sinks_keep_line_order(spark, tmp_out):
+    from cartograph import sinks
+    rows = [(i % 7, 100 + i, i % 5) for i in range(60)]
+    sinks.write_cooccurrence(spark.createDataFrame(rows, "item_a long, item_b long, n_users long").repartition(6), f"{tmp_out}/pairs")
+    want = sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
+    assert [r.value for r in spark.read.text(f"{tmp_out}/pairs").collect()] == ["%d,%d\t%d" % r for r in want]
+    centres = spark.createDataFrame([(i, 0.1 * i, 0.0, 1.0) for i in range(5)], "cluster_id int, f1 double, f2 double, f3 double")
+    sinks.write_centres(centres.repartition(4), f"{tmp_out}/centres")
+    assert [r.value.split("\t")[0] for r in spark.read.text(f"{tmp_out}/centres").collect()] == list("01234")
+
 
 def test_writers_refuse_existing_output(spark, tmp_out):
     import pytest

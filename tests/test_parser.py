@@ -88,3 +88,30 @@ def test_line_stats(spark):
     assert st["n_parsed"] == n_parsed
     assert st["n_data"] == st["n_parsed"] + st["n_rejected_arity"] + st["n_rejected_number"]
     assert st["n_rejected_arity"] == 1
+
+
+def test_feature_numbers_follow_the_jvm(spark):
+    from cartograph.sources import text as TX
+    lines = ["1,inf,0.1,0.2", "2,NaN,0,0", "3,nan,0,0", "4,Infinity,1,1", "5,+Infinity,1,-Infinity", "6,INFINITY,1,1", "7, 1e3 ,\t2,3",
+             "8,1,2", "9,1,2,x", "10,-inf,1,1", "11,1,2,3,inf"]
+    got = {r.user_id for r in TX.parse_user_features(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert got == {2, 4, 5, 7, 11}
+
+
+def test_partitioned_folder_reads_lines_only(spark, tmp_out):
+    from cartograph.sources import text as TX
+    spark.createDataFrame([("a", 1), ("b", 2)], "value string, dt int").write.partitionBy("dt").text(f"{tmp_out}/parts")
+    spark.createDataFrame([("c",)], "value string").write.text(f"{tmp_out}/plain")
+    df = TX.read_lines(spark, [f"{tmp_out}/parts", f"{tmp_out}/plain"])
+    assert df.columns == ["value"] and sorted(r.value for r in df.collect()) == ["a", "b", "c"]
+
+
+def test_scratch_refuses_one_machines_disk():
+    import pytest
+
+    from cartograph.session import fallback_root
+    assert fallback_root("file:/tmp/w", "local[4]").startswith("file:/tmp/w/")
+    assert fallback_root("hdfs://store/w", "yarn").startswith("hdfs://store/w/")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            fallback_root("file:/home/me/spark-warehouse", master)

@@ -2,6 +2,7 @@ import pytest
 
 from cartograph.operators import rank as R
 
+# fixed values: a published component, its isolated items and its published line
 CORE = [(80444, 4826576), (431070, 4826576), (534266, 4826576), (431070, 1503068), (769575, 1503068)]
 ISOLATED = [1000436, 1000531, 1000993, 1001604, 1002659, 1002805, 1003035, 1003282, 1003640, 1004488]
 GOLDEN = ("534266\t1503068:0.096,1000436:0.000,1000531:0.000,1000993:0.000,1001604:0.000,"
@@ -81,6 +82,8 @@ def test_golden_component_single_pair(spark):
     assert [tuple(r) for r in CO.item_cooccurrence(e).collect()] == [(1503068, 4826576, 1)]
     idx = {r.item_id: r.user_ids for r in CO.inverted_index(e).collect()}
     assert idx == {4826576: [80444, 431070, 534266], 1503068: [431070, 769575]}
+    baskets = {r.user_id: r.item_ids for r in CO.user_baskets(e).collect()}
+    assert baskets[431070] == [1503068, 4826576]
 
 
 def test_empty_graph(spark):
@@ -95,3 +98,37 @@ def test_loop_results_have_no_lineage(spark, golden):
     _, res = golden
     plan = res.scores._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "Join" not in plan and "Aggregate" not in plan
+
+
+def test_bucket_count_stays_legal():
+    assert R.bucket_count(0, 8) == 1 and R.bucket_count(1000, 10_000) == 1
+    assert R.bucket_count(10 ** 15, 1000) == R.MAX_BUCKETS <= 100_000
+    assert R.bucket_count(4_000_000, 8) == 8
+
+
+def test_closed_set_keeps_the_walk(spark):
+    """The walk over the reached part alone equals plain power iteration on the whole graph."""
+    pairs = [(1, 10), (1, 11), (2, 11), (2, 12), (3, 12)] + [(u, u + 100) for u in range(50, 80)]
+    deg, nodes = {}, {}
+    adj = [((0, u), (1, i)) for u, i in pairs] + [((1, i), (0, u)) for u, i in pairs]
+    for a, _ in adj:
+        deg[a] = deg.get(a, 0) + 1
+    x = {(0, 1): 1.0}
+    for _ in range(40):
+        y = {(0, 1): 0.15}
+        for a, b in adj:
+            if a in x:
+                y[b] = y.get(b, 0.0) + 0.85 * x[a] / deg[a]
+        x = y
+    for kw in ({}, {"broadcast_rows": 0, "keep_turns": False}):
+        res = R.personal_rank(R.bipartite_edges(_edges(spark, pairs)), 1, max_iter=40, tol=0.0, **kw)
+        got = {(r.kind, r.id): r.score for r in res.scores.collect()}
+        assert got.keys() == x.keys() and all(got[k] == pytest.approx(x[k], abs=1e-12) for k in x)
+    assert not [t for t in spark.catalog.listTables() if "rank" in t.name]
+
+
+def test_loop_leaves_session_settings_alone(spark, golden):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    e, _ = golden
+    R.personal_rank(R.bipartite_edges(e), 534266, max_iter=2, partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
