@@ -37,7 +37,7 @@ from cartograph.llm.common import connected_components
 from cartograph.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
-BETA, LEAF, CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 200, 512, 4, 16, 0.5
+BETA, LEAF, CHUNK, OWN_CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 200, 1024, 256, 4, 16, 0.5
 CHUNK_SHINGLES = 400_000
 KNOWN_WORDS = 300_000
 MAX_BROADCAST_CLASSES = 200_000
@@ -279,23 +279,24 @@ def compare(docs: DataFrame, classes: DataFrame, members: DataFrame, threshold:
     todo = materialize(of.join(classes.select("cls", "h", "first_doc", "copies", "n"), "cls"), "ngram-todo")
     sets = materialize(with_text(docs, todo).dropDuplicates(["cls"])
                        .select("cls", "copies", "leaves", packed("text").alias("shingles")), "ngram-sets")
-    # chunks: within a leaf, sets are dealt by their first leaf and a hash, so that two chunks of
-    # one earlier leaf (all their pairs are settled there) need not meet
+    # chunks: within a large leaf, sets are dealt by their first leaf and a hash, so that two chunks
+    # of one earlier leaf (all their pairs are settled there) need not meet; sets of first leaves
+    # with few members here share their chunks (-2), a small leaf is one chunk (-1)
     first = todo.select("cls", F.col("n").alias("size"), F.element_at("leaves", 1).alias("first"))
     plan = members.join(first, "cls")
-    share = plan.groupBy("leaf", "first").agg(F.count("*").alias("m"), F.sum("size").alias("t")).withColumn(
-        "k", F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("t") / CHUNK_SHINGLES)).cast("int"))
-    whole = share.groupBy("leaf").agg(F.sum("m").alias("lm"), F.sum("t").alias("lt"))
-    plan = plan.join(share.join(whole, "leaf"), ["leaf", "first"])
-    # a small leaf is one block; in others a chunk is (first leaf, number)
-    one = (F.col("lm") <= CHUNK) & (F.col("lt") <= CHUNK_SHINGLES)
-    plan = materialize(plan.select(
-        "leaf", "cls", F.when(one, F.lit(-1)).otherwise(F.col("first")).cast("long").alias("first"),
-        F.when(one, F.lit(0)).otherwise(F.pmod(F.xxhash64("cls"), F.col("k"))).cast("int").alias("c")), "ngram-plan")
+    own = plan.groupBy("leaf", "first").agg(F.count("*").alias("own"))
+    whole = plan.groupBy("leaf").agg(F.count("*").alias("lm"), F.sum("size").alias("lt"))
+    plan = plan.join(own.join(whole, "leaf"), ["leaf", "first"]).withColumn(
+        "first", F.when((F.col("lm") <= CHUNK) & (F.col("lt") <= CHUNK_SHINGLES), F.lit(-1))
+        .when((F.col("first") == F.col("leaf")) | (F.col("own") >= OWN_CHUNK), F.col("first")).otherwise(F.lit(-2)).cast("long"))
+    share = plan.groupBy("leaf", "first").agg(F.count("*").alias("m"), F.sum("size").alias("t")).select(
+        "leaf", "first", F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("t") / CHUNK_SHINGLES)).cast("int").alias("k"))
+    plan = materialize(plan.join(share, ["leaf", "first"]).select(
+        "leaf", "cls", "first", F.pmod(F.xxhash64("cls"), F.col("k")).cast("int").alias("c")), "ngram-plan")
     chunk = F.struct("first", "c")
     chunks = plan.groupBy("leaf", chunk.alias("chunk")).agg(F.count("*").alias("z")).drop("z")
     pairs = (chunks.alias("a").join(chunks.alias("b"), "leaf").where("a.chunk <= b.chunk")
-             .where("a.chunk.first in (-1, leaf) or a.chunk.first <> b.chunk.first")
+             .where("a.chunk.first in (-1, -2, leaf) or a.chunk.first <> b.chunk.first")
              .select("leaf", F.col("a.chunk").alias("p"), F.col("b.chunk").alias("q")))
     pairs = pairs.withColumn("block", F.xxhash64("leaf", "p", "q"))
     sides = (pairs.where("p = q").select("leaf", F.col("p").alias("chunk"), "block", F.lit(0).alias("side"))

@@ -77,6 +77,7 @@ def test_jaccard_join_paths(spark, monkeypatch, leaf, chunk, alike):
     monkeypatch.setattr(ngramjoin, "LEAF", leaf)
     monkeypatch.setattr(ngramjoin, "CHUNK", chunk)
     monkeypatch.setattr(ngramjoin, "ALIKE", alike)
+    monkeypatch.setattr(ngramjoin, "OWN_CHUNK", 3)
     monkeypatch.setattr(ngramjoin, "MAX_BROADCAST_CLASSES", 0 if leaf == 4 else 200_000)
     rows = chain_rows()
     got = ngramjoin.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
