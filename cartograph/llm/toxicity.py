@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartograph.session import materialize
+
 SAMPLE_ROWS = 20_000  # labelled rows that terms and weights are fitted on, in expectation
 MAX_TERMS, MAX_CANDIDATES = 400, 20_000
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become terms
@@ -181,6 +183,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("text", "toxic")
 
 
+def document_counts(rows: DataFrame, wanted: set) -> dict:
+    """Number of texts of ``rows`` that hold each of the wanted words and beginnings."""
+    words = {f for f in wanted if f[-1] != "*"}
+    stems = {k: {f[:-1] for f in wanted if f[-1] == "*" and len(f) == k + 1} for k in STEMS}
+
+    @F.pandas_udf("array<string>")
+    def present(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            held = {w for w in WORD.findall((t or "").lower()) if len(w) >= 4}
+            found = held & words
+            for k in STEMS:
+                found |= {p + "*" for p in stems[k] & {w[:k] for w in held if len(w) > k}}
+            out.append(sorted(found))
+        return pd.Series(out, dtype=object)
+
+    counted = rows.select(F.explode(present("text")).alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    return {r["f"]: r["n"] for r in counted.collect()}  # at most MAX_CANDIDATES rows
+
+
 def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     """Terms from a bounded sample, with its numbers of toxic and other texts."""
     n_class = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -188,7 +210,7 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     if not pos or not neg:
         return [], pos, neg
     hold, kinds = Counter(), defaultdict(set)
-    for r in sample.where("toxic = 1").select("text").toLocalIterator():
+    for r in sample.where("toxic = 1").select("text").collect():  # at most SAMPLE_ROWS
         words, stems = features(r["text"])
         hold.update(words | stems)
         for w in words:
@@ -198,19 +220,21 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     least = max(3, math.ceil(0.005 * pos))
     wanted = {f for f, n in hold.most_common(MAX_CANDIDATES) if n >= least}
 
-    @F.pandas_udf("array<string>")
-    def present(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(wanted & set().union(*features(t))) for t in texts])
+    def lift(f, b, n):
+        return (hold[f] + 0.5) / (pos + 1) / ((b + 0.5) / (n + 1))
 
-    others = {r["f"]: r["n"] for r in sample.where("toxic = 0").select(F.explode(present("text")).alias("f"))
-              .groupBy("f").agg(F.count("*").alias("n")).collect()}
+    # a tenth of the other texts settles the features that are common everywhere, the rest the few left
+    n_tests, others = max(1, len(wanted)), Counter()
+    part = F.pmod(F.xxhash64("text"), F.lit(10))
+    for rows in (sample.where(part == 0), sample.where(part != 0)):
+        others.update(document_counts(rows.where("toxic = 0"), wanted))
+        wanted = {f for f in wanted if lift(f, others[f], neg) >= 20}
     share = pos / (pos + neg)
-    level = math.log(0.01 / max(1, len(wanted)))
+    level = math.log(0.01 / n_tests)
     scored = []
     for f in wanted:
-        a, b = hold[f], others.get(f, 0)
-        lift = (a + 0.5) / (pos + 1) / ((b + 0.5) / (neg + 1))
-        if lift >= 20 and tail(a, a + b, share) <= level and (f[-1] != "*" or len(kinds[f]) >= 5):
+        a, b = hold[f], others[f]
+        if tail(a, a + b, share) <= level and (f[-1] != "*" or len(kinds[f]) >= 5):
             scored.append((f, a))
     stems: list[str] = []
     for f, _ in sorted((x for x in scored if x[0][-1] == "*"), key=lambda x: (len(x[0]), x[0])):
@@ -236,7 +260,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     """Model: terms, weights by (term, edits), intercept and slope."""
-    sample = labelled_sample(docs, labels, rows)
+    sample = materialize(labelled_sample(docs, labels, rows), "toxicity-sample")
     terms, pos, neg = learn_terms(sample)
     if not pos or not neg:
         return {"terms": [], "weights": {}, "curve": (-30.0, 0.0)}
@@ -247,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
         return pd.Series([[{"t": t, "e": e, "q": q} for t, e, q in sorted(hits_of(s, automaton, known))] if s else [] for s in texts])
 
     seen = [(r["toxic"], {(h["t"], h["e"], h["q"]) for h in r["h"]})
-            for r in sample.select("toxic", found("text").alias("h")).toLocalIterator()]
+            for r in sample.select("toxic", found("text").alias("h")).collect()]  # hits of at most SAMPLE_ROWS texts
     counts = [Counter(), Counter()]
     for y, hits in seen:
         counts[y].update({(t, e) for t, e, _ in hits})
