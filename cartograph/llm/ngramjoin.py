@@ -2,7 +2,8 @@
 
 Texts are sets of hashed 5-word shingles.  In every run each set picks, by a hash that all sets
 share, about BETA / (threshold * size) of its shingles and joins the bucket of each pick; a pair at
-the threshold shares BETA picks on average.  A bucket of at most LEAF sets, or one whose sets are
+the threshold shares BETA picks on average (DEEPER below the first level, so that sets which only
+share a passage thin out).  A bucket of at most LEAF sets, or one whose sets are
 alike by their min-hash signatures, is a leaf; other buckets are split again by picks with the
 bucket's own hash, to DEPTH at most, where what is left is a leaf of any size.  Runs repeat until
 the chance that a pair at the threshold misses every leaf is below 1 - RECALL (``n_runs``).
@@ -37,7 +38,7 @@ from cartograph.llm.common import connected_components
 from cartograph.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
-BETA, LEAF, CHUNK, OWN_CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 200, 1024, 256, 4, 16, 0.5
+BETA, DEEPER, LEAF, CHUNK, OWN_CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 1.5, 200, 1024, 256, 4, 16, 0.5
 CHUNK_SHINGLES = 400_000
 KNOWN_WORDS = 300_000
 MAX_BROADCAST_CLASSES = 200_000
@@ -94,11 +95,12 @@ def picks(shingles: np.ndarray, seed: int, threshold: float, beta: float = BETA)
         return mix(chosen * U(3) + U(seed & MASK)).view(np.int64)
 
 
-def n_runs(recall: float = RECALL, beta: float = BETA, depth: int = DEPTH) -> int:
+def n_runs(recall: float = RECALL, beta: float = BETA, deeper: float = DEEPER, depth: int = DEPTH) -> int:
     """Runs until a pair at the threshold meets in a leaf with chance ``recall`` (branching process)."""
     meet = 1.0
-    for _ in range(depth):
-        meet = 1 - math.exp(-beta * meet)
+    for _ in range(depth - 1):
+        meet = 1 - math.exp(-deeper * meet)
+    meet = 1 - math.exp(-beta * meet)
     return math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
@@ -185,7 +187,7 @@ def split_nodes(docs: DataFrame, classes: DataFrame, inside: DataFrame, threshol
             out = []
             for t, ps in zip(texts, paths):
                 s = shingle(t)
-                got = [picks(s, int(p) * 0x9FB21C651E98DF25 + 1, threshold) for p in ps]
+                got = [picks(s, int(p) * 0x9FB21C651E98DF25 + 1, threshold, DEEPER) for p in ps]
                 out.append(np.unique(np.concatenate(got)).tolist() if got else [])
             yield pd.Series(out)
 
