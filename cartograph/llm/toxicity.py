@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from cartograph.session import materialize
 
 SAMPLE_ROWS = 20_000  # labelled rows that terms and weights are fitted on, in expectation
+SUPPORT = 0.02  # share of the distinct toxic texts that must hold a term: words of one copied text are none
 MAX_TERMS, MAX_CANDIDATES = 400, 20_000
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become terms
 QUOTED = 0.4  # share of a hit's weight that a quotation keeps
 WINDOW = 80  # characters on either side that are read as context
 KNOWN = 400_000  # harmless words a worker remembers before it starts afresh
 
-WORD = re.compile(r"\w+")
+WORD, RAW = re.compile(r"\w+"), re.compile(r"\S+")
 REPORT = re.compile(r"\b(said|says|quote[ds]?|called|wrote|dit|disait|sagte|schrieb|dijo|escribi\w+)\W*$")
 
 
@@ -123,22 +124,22 @@ class Automaton:
 def hits_of(text: str, automaton: Automaton, known: set) -> dict:
     """{(term, edits, quoted): occurrences} of a text; ``known`` collects harmless raw words."""
     low = text.lower()
-    fresh = set(low.split()) - known
-    hot = set()
-    for raw in fresh:
-        if any(automaton.look(w) for w in WORD.findall(raw)):
-            hot.add(raw)
+    hot: dict = {}
+    for raw in set(low.split()) - known:
+        found = [(w.start(), w.end(), hit) for w in WORD.finditer(raw) if (hit := automaton.look(w[0]))]
+        if found:
+            hot[raw] = found
         else:
             known.add(raw)
     if len(known) > KNOWN:
         known.clear()
     out: Counter = Counter()
-    for raw in hot:
-        for m in re.finditer(rf"(?<!\S){re.escape(raw)}(?!\S)", low):
-            for w in WORD.finditer(raw):
-                for term, edits in automaton.look(w[0]).items():
-                    a, b = m.start() + w.start(), m.start() + w.end()
-                    out[term, edits, quotation(low, a, b)] += 1
+    if hot:
+        for m in RAW.finditer(low):
+            for a, b, hit in hot.get(m[0], ()):
+                quoted = quotation(low, m.start() + a, m.start() + b)
+                for term, edits in hit.items():
+                    out[term, edits, quoted] += 1
     return out
 
 
@@ -217,7 +218,7 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
             for k in STEMS:
                 if len(w) > k:
                     kinds[w[:k] + "*"].add(w)
-    least = max(3, math.ceil(0.005 * pos))
+    least = max(3, math.ceil(SUPPORT * pos))
     wanted = {f for f, n in hold.most_common(MAX_CANDIDATES) if n >= least}
 
     def lift(f, b, n):
@@ -260,7 +261,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     """Model: terms, weights by (term, edits), intercept and slope."""
-    sample = materialize(labelled_sample(docs, labels, rows), "toxicity-sample")
+    sample = materialize(labelled_sample(docs, labels, rows).dropDuplicates(["text"]), "toxicity-sample")
     terms, pos, neg = learn_terms(sample)
     if not pos or not neg:
         return {"terms": [], "weights": {}, "curve": (-30.0, 0.0)}
