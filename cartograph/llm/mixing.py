@@ -1,9 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting (DataFrame functions only).
 
 Documents are counted into cells (source, language, topic) by tokens; raking scales the cells'
-weights to one marginal after the other until every marginal meets its target; a document's
-probability is its cell's calibrated weight over the largest one, and a hash of its id and text
-decides whether it is in the sample.  Every document is counted; no cell or row is capped.
+weights to one marginal after the other until every marginal meets its target.  A document's
+probability is min(1, scale * factor) of its cell (factor: raked weight over tokens), with the scale
+that keeps ``SHARE`` of all tokens in expectation: a rare cell that is wanted more often than it
+occurs is kept whole and does not thin out the others.  A hash of id and text decides whether a
+document is in the sample.  Every document is counted; no cell or row is dropped from the counts.
+
+The registered query follows its SQL instead (``share=None``): factor over the largest factor.
 
 Defined results: null source, language and text are values of their own (text: no tokens); a cell
 without tokens keeps weight 1; marginals without a target keep their share; equal rows get equal
@@ -19,6 +23,7 @@ from cartograph.llm.common import WORD_RE
 from cartograph.session import materialize
 
 DIMS = ("source", "lang", "topic")
+SHARE = 0.5  # of all tokens that the sample keeps, in expectation
 SMOOTHING = 0.7  # target share ~ share ** SMOOTHING: below 1 it lifts small values
 SWEEPS, BATCH, TOLERANCE = 200, 10, 1e-9
 
@@ -86,11 +91,39 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     return work.drop(*[f"target_{d}" for d in targets])
 
 
-def probabilities(raked: DataFrame) -> DataFrame:
-    """Cells with ``prob``: factor (weight / tokens) over the largest factor; 1 for cells without tokens."""
+def scale_of(raked: DataFrame, share: float) -> float | None:
+    """Scale c with sum(tokens * min(1, c * factor)) = share * tokens; None if only whole cells reach it.
+
+    Each round keeps the cells whole that the last scale saturates and solves for the others; the
+    scale only grows, so the rounds end when no further cell saturates.
+    """
+    full = F.col("tokens").cast("double")
+    wanted = share * (raked.agg(F.sum(full)).first()[0] or 0.0)
+    scale, whole = 0.0, -1
+    while True:
+        is_whole = (F.col("weight") > 0) & (F.lit(scale) * F.col("weight") >= full)
+        r = raked.where("tokens > 0").agg(F.sum(F.when(is_whole, full)), F.sum(F.when(~is_whole, F.col("weight"))),
+                                          F.count(F.when(is_whole, 1))).first()
+        if r[2] == whole:
+            return scale
+        if not r[1]:
+            return None
+        scale, whole = max(scale, (wanted - (r[0] or 0.0)) / r[1]), r[2]
+
+
+def probabilities(raked: DataFrame, share: float | None = None) -> DataFrame:
+    """Cells with ``prob``; 1 for cells without tokens.
+
+    With a ``share``: min(1, scale * factor) such that this share of the tokens is expected to stay.
+    Without: factor (weight / tokens) over the largest factor, so the rarest cell sets the size.
+    """
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    top = raked.agg(F.max(factor)).first()[0] or 1.0
-    return raked.withColumn("prob", F.coalesce(F.round(factor / F.lit(top), 9), F.lit(1.0)))
+    if share is None:
+        top = raked.agg(F.max(factor)).first()[0] or 1.0
+        return raked.withColumn("prob", F.coalesce(F.round(factor / F.lit(top), 9), F.lit(1.0)))
+    scale = scale_of(raked, share)
+    prob = F.when(factor > 0, F.lit(1.0)).otherwise(factor) if scale is None else F.least(F.lit(1.0), factor * F.lit(scale))
+    return raked.withColumn("prob", F.when(F.col("tokens") > 0, prob).otherwise(1.0))
 
 
 def draw(doc_id: Column, text: Column, seed: str) -> Column:
@@ -99,8 +132,9 @@ def draw(doc_id: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(hexed, 1, 12), 16, 10).cast("double") / F.lit(float(16 ** 12))
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = "mix", topic_of=topic) -> DataFrame:
-    """``docs`` plus ``__topic``, ``__tokens``, ``__prob`` and ``__sampled``.
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = "mix", topic_of=topic,
+        share: float | None = SHARE) -> DataFrame:
+    """``docs`` plus ``__topic``, ``__tokens``, ``__prob`` and ``__sampled``; ``share`` as in ``probabilities``.
 
     The cell table has one row per (source, lang, topic) and is joined on those keys: broadcast
     while its counted rows stay below MAX_BROADCAST_CELLS, by a shuffle beyond.
@@ -108,7 +142,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str
     table = materialize(cells(docs, topic_of), "mix-counts")
     if targets is None:
         targets = {d: materialize(smoothed_targets(table, d), "mix-targets") for d in DIMS}
-    prob = materialize(probabilities(rake(table, targets)), "mix-probs")
+    prob = materialize(probabilities(rake(table, targets), share), "mix-probs")
     right = prob.select(*[F.col(d).alias(f"__k_{d}") for d in DIMS], F.col("prob").alias("__prob"))
     if prob.count() <= MAX_BROADCAST_CELLS:
         right = F.broadcast(right)

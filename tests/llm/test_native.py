@@ -144,3 +144,23 @@ def test_mix_keeps_rows_and_columns(odd_docs, odd_rows, no_docs):
     assert kept.columns == wide.columns and kept.count() == mixed.where("__sampled").count()
     assert mixing.mix(no_docs).count() == 0
     assert mixed.where(F.col("__prob") == 1).count() > 0
+
+
+def test_one_rare_row_does_not_thin_the_sample(spark):
+    rows = [(i, f"w{i} " * (20 + i % 50), "en" if i % 3 else "de", "ab"[i % 2]) for i in range(600)]
+    rare = [(900, "word", "xx", "rare")]
+    for some in (rows, rows + rare):
+        df = spark.createDataFrame(some, "doc_id long, text string, lang string, source string")
+        got = mixing.mix(df).collect()
+        total = sum(r["__tokens"] for r in got)
+        assert abs(sum(r["__tokens"] * r["__prob"] for r in got) / total - mixing.SHARE) < 1e-9
+        kept = sum(r["__tokens"] for r in got if r["__sampled"]) / total
+        assert abs(kept - mixing.SHARE) < 0.1
+        assert all(0 < r["__prob"] <= 1 for r in got) and all(r["__prob"] == 1 for r in got if r["doc_id"] == 900)
+
+
+def test_scale_saturates_cells_one_after_the_other(spark):
+    table = spark.createDataFrame([(100, 10.0), (10, 40.0), (1, 60.0), (5, 0.0), (0, 0.0)], "tokens long, weight double")
+    probs = {r["tokens"]: r["prob"] for r in mixing.probabilities(table, 0.5).collect()}
+    assert probs[1] == probs[10] == probs[0] == 1 and probs[5] == 0 and abs(probs[100] - 0.47) < 1e-12
+    assert {r["prob"] for r in mixing.probabilities(table.where("weight > 0"), 1.0).collect()} == {1.0}
