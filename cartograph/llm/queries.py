@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.llm import (bpechunks, embedjoin, mixing, ngramjoin, quality, secrets, sharding, sql, tokenfile,
-                            toxicity, wrappers)
+                            toxicity, urlfilter, wrappers)
 from cartograph.llm.common import read_table
 
 QUERIES = {}
@@ -83,3 +83,8 @@ def q_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_html_wrappers")
 def q_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@register("op12_url_automaton", sql.URLS)
+def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(read_table(spark, sf_dir, "pages", "page_id", "url"))

@@ -1,6 +1,8 @@
 """DuckDB SQL for the registered text-corpus queries."""
 
-from cartograph.llm import mixing
+import re
+
+from cartograph.llm import mixing, urlfilter
 from cartograph.llm.secrets import RULES
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -146,3 +148,44 @@ named AS (SELECT cls.c, t, copies, first_doc, coalesce(component, cls.c) AS comp
 least AS (SELECT component, min(first_doc) AS class_id FROM named GROUP BY component)
 SELECT doc_id, class_id, copies - 1 + coalesce(links, 0) AS n_links
 FROM docs JOIN named USING (t) JOIN least USING (component) LEFT JOIN n USING (c)"""
+
+
+def _glob_regex(glob: str) -> str:
+    """A glob of urlfilter as a regular expression."""
+    out, i = "", 0
+    while i < len(glob):
+        for token, form in (("**", ".*"), ("*", "[^/?]*"), ("?", "[^/]")):
+            if glob.startswith(token, i):
+                out, i = out + form, i + len(token)
+                break
+        else:
+            if glob[i] == "[":
+                end = glob.index("]", i)
+                out, i = out + glob[i:end + 1].replace("[!", "[^"), end + 1
+            else:
+                i += glob[i] == "\\"
+                out, i = out + re.escape(glob[i]), i + 1
+    return out
+
+
+def _first(cases: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in cases) + " END"
+
+
+_HOST_RULES = sorted(urlfilter.HOST_RULES, key=lambda r: -len(r.host + r.path))
+_GLOBS = [(r.pattern, r.verdict) for r in urlfilter.ranked().itertuples() if r.pattern]
+_FITS = "(host = '{0.host}' OR ends_with(host, '.{0.host}')) AND starts_with(path, '{0.path}')"
+
+URLS = f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(regexp_extract(url, '://[^/?#]*[^?#]*((\\?[^#]*)?)', 1), '') AS query FROM pages),
+ruled AS (SELECT *, CASE WHEN host <> '' THEN '.' || host || path || query ELSE '' END AS canon,
+                 {_first([(_FITS.format(r), f"'{r.host}{r.path}'") for r in _HOST_RULES])} AS rule FROM parts),
+named AS (SELECT *, CASE WHEN rule IS NULL THEN
+                 {_first([(f"regexp_full_match(canon, '{_glob_regex(g)}', 's')", f"'{g}'") for g, _ in _GLOBS])} END AS pattern FROM ruled)
+SELECT page_id, host, path, rule, pattern, coalesce(
+  {_first([(f"rule = '{r.host}{r.path}'", f"'{r.verdict}'") for r in _HOST_RULES])},
+  {_first([(f"pattern = '{g}'", f"'{v}'") for g, v in _GLOBS])}, 'allow') AS verdict
+FROM named"""
