@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.llm import (bpechunks, embedjoin, mixing, ngramjoin, quality, secrets, sharding, sql, tokenfile,
-                            toxicity, urlfilter, wrappers)
+                            toxicity, urlfilter, variants, whitening, wrappers)
 from cartograph.llm.common import read_table
 
 QUERIES = {}
@@ -88,3 +88,13 @@ def q_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_url_automaton", sql.URLS)
 def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(read_table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@register("op13_gram_variants", sql.VARIANTS)
+def q_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op11_feast_whitening")
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))

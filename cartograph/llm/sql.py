@@ -189,3 +189,28 @@ SELECT page_id, host, path, rule, pattern, coalesce(
   {_first([(f"rule = '{r.host}{r.path}'", f"'{r.verdict}'") for r in _HOST_RULES])},
   {_first([(f"pattern = '{g}'", f"'{v}'") for g, v in _GLOBS])}, 'allow') AS verdict
 FROM named"""
+
+# near words by their texts without one letter, roots by recursion
+VARIANTS = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS r
+  FROM documents),
+used AS (SELECT r, d || ':' || r AS t, count(*) AS uses FROM runs WHERE length(r) >= 5 GROUP BY ALL),
+bytes AS (SELECT *, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM used),
+hashed AS (SELECT r, uses, xor({CRC32}, 4294967295) AS h FROM bytes),
+words AS MATERIALIZED (
+  SELECT word, sum(uses)::BIGINT AS n FROM (
+    SELECT uses, CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(uses) >= 3),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT x.word, y.word AS other FROM less x JOIN less y USING (i, rest) WHERE x.word <> y.word
+         UNION SELECT l.word, w.word FROM less l JOIN words w ON w.word = l.rest
+         UNION SELECT w.word, l.word FROM less l JOIN words w ON w.word = l.rest),
+best AS (SELECT near.word, count(*) AS n_near, max(n) AS most, min(other) FILTER (WHERE n = top) AS first FROM (
+           SELECT near.word, other, n, max(n) OVER (PARTITION BY near.word) AS top FROM near JOIN words ON words.word = other) near GROUP BY ALL),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN first END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+         UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, root FROM walk JOIN forms ON forms.word = root WHERE form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)"""

@@ -36,7 +36,7 @@ def test_matches_sql(spark, name):
 def test_operators_registered():
     from cartograph.llm.queries import QUERIES
 
-    assert Counter(n.split("_")[0] for n in QUERIES) == {f"op{i}": 1 for i in (*range(1, 11), 12)}
+    assert Counter(n.split("_")[0] for n in QUERIES) == {f"op{i}": 1 for i in range(1, 14)}
 
 
 def test_pipeline_stage_by_stage(spark):
