@@ -18,6 +18,7 @@ _EDGE_CONTROL = "".join(map(chr, range(0x21)))
 # Spellings of special values that a lenient cast reads and a JVM parseDouble
 # refuses: it takes only ``NaN`` and ``Infinity``, in this case, with a sign.
 _SPECIAL_DOUBLES = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+_EXACT_BELOW = 1e9
 _JVM_SPECIAL_DOUBLES = ("NaN", "Infinity", "+Infinity", "-Infinity")
 
 
@@ -83,6 +84,19 @@ def euclidean_distance(xs: Sequence[Column], ys: Sequence[Column]) -> Column:
     return F.sqrt(total)
 
 
+def exact_sum(c: Column | str) -> Column:
+    """Sum (aggregate) of a DOUBLE column that does not depend on the order of the rows.
+
+    Every value enters as the decimal that its shortest text names (18 decimals), so partial sums
+    are exact and one rounding to DOUBLE ends the sum.  Values that are NaN, infinite or of
+    10^9 and more are summed as doubles beside it.
+    """
+    v = _col(c)
+    plain = ~F.isnan(v) & (F.abs(v) < F.lit(_EXACT_BELOW))
+    exact = F.coalesce(F.sum(F.when(plain, v).cast("decimal(28,18)")).cast("double"), F.lit(0.0))
+    return F.when(F.count(v) > 0, exact + F.coalesce(F.sum(F.when(~plain, v)), F.lit(0.0)))
+
+
 def format_fixed(c: Column | str, decimals: int) -> Column:
     """Fixed-point text with HALF_UP rounding, no grouping separators."""
     return F.format_string(f"%.{decimals}f", _col(c))

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartograph.functions.columns import euclidean_distance
+from cartograph.functions.columns import euclidean_distance, exact_sum
 from cartograph.schema import FEATURE_COLUMNS, KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL
 from cartograph.session import loop_session, scratch_path
 
@@ -73,9 +73,13 @@ def assign_nearest(points: DataFrame, centres: Centres, cols: Sequence[str] = FE
 
 
 def cluster_sums(points: DataFrame, centres: Centres, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """Per-cluster ``n`` and ``sum_<col>`` (at most K rows)."""
+    """Per-cluster ``n`` and ``sum_<col>`` (at most K rows).
+
+    The sums are exact, so centres are the same bit for bit however the points
+    are split over tasks and in whatever order partial sums meet.
+    """
     return (assign_nearest(points, centres, cols).groupBy("cluster_id")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in cols]))
+            .agg(F.count(F.lit(1)).alias("n"), *[exact_sum(c).alias(f"sum_{c}") for c in cols]))
 
 
 def _merge(old: Centres, sums: list, cols: Sequence[str]) -> Centres:

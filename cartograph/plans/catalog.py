@@ -346,9 +346,9 @@ def q_recommend_top_k(spark, sf_dir):
     return recs.select("target_id", "rank", "item_id", _r9("score"))
 
 
-@register("recommendation_line", _TOP + """
+@register("recommendation_line", _TOP + f"""
 SELECT CAST(min(target_id) AS VARCHAR) || chr(9) ||
-       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+       string_agg(CAST(item_id AS VARCHAR) || ':' || {O.fixed('score', 3)}, ',' ORDER BY rank) AS value
 FROM top""")
 def q_recommendation_line(spark, sf_dir):
     recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)
@@ -579,7 +579,7 @@ cand AS (SELECT n.id AS item_id, coalesce(f.score, 0.0) AS score
 top AS (SELECT item_id, score, row_number() OVER (ORDER BY score DESC, CAST(item_id AS VARCHAR)) AS rank
         FROM cand ORDER BY rank LIMIT 10)
 SELECT '{RANK_TARGET}' || chr(9) ||
-       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+       string_agg(CAST(item_id AS VARCHAR) || ':' || {O.fixed('score', 3)}, ',' ORDER BY rank) AS value
 FROM top""")
 def q_run_rank(spark, sf_dir):
     train, test = _text_files(spark, sf_dir)
@@ -601,9 +601,9 @@ def q_write_clean_log(spark, sf_dir):
     return _round_trip(spark, SK.write_clean_log, _clean(spark, sf_dir), "sink-clean-log")
 
 
-@register("write_user_features", O.NORM + """
-SELECT CAST(user_id AS VARCHAR) || ',' || printf('%.4f', f1) || ',' || printf('%.4f', f2) || ','
-       || printf('%.4f', f3) AS value FROM norm""")
+@register("write_user_features", O.NORM + f"""
+SELECT CAST(user_id AS VARCHAR) || ',' || {O.fixed('f1', 4)} || ',' || {O.fixed('f2', 4)} || ','
+       || {O.fixed('f3', 4)} AS value FROM norm""")
 def q_write_user_features(spark, sf_dir):
     return _round_trip(spark, SK.write_user_features,
                        FT.normalized_user_features(_clean(spark, sf_dir)), "sink-features")
@@ -625,9 +625,9 @@ def q_write_cooccurrence(spark, sf_dir):
                        CO.top_item_pairs(CO.item_cooccurrence(_written_edges(spark, sf_dir))), "sink-pairs")
 
 
-@register("write_centres", O.kmeans_loop() + """
-SELECT CAST(cluster_id AS VARCHAR) || chr(9) || printf('%.4f', f1) || ',' || printf('%.4f', f2) || ','
-       || printf('%.4f', f3) AS value FROM centres""")
+@register("write_centres", O.kmeans_loop() + f"""
+SELECT CAST(cluster_id AS VARCHAR) || chr(9) || {O.fixed('f1', 4)} || ',' || {O.fixed('f2', 4)} || ','
+       || {O.fixed('f3', 4)} AS value FROM centres""")
 def q_write_centres(spark, sf_dir):
     return _round_trip(spark, SK.write_centres, _kmeans(spark, sf_dir).centres_frame(spark), "sink-centres")
 
@@ -658,7 +658,7 @@ SELECT event_id,
        (CAST({_DAY_REF} AS BIGINT) - ts) / 86400.0 AS days_before,
        CASE WHEN 1000.0 = 0.0 THEN 0.5 ELSE (amount - 0.0) / (1000.0 - 0.0) END AS amount_scaled,
        sqrt((amount - 0.0) * (amount - 0.0) + (CAST(item_id AS DOUBLE) - 0.0) * (CAST(item_id AS DOUBLE) - 0.0)) AS dist,
-       printf('%.4f', amount) AS amount_text,
+       {O.fixed('amount', 4)} AS amount_text,
        'I_' || CAST(item_id AS VARCHAR) AS node,
        item_id AS node_id_back
 FROM x""")
@@ -704,9 +704,9 @@ def q_read_user_features(spark, sf_dir):
     return TX.read_user_features(spark, path)
 
 
-@register("write_recommendations", _TOP + """
+@register("write_recommendations", _TOP + f"""
 SELECT CAST(min(target_id) AS VARCHAR) || chr(9) ||
-       string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ',' ORDER BY rank) AS value
+       string_agg(CAST(item_id AS VARCHAR) || ':' || {O.fixed('score', 3)}, ',' ORDER BY rank) AS value
 FROM top""")
 def q_write_recommendations(spark, sf_dir):
     recs = RK.recommend_top_k(_walk(spark, sf_dir), _edges(spark, sf_dir), RANK_TARGET)

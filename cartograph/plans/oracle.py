@@ -52,6 +52,16 @@ cooc AS (SELECT item_a, item_b, count(*) AS n_users FROM pairs GROUP BY item_a,
 
 RANK_TARGET = 1
 
+
+def fixed(x: str, decimals: int) -> str:
+    """Fixed-point text as a JVM prints it: half up on the shortest decimal text (``printf`` rounds the binary value)."""
+    return f"CAST(CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)) AS DECIMAL(38,{decimals})) AS VARCHAR)"
+
+
+def mean(x: str) -> str:
+    """Mean of four-decimal features, the same in any order of the rows."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE) / count(*)"
+
 # Bipartite graph, degrees and the walk as a recursive CTE (100 turns, full
 # vectors), then the first turn whose L-inf change is below 1e-4.
 GRAPH = DEEP + """,
@@ -111,7 +121,7 @@ km(turn, cluster_id, f1, f2, f3) AS (
   UNION ALL
   SELECT c.turn + 1, c.cluster_id, coalesce(m.f1, c.f1), coalesce(m.f2, c.f2), coalesce(m.f3, c.f3)
   FROM km c LEFT JOIN (
-    SELECT turn, cid, sum(f1) / count(*) AS f1, sum(f2) / count(*) AS f2, sum(f3) / count(*) AS f3
+    SELECT turn, cid, {mean('f1')} AS f1, {mean('f2')} AS f2, {mean('f3')} AS f3
     FROM (SELECT k2.turn, p.user_id, p.f1, p.f2, p.f3,
                  arg_min(k2.cluster_id, [{_dist('p', 'k2')}, k2.cluster_id]) AS cid
           FROM pts p, km k2 GROUP BY k2.turn, p.user_id, p.f1, p.f2, p.f3)
@@ -135,8 +145,8 @@ c0 AS (SELECT cluster_id, f1, f2, f3 FROM init WHERE cluster_id < 2
 asg AS (SELECT p.user_id, p.f1, p.f2, p.f3, arg_min(c.cluster_id, [{_dist('p', 'c')}, c.cluster_id]) AS cluster_id
         FROM pts p, c0 c GROUP BY p.user_id, p.f1, p.f2, p.f3),
 c1 AS (SELECT c0.cluster_id, coalesce(m.f1, c0.f1) AS f1, coalesce(m.f2, c0.f2) AS f2, coalesce(m.f3, c0.f3) AS f3
-       FROM c0 LEFT JOIN (SELECT cluster_id, sum(f1) / count(*) AS f1, sum(f2) / count(*) AS f2,
-                                 sum(f3) / count(*) AS f3 FROM asg GROUP BY cluster_id) m
+       FROM c0 LEFT JOIN (SELECT cluster_id, {mean('f1')} AS f1, {mean('f2')} AS f2,
+                                 {mean('f3')} AS f3 FROM asg GROUP BY cluster_id) m
        ON m.cluster_id = c0.cluster_id)"""
 
 # Text adapter: the events log rendered as lines, damaged by event_id % 20.
@@ -237,8 +247,8 @@ SEEDED_INIT = """(SELECT CAST(row_number() OVER (ORDER BY md5(CAST(user_id AS VA
                  f1, f2, f3 FROM pts QUALIFY cluster_id < 3)"""
 
 # Feature lines with one kind of damage per user_id % 12.
-FEATURE_LINES = NORM + """,
-ftext AS (SELECT user_id, CAST(user_id AS VARCHAR) AS u, printf('%.4f', f1) AS a, printf('%.4f', f2) AS b, printf('%.4f', f3) AS c FROM norm),
+FEATURE_LINES = NORM + f""",
+ftext AS (SELECT user_id, CAST(user_id AS VARCHAR) AS u, {fixed('f1', 4)} AS a, {fixed('f2', 4)} AS b, {fixed('f3', 4)} AS c FROM norm),
 flines AS (SELECT CASE user_id % 12
     WHEN 0 THEN u || ',' || a WHEN 1 THEN concat_ws(',', u, 'x', b, c) WHEN 2 THEN concat_ws(',', u, 'inf', b, c)
     WHEN 3 THEN concat_ws(',', u, 'nan', b, c) WHEN 4 THEN concat_ws(',', u, 'NaN', b, c)
@@ -259,5 +269,5 @@ fvals AS (SELECT TRY_CAST(trim(p[1]) AS BIGINT) AS user_id, trim(p[1]) AS ut, {_
                  {_double('p[4]')} AS f3 FROM fparts)
 SELECT user_id, """ + ", ".join(
     f"CASE WHEN isnan({f}) THEN 'NaN' WHEN isinf({f}) THEN CASE WHEN {f} > 0 THEN 'Infinity' ELSE '-Infinity' END "
-    f"ELSE printf('%.4f', {f}) END AS {f}" for f in ("f1", "f2", "f3")) + """
+    f"ELSE {fixed(f, 4)} END AS {f}" for f in ("f1", "f2", "f3")) + """
 FROM fvals WHERE NOT contains(ut, '.') AND user_id IS NOT NULL AND f1 IS NOT NULL AND f2 IS NOT NULL AND f3 IS NOT NULL"""

@@ -10,6 +10,7 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
     builder = (SparkSession.builder.master("local[4]").appName("cartograph-tests")
@@ -17,12 +18,10 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true"))
-    s = builder.getOrCreate()
     # tests set their own shared folder only where the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="cartograph-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartograph-ckpt-"))
+    s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

@@ -1,5 +1,9 @@
+import math
+import random
+
 import pytest
 
+from cartograph import sinks as SK
 from cartograph.operators import cluster as KM
 
 
@@ -72,3 +76,35 @@ def test_labels_read_written_points(spark):
     res = KM.kmeans(pts, k=2, max_iter=3)
     plan = res.labels._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation" not in plan and "Relation" in plan
+
+
+def test_mean_on_the_rounding_edge_is_exact(spark):
+    """Forty thousand features whose mean is exactly 0.92445 print half up, in any order and split."""
+    values = [0.9244, 0.9245, 0.9243, 0.9246] * 10_000
+    want = "0\t0.9245,0.9245,0.9245"
+    for parts, step in ((1, 1), (4, 7), (8, 3), (13, 9)):
+        order = [values[(i * step) % len(values)] for i in range(len(values))]
+        pts = _pts(spark, [(i, v, v, v) for i, v in enumerate(order)]).repartition(parts)
+        new = KM.update_centres(pts, [(0.5, 0.5, 0.5)])
+        assert new == [(0.92445, 0.92445, 0.92445)]
+        frame = KM.update_centres_frame(pts, [(0.5, 0.5, 0.5)])
+        assert [r["value"] for r in SK.centre_lines(frame).collect()] == [want]
+
+
+def test_sums_do_not_depend_on_order(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.random(), rng.random() * 1e-9, rng.uniform(-1e8, 1e8)) for i in range(5000)]
+    seen = set()
+    for parts in (1, 3, 8):
+        rng.shuffle(rows)
+        pts = _pts(spark, rows).repartition(parts)
+        seen.add(tuple(KM.update_centres(pts, [(0.0, 0.0, 0.0)])[0]))
+    assert len(seen) == 1
+    assert list(seen)[0] == pytest.approx([math.fsum(r[k] for r in rows) / 5000 for k in (1, 2, 3)], rel=1e-12)
+
+
+def test_special_values_reach_the_centre(spark):
+    inf, nan = math.inf, math.nan
+    pts = _pts(spark, [(1, inf, nan, 1e12), (2, 0.5, 0.5, 0.5), (3, 1.0, -inf, 2.5e9)])
+    got = KM.cluster_sums(pts, [(0.0, 0.0, 0.0)]).first()
+    assert got["sum_f1"] == inf and math.isnan(got["sum_f2"]) and got["sum_f3"] == 1e12 + 2.5e9 + 0.5 and got["n"] == 3
