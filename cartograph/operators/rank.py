@@ -12,31 +12,38 @@ where ``dangling(r)`` is the mass on nodes without out-edges.  The walk
 stops after the first turn whose L-inf change is below ``tol`` (or after
 ``max_iter`` turns); the result is the vector after that turn.
 
-Scale design (see :func:`personal_rank`):
-
-* the vector is sparse (unreached nodes are exactly 0 and are not stored);
-* static edge table ``(src, salt, dst, src_deg, dst_deg, dst_nsalt)`` is
-  written once as a table bucketed on ``(src_kind, src_id, salt)``, so each
-  turn shuffles only the (smaller) vector into the buckets and the edges
-  stream through a shuffle-hash join without being re-sorted; a node with more than
-  ``block_size`` out-edges has them spread over ``ceil(deg/block_size)``
-  salts and its score row is replicated to each salt, so no join key holds
-  more than ``block_size`` edges however hot the node;
-* a turn is one job: join -> union with the old vector and the restart row
-  -> one ``groupBy(node)`` that yields the new score, the old score (for the
-  change) and the node attributes; change and dangling mass are collected
-  with an ``Observation`` while the vector is written to the shared
-  checkpoint folder, which also cuts the lineage every turn;
-* for ``alpha < 1`` a reached node keeps a positive score, so the reached set
-  only grows; after the first turn that adds no node it is closed, and the
-  walk goes on over the edges that start in it, written once.
+Scale design (see :func:`walks`):
+
+* the vectors are sparse (unreached nodes are exactly 0 and are not stored)
+  and keyed by target, so one loop walks from several targets at once; a target
+  whose walk has settled leaves the vector, its result stays in that turn's table;
+* the graph is stored as adjacency blocks ``(src, salt, out_deg, [dst, ...])``:
+  one grouped pass over the edges writes neighbours and degree together, with no
+  join of edges with nodes.  A node with more than ``block_size`` out-edges has them
+  spread over ``ceil(deg/block_size)`` salts by a broadcast list of such nodes,
+  at most MAX_HEAVY by the choice of the block size; its score row is
+  replicated to each salt, so no join key holds more than ``block_size`` edges;
+* a node without out-edges has one block that leads back to the target: its
+  mass restarts there with no bookkeeping in the turn;
+* the blocks are bucketed on ``(src_kind, src_id, salt)``, so each turn shuffles
+  only the (smaller) vector into the buckets and the blocks stream through a
+  shuffle-hash join without being re-sorted;
+* a turn is one job: join -> union with the old vector and the restart rows
+  -> one ``groupBy(target, node)`` that yields the new and the old score; each
+  target's change and row count are collected with an ``Observation`` while the
+  vector is written to the shared checkpoint folder, which also cuts the
+  lineage every turn;
+* for ``alpha < 1`` a reached node keeps a positive score, so the reached sets
+  only grow; after the first turn that adds no node they are closed, and the
+  walks go on over the blocks that start in them, written once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.schema import RANK_ALPHA, RANK_DECIMALS, RANK_MAX_ITER, RANK_TOL, RANK_TOP_K
@@ -45,16 +52,22 @@ from cartograph.session import drop_folder, loop_session, materialize, scratch_p
 
 USER, ITEM = 0, 1
 DEFAULT_RANK_BLOCK = 1 << 16
-# edge rows are ~45 bytes: 2M rows is a ~90 MB bucket
+# a stored edge takes ~10 bytes, a contribution ~45: 2M edges explode to ~90 MB a bucket
 EDGES_PER_BUCKET = 2_000_000
 # a small graph's buckets hold at least so many edges; Spark refuses more than
 # 100,000 buckets, so beyond 10^11 edges the buckets grow instead
 LEAST_EDGES_PER_BUCKET = 50_000
 MAX_BUCKETS = 50_000
-# vector rows are ~25 bytes: 1M rows is a ~25 MB broadcast
+# vector rows are ~35 bytes: 1M rows is a ~35 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# nodes above the block size; the block size grows with the graph to keep them fewer
+MAX_HEAVY = 1_000_000
+# targets of one loop: a turn observes two values for each
+TARGETS_PER_WALK = 64
 _NODE = ["kind", "id"]
-_VEC_SCHEMA = "kind int, id long, score double, out_deg long, nsalt int"
+_VEC_SCHEMA = "target long, kind int, id long, score double"
+# kind of the block entry that stands for the target of whoever walks there
+_RESTART = -1
 
 
 def bipartite_edges(edges: DataFrame) -> DataFrame:
@@ -92,13 +105,9 @@ def graph_nodes(graph: DataFrame) -> DataFrame:
 def graph_stats(graph: DataFrame) -> DataFrame:
     """``(metric, value)``: nodes, users, items, edges.
 
-    One pass: every edge gives its two endpoints, a node's row carries the
-    edges that start there.
+    One pass over the edges, see :func:`node_table`.
     """
-    ends = graph.select(F.explode(F.array(
-        F.struct(F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), F.lit(1).alias("out")),
-        F.struct(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"), F.lit(0).alias("out")))).alias("e"))
-    nodes = ends.groupBy("e.kind", "e.id").agg(F.sum("e.out").alias("out_deg"))
+    nodes = node_table(graph)
     return metric_rows(nodes.agg(
         F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("kind") == USER).alias("n_users"),
         F.count_if(F.col("kind") == ITEM).alias("n_items"), F.coalesce(F.sum("out_deg"), F.lit(0)).alias("n_edges")))
@@ -106,10 +115,55 @@ def graph_stats(graph: DataFrame) -> DataFrame:
 
 def node_table(graph: DataFrame, block_size: int = DEFAULT_RANK_BLOCK) -> DataFrame:
     """``(kind, id, out_deg, nsalt)`` for every node (out_deg 0 when dangling)."""
-    return (graph_nodes(graph)
-            .join(out_degree(graph), _NODE, "left")
-            .select("kind", "id", F.coalesce("out_deg", F.lit(0)).alias("out_deg"))
-            .withColumn("nsalt", F.greatest(F.lit(1), F.ceil(F.col("out_deg") / F.lit(block_size))).cast("int")))
+    # every edge gives its two endpoints; a node's degree is the number of those that start there
+    ends = graph.select(F.explode(F.array(
+        F.struct(F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), F.lit(1).alias("out")),
+        F.struct(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"), F.lit(0).alias("out")))).alias("e"))
+    return (ends.groupBy("e.kind", "e.id").agg(F.sum("e.out").alias("out_deg"))
+            .withColumn("nsalt", _salts(block_size)))
+
+
+def _salts(block_size: int):
+    return F.greatest(F.lit(1), F.ceil(F.col("out_deg") / F.lit(block_size))).cast("int")
+
+
+def adjacency_blocks(graph: DataFrame, nodes: DataFrame, block_size: int = DEFAULT_RANK_BLOCK,
+                     heavy: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """``(src_kind, src_id, salt, out_deg, dsts)``: the neighbours of every node, at most about
+    ``block_size`` (ascending) a block, with the node's degree.
+
+    One grouped pass: a node's degree is the length of its list.  Only nodes in
+    ``heavy`` (those above ``block_size``, see :func:`heavy_nodes`) bring theirs
+    and their salts along, as a broadcast.  A node of ``nodes`` without
+    out-edges has the restart entry as its only neighbour.
+    """
+    dst = F.struct(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"))
+    e = graph.withColumns({"salt": F.lit(0), "total": F.lit(None).cast("long")})
+    if heavy is not None:
+        side = F.broadcast(heavy.select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"),
+                                        F.col("out_deg").alias("total"), "nsalt"))
+        salt = F.pmod(F.xxhash64("dst_kind", "dst_id"), F.coalesce("nsalt", F.lit(1))).cast("int")
+        e = graph.join(side, ["src_kind", "src_id"], "left").withColumn("salt", salt)
+    if partitions:
+        e = e.repartition(partitions, "src_kind", "src_id", "salt")
+    blocks = e.groupBy("src_kind", "src_id", "salt").agg(
+        F.sort_array(F.collect_list(dst)).alias("dsts"), F.max("total").alias("total"))
+    ends = nodes.where("out_deg = 0").select(
+        F.col("kind").alias("src_kind"), F.col("id").alias("src_id"), F.lit(0).alias("salt"),
+        F.lit(1).cast("long").alias("out_deg"),
+        F.array(F.struct(F.lit(_RESTART).alias("kind"), F.lit(0).cast("long").alias("id"))).alias("dsts"))
+    return blocks.select("src_kind", "src_id", "salt", F.coalesce("total", F.size("dsts").cast("long")).alias("out_deg"),
+                         "dsts").unionByName(ends)
+
+
+def heavy_nodes(nodes: DataFrame, block_size: int) -> DataFrame | None:
+    """``(kind, id, out_deg, nsalt)`` of the nodes above ``block_size``, written; None when there are none.
+
+    They number at most edges / block_size.
+    """
+    heavy = materialize(nodes.where(F.col("out_deg") > block_size).select(*_NODE, "out_deg", _salts(block_size).alias("nsalt")),
+                        "rank-heavy")
+    return None if heavy.isEmpty() else heavy
 
 
 def rank_init(graph: DataFrame, target: int) -> DataFrame:
@@ -128,20 +182,21 @@ def rank_step(graph: DataFrame, rank: DataFrame, target: int, alpha: float = RAN
               block_size: int = DEFAULT_RANK_BLOCK) -> DataFrame:
     """One turn from a sparse vector ``(kind, id, score)``; sparse result.
 
-    The same salted turn as :func:`personal_rank` runs (``_TURN_SQL``).
+    The same salted turn as :func:`walks` runs (``_TURN_SQL``).
     """
     spark = graph.sparkSession
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
-    vec = materialize(rank.join(nodes, _NODE).select("kind", "id", "score", "out_deg", "nsalt"), "rank-vector")
-    dangling = vec.where("out_deg = 0").agg(F.sum("score")).first()[0] or 0.0
-    trow = nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).first()
+    heavy = heavy_nodes(nodes, block_size)
+    known = not nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).isEmpty()
     tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
-    views = {f"{tag}_edges": _weighted_edges(graph, nodes), f"{tag}_vec": vec}
+    views = {f"{tag}_edges": adjacency_blocks(graph, nodes, block_size, heavy),
+             f"{tag}_vec": rank.join(nodes, _NODE, "left_semi").select(F.lit(target).cast("long").alias("target"), *_NODE, "score")}
+    if heavy is not None:
+        views[f"{tag}_heavy"] = heavy
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)
-        new = spark.sql(_TURN_SQL.format(edges=f"{tag}_edges", vec=f"{tag}_vec", alpha=repr(float(alpha)),
-                                         restart=_restart_sql(trow, target, alpha, dangling), join_hint="SHUFFLE_HASH"))
+        new = spark.sql(_turn_sql(tag, f"{tag}_edges", [target] if known else [], alpha, "SHUFFLE_HASH", heavy is not None))
     finally:
         for name in views:
             spark.catalog.dropTempView(name)
@@ -166,45 +221,48 @@ class RankResult:
     changes: list[float] = field(default_factory=list)
 
 
-def _weighted_edges(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    src = nodes.select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"),
-                       F.col("out_deg").alias("src_deg"), F.col("nsalt").alias("src_nsalt"))
-    dst = nodes.select(F.col("kind").alias("dst_kind"), F.col("id").alias("dst_id"),
-                       F.col("out_deg").alias("dst_deg"), F.col("nsalt").alias("dst_nsalt"))
-    return (graph.join(src, ["src_kind", "src_id"]).join(dst, ["dst_kind", "dst_id"])
-            .select("src_kind", "src_id",
-                    F.pmod(F.xxhash64("dst_kind", "dst_id"), F.col("src_nsalt")).cast("int").alias("salt"),
-                    "dst_kind", "dst_id", F.col("src_deg").cast("double").alias("src_deg"),
-                    "dst_deg", "dst_nsalt"))
+@dataclass
+class WalksResult:
+    scores: DataFrame          # (target, kind, id, score), non-zero entries only
+    nodes: DataFrame           # (kind, id, out_deg, nsalt), all nodes
+    iterations: dict[int, int]           # turns of each target
+    converged: dict[int, bool]
+    in_graph: dict[int, bool]
+    changes: dict[int, list[float]]
+
+    def of(self, target: int) -> RankResult:
+        """One target's walk."""
+        return RankResult(scores=self.scores.where(F.col("target") == F.lit(target)).select("kind", "id", "score"),
+                          nodes=self.nodes, iterations=self.iterations[target], converged=self.converged[target],
+                          target_in_graph=self.in_graph[target], changes=self.changes[target])
 
 
-# One turn: contributions along out-edges (score replicated to every salt of
-# its node), the old vector (for the change) and the restart row, summed per
-# node in one aggregation.
+# One turn of all walks: contributions along out-edges (score replicated to
+# every salt of its node), the old vector (for the change) and the restart
+# rows, summed per target and node in one aggregation.
 _TURN_SQL = """
-SELECT kind, id, sum(rst) + {alpha} * sum(inc) AS score, sum(old) AS old,
-       max(out_deg) AS out_deg, max(nsalt) AS nsalt
+SELECT target, kind, id, sum(rst) + {alpha} * sum(inc) AS score, sum(old) AS old
 FROM (
-  SELECT /*+ {join_hint}(v) */ e.dst_kind AS kind, e.dst_id AS id, v.score / e.src_deg AS inc, 0D AS rst, 0D AS old,
-         e.dst_deg AS out_deg, e.dst_nsalt AS nsalt
-  FROM {edges} e
-  JOIN (SELECT kind, id, explode(sequence(0, nsalt - 1)) AS salt, score
-        FROM {vec} WHERE out_deg > 0) v
-    ON e.src_kind = v.kind AND e.src_id = v.id AND e.salt = v.salt
+  SELECT target, if(d.kind < 0, {user}, d.kind) AS kind, if(d.kind < 0, target, d.id) AS id, inc, 0D AS rst, 0D AS old
+  FROM (SELECT /*+ {join_hint}(v) */ v.target, v.score / CAST(e.out_deg AS DOUBLE) AS inc, explode(e.dsts) AS d
+        FROM {edges} e JOIN ({sent}) v ON e.src_kind = v.kind AND e.src_id = v.id AND e.salt = v.salt)
   UNION ALL
-  SELECT kind, id, 0D, 0D, score, out_deg, nsalt FROM {vec}
+  SELECT target, kind, id, 0D, 0D, score FROM {vec}
   {restart}
-) GROUP BY kind, id
+) GROUP BY target, kind, id
 """
 
 
-def _restart_sql(trow, target: int, alpha: float, dangling: float) -> str:
-    """The restart row of a turn; none when the target is not in the graph."""
-    if trow is None:
-        return ""
-    return (f"UNION ALL SELECT {USER}, CAST({int(target)} AS BIGINT), 0D, "
-            f"CAST({(1.0 - alpha) + alpha * dangling!r} AS DOUBLE), 0D, "
-            f"CAST({int(trow['out_deg'])} AS BIGINT), {int(trow['nsalt'])}")
+def _turn_sql(tag: str, edges: str, targets: list[int], alpha: float, join_hint: str, salted: bool) -> str:
+    """A turn from ``<tag>_vec`` for the ``targets`` that are in the graph; ``<tag>_heavy`` names the salts."""
+    sent = f"SELECT target, kind, id, score, 0 AS salt FROM {tag}_vec"
+    if salted:
+        sent = (f"SELECT /*+ BROADCAST(h) */ target, kind, id, score, explode(sequence(0, coalesce(nsalt, 1) - 1)) AS salt "
+                f"FROM {tag}_vec LEFT JOIN {tag}_heavy h USING (kind, id)")
+    restart = "".join(f"UNION ALL SELECT CAST({t} AS BIGINT), {USER}, CAST({t} AS BIGINT), 0D, CAST({1.0 - alpha!r} AS DOUBLE), 0D\n  "
+                      for t in targets)
+    return _TURN_SQL.format(alpha=repr(float(alpha)), user=USER, edges=edges, vec=f"{tag}_vec", sent=sent, restart=restart,
+                            join_hint=join_hint)
 
 
 def bucket_count(n_edges: int, parallelism: int) -> int:
@@ -218,84 +276,125 @@ def personal_rank(graph: DataFrame, target: int, alpha: float = RANK_ALPHA,
                   max_iter: int = RANK_MAX_ITER, tol: float = RANK_TOL,
                   block_size: int = DEFAULT_RANK_BLOCK, partitions: int | None = None,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, keep_turns: bool = True) -> RankResult:
-    """Run the walk from user ``target`` over ``graph`` (src/dst edge table).
+    """Run the walk from user ``target`` over ``graph`` (src/dst edge table), see :func:`walks`."""
+    return walks(graph, [target], alpha, max_iter, tol, block_size, partitions, broadcast_rows, keep_turns).of(target)
+
+
+def walks(graph: DataFrame, targets: Iterable[int], alpha: float = RANK_ALPHA, max_iter: int = RANK_MAX_ITER,
+          tol: float = RANK_TOL, block_size: int = DEFAULT_RANK_BLOCK, partitions: int | None = None,
+          broadcast_rows: int = DEFAULT_BROADCAST_ROWS, keep_turns: bool = True) -> WalksResult:
+    """Run the walks from all user ids in ``targets`` over ``graph`` (src/dst edge table).
+
+    Each target stops by its own change, as if it walked alone.  Targets go
+    through the loop TARGETS_PER_WALK at a time, over the same blocks.
 
     The rows that a turn's join replicates the vector to are known after the
-    turn before (a row per salt of each node with out-edges): up to
-    ``broadcast_rows`` they are broadcast to the edge scan, beyond that
-    shuffled into the edge table's buckets (shuffle-hash join, edges stream).
+    turn before (a row per salt of each node): up to ``broadcast_rows`` they
+    are broadcast to the block scan, beyond that shuffled into the
+    blocks' buckets (shuffle-hash join, blocks stream).
     ``keep_turns=False`` deletes vectors that no later turn reads.
     """
     spark = graph.sparkSession
+    targets = list(dict.fromkeys(int(t) for t in targets))
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
     n_edges = nodes.agg(F.coalesce(F.sum("out_deg"), F.lit(0))).first()[0]
+    block_size = max(block_size, -(-n_edges // MAX_HEAVY))
+    heavy = heavy_nodes(nodes, block_size)
+    extra = heavy.agg(F.sum(F.col("nsalt") - 1)).first()[0] if heavy is not None else 0
     parts = partitions or bucket_count(n_edges, spark.sparkContext.defaultParallelism)
     own = loop_session(spark, parts)
     tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
-    edges_table, vec_view = f"spark_catalog.default.{tag}_edges", f"{tag}_vec"
-    closed_table = f"{edges_table}_closed"
-    base = scratch_path(spark, "rank-vector")
-
-    trow = nodes.where((F.col("kind") == USER) & (F.col("id") == F.lit(target))).first()
-    vec, dangling, n_vec, n_sent = own.createDataFrame([], _VEC_SCHEMA), 0.0, 0, 0
-    if trow is not None:
-        vec = own.range(1).select(
-            F.lit(USER).alias("kind"), F.lit(target).cast("long").alias("id"), F.lit(1.0).alias("score"),
-            F.lit(trow["out_deg"]).cast("long").alias("out_deg"), F.lit(trow["nsalt"]).cast("int").alias("nsalt"))
-        dangling = 1.0 if trow["out_deg"] == 0 else 0.0
-        n_vec, n_sent = 1, trow["nsalt"]
-
-    changes: list[float] = []
-    converged, closed, it, path = False, False, 0, None
+    edges_table = f"spark_catalog.default.{tag}_edges"
+    loop = _Loop(own, tag, edges_table, alpha, max_iter, tol, parts, broadcast_rows, keep_turns, heavy is not None, extra)
+    out = WalksResult(scores=spark.createDataFrame([], _VEC_SCHEMA), nodes=nodes, iterations={}, converged={},
+                      in_graph={t: False for t in targets}, changes={})
     try:
-        _write_bucketed(_weighted_edges(graph, nodes), edges_table, parts, scratch_path(spark, "rank-edges"))
-        edges = edges_table
-        for it in range(1, max_iter + 1):
-            vec.createOrReplaceTempView(vec_view)
-            hint = "BROADCAST" if n_sent <= broadcast_rows else "SHUFFLE_HASH"
-            new = own.sql(_TURN_SQL.format(edges=edges, vec=vec_view, alpha=repr(float(alpha)), join_hint=hint,
-                                           restart=_restart_sql(trow, target, alpha, dangling)))
-            obs = Observation(f"rank-turn-{it}")
-            live = F.col("score") != 0
-            new = new.observe(obs,
-                              F.max(F.abs(F.col("score") - F.col("old"))).alias("change"),
-                              F.sum(F.when(F.col("out_deg") == 0, F.col("score"))).alias("dangling"),
-                              F.sum(F.when(live & (F.col("out_deg") > 0), F.col("nsalt"))).alias("sent"),
-                              F.count_if(live).alias("rows"))
-            last, path = path, f"{base}/turn-{it}"
-            new.where(live).drop("old").write.parquet(path)
-            m = obs.get
-            change, dangling, n_sent = m.get("change") or 0.0, m.get("dangling") or 0.0, m.get("sent") or 0
-            grown, n_vec = (m.get("rows") or 0) > n_vec, m.get("rows") or 0
-            changes.append(change)
-            vec = own.read.schema(_VEC_SCHEMA).parquet(path)
-            if last and not keep_turns:
-                drop_folder(spark, last)
-            if change < tol:
-                converged = True
-                break
-            if not grown and not closed and 0 < alpha < 1 and trow is not None:
-                closed = True
-                reached = vec.where("out_deg > 0").select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"))
-                if n_vec <= broadcast_rows:
-                    reached = F.broadcast(reached)
-                inside = own.table(edges_table).join(reached, ["src_kind", "src_id"], "left_semi")
-                _write_bucketed(inside, closed_table, parts, scratch_path(spark, "rank-edges"))
-                edges = closed_table
+        _write_bucketed(adjacency_blocks(graph, nodes, block_size, heavy, parts), edges_table, parts, scratch_path(spark, "rank-edges"))
+        if heavy is not None:
+            own.read.schema(heavy.schema).parquet(*heavy.inputFiles()).createOrReplaceTempView(f"{tag}_heavy")
+        for i in range(0, len(targets), TARGETS_PER_WALK):
+            loop.run(targets[i:i + TARGETS_PER_WALK], nodes, out)
     finally:
-        for table in (edges_table, closed_table):
-            own.sql(f"DROP TABLE IF EXISTS {table}")
-        own.catalog.dropTempView(vec_view)
-    scores = spark.read.schema(_VEC_SCHEMA).parquet(path) if path else spark.createDataFrame([], _VEC_SCHEMA)
-    return RankResult(scores=scores.select("kind", "id", "score"), nodes=nodes, iterations=it,
-                      converged=converged, target_in_graph=trow is not None, changes=changes)
-
-
-def _write_bucketed(edges: DataFrame, table: str, parts: int, path: str) -> None:
-    """Static edges as an external table in the shared folder, bucketed on the
-    join keys: a turn reads it already partitioned and moves only the vector."""
-    keys = ["src_kind", "src_id", "salt"]
-    (edges.repartition(parts, *keys).write.bucketBy(parts, *keys).option("path", path).saveAsTable(table))
+        own.sql(f"DROP TABLE IF EXISTS {edges_table}")
+        for view in (f"{tag}_vec", f"{tag}_heavy"):
+            own.catalog.dropTempView(view)
+    return out
+
+
+@dataclass
+class _Loop:
+    """The turns of one group of targets."""
+
+    session: SparkSession
+    tag: str
+    edges_table: str
+    alpha: float
+    max_iter: int
+    tol: float
+    parts: int
+    broadcast_rows: int
+    keep_turns: bool
+    salted: bool
+    extra_salts: int
+
+    def run(self, targets: list[int], nodes: DataFrame, out: WalksResult) -> None:
+        own, spark = self.session, nodes.sparkSession
+        known = {r["id"] for r in nodes.where((F.col("kind") == USER) & F.col("id").isin(targets)).select("id").collect()}
+        rows = {t: int(t in known) for t in targets}  # of each walk's vector
+        for t in targets:
+            out.in_graph[t], out.changes[t], out.converged[t], out.iterations[t] = t in known, [], False, 0
+        vec = own.createDataFrame([(t, USER, t, 1.0) for t in targets if t in known], _VEC_SCHEMA)
+        base, closed_table = scratch_path(spark, "rank-vector"), f"{self.edges_table}_closed"
+        active, edges, closed, path, kept = targets, self.edges_table, False, None, {}
+        try:
+            for turn in range(1, self.max_iter + 1):
+                vec.createOrReplaceTempView(f"{self.tag}_vec")
+                hint = "BROADCAST" if sum(rows[t] for t in active) + self.extra_salts * len(active) <= self.broadcast_rows else "SHUFFLE_HASH"
+                new = own.sql(_turn_sql(self.tag, edges, [t for t in active if t in known], self.alpha, hint, self.salted))
+                live, obs = F.col("score") != 0, Observation(f"rank-turn-{turn}")
+                mine = {t: F.col("target") == F.lit(t) for t in active}
+                new = new.observe(obs, *[F.max(F.when(w, F.abs(F.col("score") - F.col("old")))).alias(f"change_{i}")
+                                         for i, w in enumerate(mine.values())],
+                                  *[F.count_if(live & w).alias(f"rows_{i}") for i, w in enumerate(mine.values())])
+                last, path = path, f"{base}/turn-{turn}"
+                new.where(live).drop("old").write.parquet(path)
+                seen = obs.get
+                grown, done = False, []
+                for i, t in enumerate(active):
+                    change, n = seen.get(f"change_{i}") or 0.0, seen.get(f"rows_{i}") or 0
+                    out.changes[t].append(change)
+                    out.iterations[t] = turn
+                    out.converged[t] = change < self.tol
+                    grown, rows[t] = grown or n > rows[t], n
+                    if change < self.tol or turn == self.max_iter:
+                        done.append(t)
+                if last and not self.keep_turns and last not in kept:
+                    drop_folder(spark, last)
+                if done:
+                    kept[path] = done
+                active = [t for t in active if t not in done]
+                if not active:
+                    break
+                vec = own.read.schema(_VEC_SCHEMA).parquet(path).where(F.col("target").isin(active))
+                if not grown and not closed and 0 < self.alpha < 1 and known:
+                    closed = True
+                    reached = vec.select(F.col("kind").alias("src_kind"), F.col("id").alias("src_id"))
+                    if sum(rows[t] for t in active) <= self.broadcast_rows:
+                        reached = F.broadcast(reached)
+                    inside = own.table(self.edges_table).join(reached, ["src_kind", "src_id"], "left_semi")
+                    _write_bucketed(inside.repartition(self.parts, "src_kind", "src_id", "salt"), closed_table, self.parts,
+                                    scratch_path(spark, "rank-edges"))
+                    edges = closed_table
+        finally:
+            own.sql(f"DROP TABLE IF EXISTS {closed_table}")
+        for path, done in kept.items():  # each target's vector after its last turn
+            out.scores = out.scores.unionByName(spark.read.schema(_VEC_SCHEMA).parquet(path).where(F.col("target").isin(done)))
+
+
+def _write_bucketed(blocks: DataFrame, table: str, parts: int, path: str) -> None:
+    """Blocks as an external table in the shared folder, bucketed on the join
+    keys: a turn reads it already partitioned and moves only the vector."""
+    blocks.write.bucketBy(parts, "src_kind", "src_id", "salt").option("path", path).saveAsTable(table)
 
 
 def seen_items(edges: DataFrame, target: int) -> DataFrame:
