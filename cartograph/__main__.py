@@ -3,7 +3,7 @@
     python -m cartograph features    TRAIN TEST OUT
     python -m cartograph cooccurrence TRAIN [TEST] OUT
     python -m cartograph clustering  FEATURES OUT TRAIN [--k 3]
-    python -m cartograph rank        TRAIN [TEST] OUT --target ID [--top-k 10]
+    python -m cartograph rank        TRAIN [TEST] OUT --target ID [ID ...] [--top-k 10]
 
 With a single input file the co-occurrence and rank jobs read it as both
 splits (its rows are counted twice; results are unchanged by the distinct
@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     k.add_argument("--k", type=int, default=KMEANS_K)
     r = sub.add_parser("rank")
     r.add_argument("paths", nargs="+")
-    r.add_argument("--target", type=int, required=True)
+    r.add_argument("--target", type=int, required=True, nargs="+", help="several targets walk in one loop, a line each")
     r.add_argument("--top-k", type=int, default=RANK_TOP_K)
     args = ap.parse_args(argv)
 
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         out = jobs.run_clustering(spark, args.features, args.out, args.train, k=args.k)
     else:
         train, test, dest = _split_args(args.paths)
-        out = jobs.run_rank(spark, train, test, dest, target=args.target, k=args.top_k)
+        out = jobs.run_rank(spark, train, test, dest, target=args.target if len(args.target) > 1 else args.target[0], k=args.top_k)
     for name, value in out.paths.items():
         print(f"{name}: {value}")
     for r in out.stats.orderBy("metric").collect():  # a few dozen counts at most

@@ -43,7 +43,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartograph.schema import RANK_ALPHA, RANK_DECIMALS, RANK_MAX_ITER, RANK_TOL, RANK_TOP_K
@@ -103,11 +103,12 @@ def graph_nodes(graph: DataFrame) -> DataFrame:
 
 
 def graph_stats(graph: DataFrame) -> DataFrame:
-    """``(metric, value)``: nodes, users, items, edges.
+    """``(metric, value)``: nodes, users, items, edges; one pass over the edges, see :func:`node_table`."""
+    return node_stats(node_table(graph))
 
-    One pass over the edges, see :func:`node_table`.
-    """
-    nodes = node_table(graph)
+
+def node_stats(nodes: DataFrame) -> DataFrame:
+    """:func:`graph_stats` from a node table."""
     return metric_rows(nodes.agg(
         F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("kind") == USER).alias("n_users"),
         F.count_if(F.col("kind") == ITEM).alias("n_items"), F.coalesce(F.sum("out_deg"), F.lit(0)).alias("n_edges")))
@@ -259,8 +260,11 @@ def _turn_sql(tag: str, edges: str, targets: list[int], alpha: float, join_hint:
     if salted:
         sent = (f"SELECT /*+ BROADCAST(h) */ target, kind, id, score, explode(sequence(0, coalesce(nsalt, 1) - 1)) AS salt "
                 f"FROM {tag}_vec LEFT JOIN {tag}_heavy h USING (kind, id)")
-    restart = "".join(f"UNION ALL SELECT CAST({t} AS BIGINT), {USER}, CAST({t} AS BIGINT), 0D, CAST({1.0 - alpha!r} AS DOUBLE), 0D\n  "
-                      for t in targets)
+    restart = ""
+    if targets:
+        rows = ", ".join(f"CAST({t} AS BIGINT)" for t in targets)
+        restart = (f"UNION ALL SELECT t, {USER}, t, 0D, CAST({1.0 - alpha!r} AS DOUBLE), 0D "
+                   f"FROM (SELECT explode(array({rows})) AS t)")
     return _TURN_SQL.format(alpha=repr(float(alpha)), user=USER, edges=edges, vec=f"{tag}_vec", sent=sent, restart=restart,
                             join_hint=join_hint)
 
@@ -424,6 +428,37 @@ def recommend_top_k(result: RankResult, edges: DataFrame, target: int, k: int =
                          F.col("e.item_id").alias("item_id"), F.col("e.score").alias("score"))
 
 
+def recommend_many(result: WalksResult, edges: DataFrame, k: int = RANK_TOP_K) -> DataFrame:
+    """``(target_id, rank, item_id, score)``: :func:`recommend_top_k` of every target of ``result``.
+
+    Reached items are ranked per target, map tasks keep ``k`` of each.  A
+    target with fewer than ``k`` reached, unseen items is filled up by unreached
+    ones (score 0, by id text): as many of the first items by text as it
+    knows items, plus ``k``, are sure to hold them, so items and targets are
+    never multiplied out.
+    """
+    targets = list(result.in_graph)
+    order = [F.col("score").desc(), F.col("item_id").cast("string")]
+    best = Window.partitionBy("target_id").orderBy(*order)
+    reached = result.scores.where(F.col("kind") == ITEM).select(F.col("target").alias("target_id"), F.col("id").alias("item_id"), "score")
+    seen = edges.where(F.col("user_id").isin(targets)).select(F.col("user_id").alias("target_id"), "item_id").distinct()
+    key = ["target_id", "item_id"]
+    top = materialize(reached.join(seen, key, "left_anti").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                      .select("target_id", "rank", "item_id", "score"), "rank-top")
+    full = {r["target_id"] for r in top.groupBy("target_id").count().where(F.col("count") >= k).collect()}
+    short = [t for t in targets if t not in full]
+    if not short:
+        return top
+    known = materialize(reached.select(*key).union(seen).where(F.col("target_id").isin(short)).distinct(), "rank-known")
+    most = known.groupBy("target_id").count().agg(F.max("count")).first()[0] or 0
+    first = (result.nodes.where(F.col("kind") == ITEM).select(F.col("id").alias("item_id"))
+             .orderBy(F.col("item_id").cast("string")).limit(k + most))
+    spare = first.select(F.explode(F.array(*[F.lit(t).cast("long") for t in short])).alias("target_id"), "item_id",
+                         F.lit(0.0).alias("score")).join(known, key, "left_anti")
+    return (top.drop("rank").unionByName(spare).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("target_id", "rank", "item_id", "score"))
+
+
 def recommend_stats(recs: DataFrame, low: float = 0.0005) -> DataFrame:
     """Per target: ``top_score``, ``low_score`` (top score prints as 0.000 at
     three decimals) and the number of recommended items."""

@@ -814,6 +814,57 @@ def q_personal_rank_salted(spark, sf_dir):
                             keep_turns=False).scores.select("kind", "id", _r9("score"))
 
 
+@register("adjacency_blocks", O.GRAPH + """
+SELECT nodes.kind, nodes.id, count(bi.src_id) AS out_deg, greatest(1, CAST(ceil(count(bi.src_id) / 4.0) AS BIGINT)) AS n_salts,
+       string_agg(CAST(dst_kind AS VARCHAR) || ':' || CAST(dst_id AS VARCHAR), ',' ORDER BY dst_kind, dst_id) AS dsts
+FROM nodes LEFT JOIN bi ON bi.src_kind = nodes.kind AND bi.src_id = nodes.id GROUP BY nodes.kind, nodes.id""")
+def q_adjacency_blocks(spark, sf_dir):
+    # nodes above 4 edges in salted blocks; the blocks of a node rejoin to its list
+    graph = _graph(spark, sf_dir)
+    nodes = materialize(RK.node_table(graph, 4), "rank-nodes")
+    blocks = RK.adjacency_blocks(graph, nodes, 4, RK.heavy_nodes(nodes, 4))
+    lists = blocks.groupBy(F.col("src_kind").alias("kind"), F.col("src_id").alias("id")).agg(
+        F.max("out_deg").alias("out_deg"), F.array_sort(F.flatten(F.collect_list("dsts"))).alias("d"))
+    entry = F.transform("d", lambda x: F.concat_ws(":", x["kind"].cast("string"), x["id"].cast("string")))
+    return lists.join(nodes.select("kind", "id", F.col("nsalt").cast("long").alias("n_salts")), ["kind", "id"]).select(
+        "kind", "id", "out_deg", "n_salts", F.array_join(entry, ",").alias("dsts"))
+
+
+_WALKS_MEMO: dict = {}
+
+
+def _walks(spark, sf_dir) -> RK.WalksResult:
+    key = _listing(spark, sf_dir)
+    if key not in _WALKS_MEMO:
+        edges = _written_edges(spark, sf_dir)
+        targets = [r[0] for r in edges.select("user_id").distinct().orderBy("user_id").limit(O.N_TARGETS).collect()]
+        _WALKS_MEMO[key] = edges, RK.walks(RK.bipartite_edges(edges), targets)
+    return _WALKS_MEMO[key]
+
+
+@register("personal_rank_targets", O.rank_walks() + """
+SELECT target, kind, id, round(score, 9) AS score FROM final WHERE score <> 0""")
+def q_personal_rank_targets(spark, sf_dir):
+    return _walks(spark, sf_dir)[1].scores.select("target", "kind", "id", _r9("score"))
+
+
+@register("personal_rank_targets_turns", O.rank_walks() + """
+SELECT target, turn::BIGINT AS turns FROM stop""")
+def q_personal_rank_targets_turns(spark, sf_dir):
+    return spark.createDataFrame(list(_walks(spark, sf_dir)[1].iterations.items()), "target long, turns long")
+
+
+@register("recommend_many", O.rank_walks() + """,
+cand AS (SELECT t.target, n.id AS item_id, coalesce(f.score, 0.0) AS score
+         FROM nodes n CROSS JOIN targets t LEFT JOIN final f ON f.kind = 1 AND f.id = n.id AND f.target = t.target
+         WHERE n.kind = 1 AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.user_id = t.target AND e.item_id = n.id))
+SELECT target AS target_id, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC, CAST(item_id AS VARCHAR)) AS INTEGER) AS rank,
+       item_id, round(score, 9) AS score FROM cand QUALIFY rank <= 10""")
+def q_recommend_many(spark, sf_dir):
+    edges, walks = _walks(spark, sf_dir)
+    return RK.recommend_many(walks, edges).select("target_id", "rank", "item_id", _r9("score"))
+
+
 # ------------------------------------------------- damaged features, seeded start
 
 @register("parse_user_features_damaged", O.DAMAGED_FEATURES)

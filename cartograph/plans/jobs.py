@@ -6,6 +6,7 @@ returns the main result as a DataFrame read back from what was written.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,22 +99,28 @@ def run_clustering(spark: SparkSession, features: str, out: str, train: str,
     return JobOutput(spark.read.text(l_path), {"centres": c_path, "labels": l_path, "iterations": res.iterations}, stats)
 
 
-def run_rank(spark: SparkSession, train: str, test: str | None, out: str, target: int,
+def run_rank(spark: SparkSession, train: str, test: str | None, out: str, target: int | Sequence[int],
              k: int = RANK_TOP_K) -> JobOutput:
     """Personal rank from ``target``; writes one recommendation line of ``k`` entries.
 
-    Statistics: nodes, users, items, edges, turns, whether the target is in
-    the graph, the top score and whether it prints as 0.000.
+    With several targets all walk in one loop, and each has its line.  Statistics: nodes,
+    users, items, edges; for a single target also its turns, whether it is in the graph, the
+    top score and whether it prints as 0.000; for several the number in the graph and the most turns.
     """
     log = TX.read_behavior_log(spark, [train, test if test is not None else train],
                                require_category=False)
     edges = materialize(CO.interaction_edges(log), "edges")
-    graph = RK.bipartite_edges(edges)
-    res = RK.personal_rank(graph, target)
+    walks = RK.walks(RK.bipartite_edges(edges), [target] if isinstance(target, int) else target)
     path = f"{out}/personal_rank_recommendations.txt"
-    recs = materialize(RK.recommend_top_k(res, edges, target, k), "recommendations")
+    if isinstance(target, int):
+        res = walks.of(target)
+        recs = materialize(RK.recommend_top_k(res, edges, target, k), "recommendations")
+        top = RK.recommend_stats(recs).first()
+        notes = {"iterations": res.iterations, "target_in_graph": res.target_in_graph}
+        notes |= {"top_score": top["top_score"], "low_score": top["low_score"]} if top else {}
+    else:
+        recs = materialize(RK.recommend_many(walks, edges, k), "recommendations")
+        notes = {"iterations": max(walks.iterations.values(), default=0), "targets_in_graph": sum(walks.in_graph.values())}
     sinks.write_recommendations(RK.recommendation_line(recs), path)
-    top = RK.recommend_stats(recs).first()
-    notes = {"top_score": top["top_score"], "low_score": top["low_score"]} if top else {}
-    stats = _stats(spark, RK.graph_stats(graph), iterations=res.iterations, target_in_graph=res.target_in_graph, **notes)
-    return JobOutput(spark.read.text(path), {"recommendations": path, "iterations": res.iterations}, stats)
+    stats = _stats(spark, RK.node_stats(walks.nodes), **notes)
+    return JobOutput(spark.read.text(path), {"recommendations": path, "iterations": notes["iterations"]}, stats)

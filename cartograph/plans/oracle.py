@@ -100,6 +100,33 @@ chg AS (SELECT a.turn, max(abs(a.score - b.score)) AS change
 stop AS (SELECT coalesce(min(turn) FILTER (WHERE change < 1e-4), {max_iter}) AS turn FROM chg),
 final AS (SELECT w.kind, w.id, w.score FROM walk w JOIN stop ON w.turn = stop.turn)"""
 
+# Walks of the N_TARGETS smallest users with deep edges, each stopped by its own change.
+N_TARGETS = 20
+
+
+def rank_walks(max_iter: int = 100) -> str:
+    return recursive(GRAPH) + f""",
+targets AS (SELECT DISTINCT user_id AS target FROM edges ORDER BY user_id LIMIT {N_TARGETS}),
+walk(target, turn, kind, id, score) AS (
+  SELECT target, 0, kind, id, CASE WHEN kind = 0 AND id = target THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM nodes, targets
+  UNION ALL
+  SELECT target, turn, kind, id, sum(rst) + 0.85::DOUBLE * sum(inc) FROM (
+    SELECT p.target, p.turn + 1 AS turn, w.dst_kind AS kind, w.dst_id AS id, p.score / w.src_deg AS inc, 0.0::DOUBLE AS rst
+    FROM walk p JOIN wbi w ON p.kind = w.src_kind AND p.id = w.src_id
+    WHERE p.turn < {max_iter} AND p.score > 0
+    UNION ALL
+    SELECT p.target, p.turn + 1, p.kind, p.id, 0.0::DOUBLE,
+           CASE WHEN p.kind = 0 AND p.id = p.target THEN 1.0::DOUBLE - 0.85::DOUBLE ELSE 0.0::DOUBLE END
+    FROM walk p WHERE p.turn < {max_iter}
+  ) GROUP BY target, turn, kind, id
+),
+chg AS (SELECT a.target, a.turn, max(abs(a.score - b.score)) AS change
+        FROM walk a JOIN walk b ON a.target = b.target AND a.kind = b.kind AND a.id = b.id AND a.turn = b.turn + 1
+        GROUP BY a.target, a.turn),
+stop AS (SELECT target, coalesce(min(turn) FILTER (WHERE change < 1e-4), {max_iter}) AS turn FROM chg GROUP BY target),
+final AS (SELECT w.target, w.kind, w.id, w.score FROM walk w JOIN stop ON w.target = stop.target AND w.turn = stop.turn)"""
+
+
 # K-means over the rounded scaled features of training users (any train-split
 # row counts, also an unknown behaviour); initial centres = the 3 smallest ids.
 POINTS = NORM + """,

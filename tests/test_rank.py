@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from cartograph.operators import rank as R
@@ -132,3 +134,100 @@ def test_loop_leaves_session_settings_alone(spark, golden):
     e, _ = golden
     R.personal_rank(R.bipartite_edges(e), 534266, max_iter=2, partitions=3)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+PAIRS = [(u, i) for u in range(1, 24) for i in range(100, 140) if (u * 7 + i * 3) % 11 < 3] + [(50, 900), (51, 900), (51, 901), (60, 950)]
+
+
+@pytest.fixture(scope="module")
+def several(spark):
+    e = _edges(spark, PAIRS).cache()
+    targets = [*range(1, 18), 50, 60, 777]  # a small component, an item of one user, an unknown user
+    return e, targets, R.walks(R.bipartite_edges(e), targets)
+
+
+def _walk_by_hand(pairs, target, tol=1e-4, max_iter=100):
+    """Plain power iteration: turns, changes and the sparse vector of one target."""
+    adj = [((0, u), (1, i)) for u, i in pairs] + [((1, i), (0, u)) for u, i in pairs]
+    deg = Counter(a for a, _ in adj)
+    x, changes = ({(0, target): 1.0} if (0, target) in deg else {}), []
+    while len(changes) < max_iter and (not changes or changes[-1] >= tol):
+        y = Counter({(0, target): 0.15}) if x else Counter()
+        for a, b in adj:
+            if a in x:
+                y[b] += 0.85 * x[a] / deg[a]
+        changes.append(max((abs(y[v] - x.get(v, 0.0)) for v in y), default=0.0))
+        x = dict(y)
+    return changes, x
+
+
+def test_several_targets_equal_single_walks(spark, several):
+    e, targets, many = several
+    assert len(targets) == 20 and len(set(many.iterations.values())) > 2
+    scores = {}
+    for r in many.scores.collect():
+        scores.setdefault(r.target, {})[r.kind, r.id] = r.score
+    for t in targets:
+        changes, want = _walk_by_hand(PAIRS, t)
+        assert many.iterations[t] == len(changes) and many.converged[t] and many.in_graph[t] == bool(want)
+        assert many.changes[t] == pytest.approx(changes, abs=1e-12)
+        assert scores.get(t, {}) == pytest.approx(want, abs=1e-12)
+    one, mine = R.personal_rank(R.bipartite_edges(e), 50), many.of(50)
+    assert (mine.iterations, mine.converged, mine.target_in_graph) == (one.iterations, one.converged, one.target_in_graph)
+
+
+def test_recommend_many_equals_single(spark, several):
+    e, targets, many = several
+    got, items = {}, {i for _, i in PAIRS}
+    for r in R.recommend_many(many, e).orderBy("target_id", "rank").collect():
+        got.setdefault(r.target_id, []).append((r.rank, r.item_id, round(r.score, 9)))
+    for t in targets:
+        _, x = _walk_by_hand(PAIRS, t)
+        new = sorted(items - {i for u, i in PAIRS if u == t}, key=lambda i: (-round(x.get((1, i), 0.0), 9), str(i)))
+        assert got[t] == [(n + 1, i, round(x.get((1, i), 0.0), 9)) for n, i in enumerate(new[:10])]
+    for t in (50, 777):
+        assert got[t] == [(r.rank, r.item_id, round(r.score, 9)) for r in R.recommend_top_k(many.of(t), e, t).collect()]
+
+
+def test_several_targets_in_groups(spark, several, monkeypatch):
+    e, targets, many = several
+    monkeypatch.setattr(R, "TARGETS_PER_WALK", 3)
+    few = R.walks(R.bipartite_edges(e), targets[-5:], max_iter=12, block_size=4, broadcast_rows=0, partitions=3, keep_turns=False)
+    for t in targets[-5:]:
+        changes, want = _walk_by_hand(PAIRS, t, max_iter=12)
+        assert few.iterations[t] == len(changes)
+        assert {(r.kind, r.id): r.score for r in few.of(t).scores.collect()} == pytest.approx(want, abs=1e-12)
+
+
+def test_one_job_a_turn_for_all_targets(spark, several):
+    """Twenty targets take no more jobs than one."""
+    e, targets, many = several
+    sc, jobs = spark.sparkContext, {}
+    for name, ts in (("one", targets[:1]), ("all", targets)):
+        sc.setJobGroup(f"walks-{name}", "")
+        R.walks(R.bipartite_edges(e), ts, max_iter=6, tol=0.0)
+        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(f"walks-{name}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["all"] <= jobs["one"] + 2
+
+
+def _adjacency(spark, graph, block):
+    nodes = R.node_table(graph, block).cache()
+    return {(r.src_kind, r.src_id, r.salt): r for r in R.adjacency_blocks(graph, nodes, block, R.heavy_nodes(nodes, block)).collect()}
+
+
+def test_adjacency_blocks(spark):
+    graph = R.directed_edges(_edges(spark, [(1, i) for i in range(100)] + [(2, 5)]))
+    plain, split = _adjacency(spark, graph, 1000), _adjacency(spark, graph, 16)
+    assert [d.id for d in plain[0, 1, 0].dsts] == list(range(100)) and plain[0, 1, 0].out_deg == 100
+    mine = [r for (kind, node, _), r in split.items() if (kind, node) == (0, 1)]
+    assert len(mine) == 7 and sorted(d.id for r in mine for d in r.dsts) == list(range(100)) and {r.out_deg for r in mine} == {100}
+    # a node without out-edges leads back to the target
+    assert {(r.out_deg, len(r.dsts), r.dsts[0].kind) for (kind, _, _), r in split.items() if kind == 1} == {(1, 1, -1)}
+
+
+def test_no_join_of_edges_with_nodes(spark):
+    graph = R.bipartite_edges(_edges(spark, [(u, u % 7) for u in range(300)]))
+    nodes = R.node_table(graph, 16).cache()
+    plan = R.adjacency_blocks(graph, nodes, 16, R.heavy_nodes(nodes, 16))._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
