@@ -4,8 +4,9 @@ Scale notes
 -----------
 * Edges are de-duplicated with a partial+final hash aggregate.
 * Index and basket lists are one sorted list per key.  Only a key with more
-  than ``max_list`` members (1M by default) is split, into
-  ``ceil(n / max_list)`` hash blocks, so no list outgrows a task.
+  than ``max_list`` members (1M by default) is split, at sampled quantiles of
+  its members into numbered segments, so no list outgrows a task and the
+  segments in order are the sorted list.
 * Pairs come from a self equi-join on ``(user_id, p, q)``.  A user whose
   basket exceeds ``block_size`` items is split into ``s = ceil(n/block_size)``
   hash blocks of items; each left row is replicated to the ``s`` blocks
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartograph.operators.clean import deep_interactions
@@ -30,6 +31,8 @@ DEFAULT_MAX_LIST = 1 << 20
 DEFAULT_PAIR_BLOCK = 4096
 # (key, nsplit) rows are 12 bytes: 1M rows is a ~12 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# sampled members a segment of a split list, and cuts looked at in one run
+SAMPLE_PER_SEGMENT, CUT_RUN = 64, 32
 
 
 def interaction_edges(log: DataFrame, deep_only: bool = True) -> DataFrame:
@@ -39,17 +42,47 @@ def interaction_edges(log: DataFrame, deep_only: bool = True) -> DataFrame:
 
 
 def _grouped_lists(edges: DataFrame, key: str, member: str, out: str, max_list: int) -> DataFrame:
-    e = _split_counts(edges, key, max_list)
-    block = F.pmod(F.xxhash64(member), F.col("nsplit")).cast("int")
-    return (e.groupBy(key, block.alias("block"))
+    heavy, n_heavy = _heavy_keys(edges, key, max_list)
+    block = F.lit(0)
+    if n_heavy:
+        cuts = materialize(segment_cuts(edges, heavy, key, member), "segment-cuts")
+        # the cuts of all keys number at most edges / max_list
+        edges = edges.join(F.broadcast(cuts) if n_heavy <= DEFAULT_BROADCAST_ROWS else cuts, key, "left")
+        block = F.coalesce(_segment_of(F.col(member)), F.lit(0))
+    return (edges.groupBy(key, block.cast("int").alias("block"))
             .agg(F.array_sort(F.collect_list(member)).alias(out)))
 
 
+def segment_cuts(edges: DataFrame, heavy: DataFrame, key: str, member: str) -> DataFrame:
+    """``(key, cuts, heads)`` of the keys in ``heavy`` (key, n, nsplit): the largest members of all segments but the last.
+
+    Quantiles of a sample by hash, about SAMPLE_PER_SEGMENT members a segment,
+    so segments are near equal.  Cuts come in runs of CUT_RUN, ``heads`` holds
+    each run's last cut.
+    """
+    share = F.lit(float(SAMPLE_PER_SEGMENT)) * F.col("nsplit") / F.col("n")
+    place = F.pmod(F.xxhash64(member, F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    side = F.broadcast(heavy) if heavy.count() <= DEFAULT_BROADCAST_ROWS else heavy
+    sample = edges.join(side, key).where(place < share).groupBy(key, "nsplit").agg(F.sort_array(F.collect_list(member)).alias("s"))
+    at = F.transform(F.sequence(F.lit(1), F.col("nsplit") - 1),
+                     lambda i: F.get("s", (i * F.size("s") / F.col("nsplit")).cast("int") - F.lit(1)))
+    cuts = sample.select(key, F.array_distinct(F.filter(at, lambda c: c.isNotNull())).alias("c")).where(F.size("c") > 0)
+    runs = F.transform(F.sequence(F.lit(0), (F.size("c") - 1).cast("int"), F.lit(CUT_RUN)), lambda i: F.slice("c", i + 1, CUT_RUN))
+    return cuts.select(key, runs.alias("cuts")).withColumn("heads", F.transform("cuts", lambda r: F.element_at(r, -1)))
+
+
+def _segment_of(member: Column) -> Column:
+    """Number of cuts below ``member``: the runs wholly below it, then within the next run."""
+    runs = F.size(F.filter("heads", lambda h: h < member))
+    return runs * CUT_RUN + F.coalesce(F.size(F.filter(F.get("cuts", runs), lambda c: c < member)), F.lit(0))
+
+
 def inverted_index(edges: DataFrame, max_list: int = DEFAULT_MAX_LIST) -> DataFrame:
     """``(item_id, block, user_ids)``: ascending distinct users per item.
 
     One row per item (``block`` 0); an item with more than ``max_list`` users
-    has its users dealt to ``ceil(n / max_list)`` blocks, a row each.
+    has them cut into about ``ceil(n / max_list)`` segments of near equal size, a
+    row each: ``block`` numbers them, and in this order they are the sorted list.
     ``edges`` must be distinct (see :func:`interaction_edges`).
     """
     return _grouped_lists(edges, "item_id", "user_id", "user_ids", max_list)
@@ -70,22 +103,27 @@ def _split_counts(edges: DataFrame, key: str, block_size: int,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Attach ``nsplit`` (hash blocks of the key's members) to each edge.
 
-    Heavy keys number at most ``|edges| / block_size``.  Their table is
-    written once and counted: none -> no join at all; up to
-    ``broadcast_rows`` -> it is broadcast, so the edges are not shuffled for
-    it; beyond that -> a shuffle join whose skewed partitions AQE splits.
+    No heavy key -> no join at all; up to ``broadcast_rows`` of them -> their
+    table is broadcast, so the edges are not shuffled for it; beyond that -> a
+    shuffle join whose skewed partitions AQE splits.
     """
-    heavy = materialize(
-        edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_size)
-        .select(key, F.ceil(F.col("n") / F.lit(block_size)).cast("int").alias("nsplit")), "heavy-keys")
-    n_heavy = heavy.count()
+    heavy, n_heavy = _heavy_keys(edges, key, block_size)
     if n_heavy == 0:
         return edges.withColumn("nsplit", F.lit(1))
     side = F.broadcast(heavy) if n_heavy <= broadcast_rows else heavy
-    return (edges.join(side, key, "left")
+    return (edges.join(side.drop("n"), key, "left")
             .withColumn("nsplit", F.coalesce(F.col("nsplit"), F.lit(1))))
 
 
+def _heavy_keys(edges: DataFrame, key: str, block_size: int) -> tuple[DataFrame, int]:
+    """``(key, n, nsplit)`` of the keys with more than ``block_size`` members, written once, and their
+    number: at most ``|edges| / block_size``."""
+    heavy = materialize(
+        edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_size)
+        .select(key, "n", F.ceil(F.col("n") / F.lit(block_size)).cast("int").alias("nsplit")), "heavy-keys")
+    return heavy, heavy.count()
+
+
 def item_pairs(edges: DataFrame, block_size: int = DEFAULT_PAIR_BLOCK) -> DataFrame:
     """``(user_id, item_a, item_b)`` with ``item_a < item_b`` for every pair of
     items one user holds (edges must be distinct)."""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartograph import sinks as SK
@@ -140,7 +140,7 @@ def _lineitem_edges(spark, sf_dir):
 
 
 def _list_text(col):
-    return F.array_join(F.col(col).cast("array<string>"), ",")
+    return F.array_join((F.col(col) if isinstance(col, str) else col).cast("array<string>"), ",")
 
 
 def _index_rows(idx):
@@ -757,14 +757,30 @@ def q_user_baskets_large_ids(spark, sf_dir):
 
 
 @register("inverted_index_split_lists", O.DEEP + """
-SELECT item_id, user_id, count(*) OVER (PARTITION BY item_id) AS n_users,
-       CAST(ceil(count(*) OVER (PARTITION BY item_id) / 8.0) AS BIGINT) AS n_blocks FROM edges""")
+SELECT item_id, count(*) AS n_users, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS user_ids, count(*) > 8 AS is_split
+FROM edges GROUP BY item_id""")
 def q_inverted_index_split_lists(spark, sf_dir):
-    # every list above 8 users is split; the blocks rejoin to the whole list
+    # every list above 8 users is cut into segments, which in order are the whole sorted list
     idx = materialize(CO.inverted_index(_written_edges(spark, sf_dir), max_list=8), "split-index")
-    sizes = idx.groupBy("item_id").agg(F.sum(F.size("user_ids")).cast("bigint").alias("n_users"))
-    return (idx.select("item_id", F.explode("user_ids").alias("user_id")).join(sizes, "item_id")
-            .select("item_id", "user_id", "n_users", F.ceil(F.col("n_users") / 8).cast("bigint").alias("n_blocks")))
+    parts = idx.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("block", "user_ids"))).alias("p"))
+    whole = F.flatten(F.transform("p", lambda x: x["user_ids"]))
+    return parts.select("item_id", F.size(whole).cast("bigint").alias("n_users"), _list_text(whole).alias("user_ids"),
+                        (F.size("p") > 1).alias("is_split"))
+
+
+@register("write_cooccurrence_ordered", O.lineitem(O.PAIRS) + """
+SELECT row_number() OVER (ORDER BY n_users DESC, item_a, item_b) - 1 AS line,
+       printf('%d,%d', item_a, item_b) || chr(9) || CAST(n_users AS VARCHAR) AS value FROM cooc""")
+def q_write_cooccurrence_ordered(spark, sf_dir):
+    # line numbers as read: files in name order, each line by line
+    path = scratch_path(spark, "sink-cooccurrence-ordered")
+    pairs = materialize(CO.item_cooccurrence(_lineitem_edges(spark, sf_dir)), "pairs")
+    index = materialize(SK.write_cooccurrence_ordered(pairs, path), "pair-index")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.struct(
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")).alias("at"))
+    within = F.row_number().over(Window.partitionBy("file").orderBy("at")) - 1
+    return lines.withColumn("n", within).join(F.broadcast(index), "file").select(  # one row a file
+        (F.col("lines_before") + F.col("n")).cast("bigint").alias("line"), "value")
 
 
 @register("inverted_index_lineitem", O.lineitem(O.DEEP) + """

@@ -7,7 +7,7 @@ coalesced to a single file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.columns import format_fixed
@@ -81,6 +81,28 @@ def write_cooccurrence(top_pairs: DataFrame, path: str) -> None:
                  order=(F.col("n_users").desc(), F.col("item_a"), F.col("item_b")))
 
 
+def write_cooccurrence_ordered(pairs: DataFrame, path: str) -> DataFrame:
+    """All pairs in several files, in one total order: most shared first, ties by ``item_a, item_b``.
+
+    A range shuffle on the whole key (so a mass of equal counts is cut as
+    well) gives each file one stretch of the order; files in name order, read
+    line by line, are the ordered list.  ``pairs`` should be a written table: the
+    range shuffle samples it first.  Returns the index of the files, one row each:
+    ``file, n_lines, first_n_users, first_item_a, first_item_b, lines_before``.
+    """
+    order = (F.col("n_users").desc(), F.col("item_a"), F.col("item_b"))
+    _write_lines(cooccurrence_lines(pairs.orderBy(*order)), path)
+    spark = pairs.sparkSession
+    part = F.split("value", "[,\t]")
+    key = F.struct((-part[2].cast("bigint")).alias("less"), part[0].cast("bigint").alias("a"), part[1].cast("bigint").alias("b"))
+    files = (spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), key.alias("k"))
+             .groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"), F.min("k").alias("k")))
+    # one row a file: few enough for one running sum
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("file", "n_lines", (-F.col("k.less")).alias("first_n_users"), F.col("k.a").alias("first_item_a"),
+                        F.col("k.b").alias("first_item_b"), F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("lines_before"))
+
+
 def write_centres(centres: DataFrame, path: str) -> None:
     _write_lines(centre_lines(centres), path, single_file=True, order=(F.col("cluster_id"),))
 

@@ -1,9 +1,12 @@
 import itertools
+import os
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cartograph import sinks as SK
 from cartograph.operators import cooccur as CO
 
 
@@ -90,3 +93,45 @@ def test_pruned_top_pairs_exact(spark):
         assert got == want, limit
     brute = sorted(_brute(pairs).items(), key=lambda kv: (-kv[1], kv[0]))[:2]
     assert [tuple(r) for r in CO.top_item_pairs_pruned(e, 2).collect()] == [(a, b, n) for (a, b), n in brute]
+
+
+@pytest.mark.parametrize("max_list", [1, 3, 64, 500])
+def test_split_lists_are_ordered_segments(spark, max_list):
+    """Segments of a heavy key, joined in order, are its sorted list; none is much above the bound."""
+    rng = random.Random(max_list)
+    users = {1: list(range(10_000, 13_000)), 2: [rng.randrange(1 << 60) - (1 << 59) for _ in range(2500)], 3: [5], 4: [7, 3, 9]}
+    e = spark.createDataFrame([(u, i) for i, us in users.items() for u in us], "user_id long, item_id long").distinct().repartition(5)
+    got = {}
+    for r in CO.inverted_index(e, max_list=max_list).collect():
+        got.setdefault(r.item_id, []).append((r.block, r.user_ids))
+    for i, us in users.items():
+        parts = [p for _, p in sorted(got[i])]
+        assert [u for p in parts for u in p] == sorted(set(us)) and all(parts)
+        if len(us) > 100:
+            assert 0.9 * len(us) / max_list <= len(parts) <= -(-len(us) // max_list)
+            assert max(map(len, parts)) <= max(2 * max_list, 2)
+        elif len(us) <= max_list:
+            assert [b for b, _ in got[i]] == [0]
+
+
+def test_all_pairs_in_one_order(spark, tmp_out):
+    """Files in name order hold the total order, cut inside the many equal counts; the index names their first keys."""
+    import glob
+    rng = random.Random(3)
+    rows = [(a, b, 1 if rng.random() < 0.9 else rng.randrange(2, 50)) for a in range(60) for b in range(a + 1, 200)]
+    rng.shuffle(rows)
+    pairs = spark.createDataFrame(rows, "item_a long, item_b long, n_users long").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = {r.file: r for r in SK.write_cooccurrence_ordered(pairs, f"{tmp_out}/pairs").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = [f"{a},{b}\t{n}" for a, b, n in sorted(rows, key=lambda r: (-r[2], r[0], r[1]))]
+    got = []
+    for path in sorted(glob.glob(f"{tmp_out}/pairs/part-*")):
+        lines = open(path).read().splitlines()
+        r = index[os.path.basename(path)]
+        assert (r.lines_before, r.n_lines) == (len(got), len(lines))
+        assert lines[0] == f"{r.first_item_a},{r.first_item_b}\t{r.first_n_users}"
+        got += lines
+    assert got == want and len(index) > 1
