@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.columns import euclidean_distance, exact_sum
 from cartograph.schema import FEATURE_COLUMNS, KMEANS_K, KMEANS_MAX_ITER, KMEANS_TOL
-from cartograph.session import loop_session, scratch_path
+from cartograph.session import loop_session, observed, scratch_path
 
 Centres = list[tuple[float, ...]]
 
@@ -118,6 +118,7 @@ class KMeansResult:
     iterations: int
     converged: bool
     shifts: list[float] = field(default_factory=list)
+    n_points: int = 0
 
     def centres_frame(self, spark: SparkSession, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
         return centres_frame(spark, self.centres, cols)
@@ -132,9 +133,9 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, max_iter: int = KMEANS_MAX_ITER
     """
     spark = points.sparkSession
     path = scratch_path(spark, "kmeans-points")
-    points.select("user_id", *cols).write.parquet(path)
+    _, seen = observed(points.select("user_id", *cols), lambda df: df.write.parquet(path), n=F.count(F.lit(1)))
     pts = spark.read.parquet(path)
-    n = pts.count()
+    n = seen["n"]
     if n < k:
         raise ValueError(f"{n} points is fewer than k={k} clusters")
     centres = init_centres(pts, k, init, seed, cols) if isinstance(init, str) else [tuple(c) for c in init]
@@ -154,7 +155,7 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, max_iter: int = KMEANS_MAX_ITER
             converged = True
             break
     labels = assign_nearest(pts, centres, cols).select("user_id", "cluster_id")
-    return KMeansResult(centres=centres, labels=labels, iterations=it, converged=converged, shifts=shifts)
+    return KMeansResult(centres=centres, labels=labels, iterations=it, converged=converged, shifts=shifts, n_points=n)
 
 
 def cluster_sizes(labels: DataFrame, k: int = KMEANS_K) -> DataFrame:

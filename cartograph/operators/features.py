@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartograph.functions.columns import behavior_weight, day_difference, min_max_scale
@@ -88,25 +88,26 @@ def user_features(log: DataFrame, weights: Mapping[str, float] | None = None) ->
 
 def feature_bounds(features: DataFrame, cols: Sequence[str] = ("recency_days", "activity_count", "value_score")) -> DataFrame:
     """One row with ``<col>_min`` / ``<col>_max`` for each column."""
-    aggs = []
-    for c in cols:
-        aggs += [F.min(F.col(c).cast("double")).alias(f"{c}_min"),
-                 F.max(F.col(c).cast("double")).alias(f"{c}_max")]
-    return features.agg(*aggs)
+    return features.agg(*[c.alias(k) for k, c in bound_columns(cols).items()])
+
+
+def bound_columns(cols: Sequence[str] = ("recency_days", "activity_count", "value_score")) -> dict[str, Column]:
+    """The aggregates of :func:`feature_bounds`."""
+    return {f"{c}_{k}": f(F.col(c).cast("double")) for c in cols for k, f in (("min", F.min), ("max", F.max))}
 
 
 def min_max_normalize(features: DataFrame,
                       cols: Sequence[str] = ("recency_days", "activity_count", "value_score"),
                       names: Sequence[str] = ("f1", "f2", "f3"),
                       keep: Sequence[str] = ("user_id",),
-                      decimals: int | None = FEATURE_DECIMALS) -> DataFrame:
+                      decimals: int | None = FEATURE_DECIMALS, bounds: Mapping[str, float] | None = None) -> DataFrame:
     """Scale each column to [0, 1]; a constant column becomes 0.5.
 
-    All bounds come from one aggregate returning a single row; pass a
-    materialised ``features`` frame, it is read twice.  ``decimals`` rounds HALF_UP like the fixed-point text output (``None``
+    All bounds come from one aggregate returning a single row (pass a
+    materialised ``features`` frame, it is read twice) unless ``bounds`` has them.  ``decimals`` rounds HALF_UP like the fixed-point text output (``None``
     keeps full precision).
     """
-    bounds = feature_bounds(features, cols).first().asDict()
+    bounds = bounds or feature_bounds(features, cols).first().asDict()
     out = [F.col(k) for k in keep]
     for c, n in zip(cols, names, strict=True):
         scaled = min_max_scale(c, F.lit(bounds[f"{c}_min"]), F.lit(bounds[f"{c}_max"]))

@@ -730,6 +730,26 @@ def q_line_stats(spark, sf_dir):
     return TX.line_stats(_lines(spark, sf_dir))
 
 
+@register("route_lines", O.parsed() + f""",
+routed AS (
+  SELECT 'log' AS route, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS value, user_id, item_id, category_id, behavior_type, ts FROM parsed
+  UNION ALL SELECT 'rejected', reason, value, NULL, NULL, NULL, NULL, NULL FROM rejected
+  UNION ALL SELECT CASE WHEN starts_with(value, 'user_id') THEN 'header' ELSE 'blank' END, NULL, value, NULL, NULL, NULL, NULL, NULL
+  FROM lines WHERE starts_with(value, 'user_id') OR {O._jtrim('value')} = '')
+SELECT route, reason, value, user_id, item_id, category_id, behavior_type, ts FROM routed""")
+def q_route_lines(spark, sf_dir):
+    # the folders of one parse, put together again
+    r = TX.write_routes(_lines(spark, sf_dir))
+    typed = ["user_id", "item_id", "category_id", "behavior_type", "ts"]
+    parts = [r.log.withColumns({"route": F.lit(TX.LOG), "reason": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})]
+    for route, df in ((TX.REJECTED, r.rejected), (TX.HEADER, r.header), (TX.BLANK, r.blank)):
+        parts.append(df.withColumn("route", F.lit(route)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select("route", "reason", "value", *typed)
+
+
 # ------------------------------------------ larger graph, large ids, hot keys
 
 _LARGE = """,
@@ -934,7 +954,7 @@ def _rounded(stats):
 
 
 @register("run_features_stats", _union_metrics(
-    O.NORM_TEXT, n_train_rows="count(*) FROM src WHERE split = 'train'", n_test_rows="count(*) FROM src WHERE split = 'test'",
+    O.NORM_TEXT, n_lines="count(*) FROM lines", n_rejected="count(*) FROM rejected", n_train_rows="count(*) FROM src WHERE split = 'train'", n_test_rows="count(*) FROM src WHERE split = 'test'",
     n_clean_rows="count(*) FROM clean", max_ts="max(ts) FROM clean", n_users="count(*) FROM agg",
     **{f"{c}_{f}": f"{f}({c}) FROM feat" for c in ("recency_days", "activity_count", "value_score") for f in ("min", "max")}))
 def q_run_features_stats(spark, sf_dir):

@@ -18,8 +18,8 @@ from cartograph.operators import cluster as KM
 from cartograph.operators import cooccur as CO
 from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
-from cartograph.schema import KMEANS_K, RANK_TOP_K, TOP_PAIRS, VALID_BEHAVIORS
-from cartograph.session import materialize
+from cartograph.schema import DEEP_BEHAVIORS, KMEANS_K, RANK_TOP_K, TOP_PAIRS, VALID_BEHAVIORS
+from cartograph.session import materialize, observed
 from cartograph.sources import text as TX
 
 
@@ -28,6 +28,7 @@ class JobOutput:
     result: DataFrame
     paths: dict
     stats: DataFrame           # (metric, value): the run's counts
+    rejected: DataFrame | None = None    # (value, reason): lines that the parse refused
 
 
 def _stats(spark: SparkSession, *parts, **scalars) -> DataFrame:
@@ -38,27 +39,33 @@ def _stats(spark: SparkSession, *parts, **scalars) -> DataFrame:
     return out
 
 
+def _parsed(spark: SparkSession, train: str, test: str | None, **metrics) -> TX.Routes:
+    """Both splits' lines, parsed in one scan each; a single path is read as both."""
+    lines = [TX.read_lines(spark, p).withColumn("split", F.lit(n)) for n, p in (("train", train), ("test", test if test is not None else train))]
+    return TX.write_routes(C.union_splits(*lines), keep=["split"], **metrics)
+
+
 def run_features(spark: SparkSession, train: str, test: str, out: str) -> JobOutput:
     """Clean both splits, write the clean log and the scaled features.
 
-    Statistics: records per split, clean records, users, latest time, bounds of the features.
+    Statistics, all taken while the job writes: lines, rejected lines, records per split, clean
+    records, latest time, users, bounds of the features.
     """
-    splits = [TX.read_behavior_log(spark, p).withColumn("split", F.lit(n)) for n, p in (("train", train), ("test", test))]
-    log = materialize(C.union_splits(*splits), "log")
+    in_log, valid = F.col("route") == TX.LOG, F.col("behavior_type").isin(*VALID_BEHAVIORS)
+    routes = _parsed(spark, train, test, n_train_rows=F.count_if(in_log & (F.col("split") == "train")),
+                     n_test_rows=F.count_if(in_log & (F.col("split") == "test")),
+                     n_clean_rows=F.count_if(valid), max_ts=F.max(F.when(valid, F.col("ts"))))
     log_path, feat_path = f"{out}/clean_behavior_log.csv", f"{out}/user_features.csv"
-    clean = C.clean_behavior_log(log)
+    clean = C.clean_behavior_log(routes.log)
     sinks.write_clean_log(clean, log_path)
-    raw = materialize(FT.user_features(clean), "user-features")
-    sinks.write_user_features(FT.min_max_normalize(raw), feat_path)
-    counts = CO.metric_rows(log.agg(
-        F.count_if(F.col("split") == "train").alias("n_train_rows"), F.count_if(F.col("split") == "test").alias("n_test_rows"),
-        F.count_if(F.col("behavior_type").isin(*VALID_BEHAVIORS)).alias("n_clean_rows"),
-        F.max(F.when(F.col("behavior_type").isin(*VALID_BEHAVIORS), F.col("ts"))).alias("max_ts")))
-    bounds = raw.agg(F.count(F.lit(1)).alias("n_users"), *[
-        f(c).cast("double").alias(f"{c}_{n}") for c in ("recency_days", "activity_count", "value_score")
-        for n, f in (("min", F.min), ("max", F.max))]).first().asDict()
+    raw, seen = observed(FT.user_features(clean), lambda df: materialize(df, "user-features"),
+                         n_users=F.count(F.lit(1)), **FT.bound_columns())
+    sinks.write_user_features(FT.min_max_normalize(raw, bounds=seen), feat_path)
+    kept = ("n_lines", "n_train_rows", "n_test_rows", "n_clean_rows", "max_ts")
+    notes = {k: routes.counts[k] for k in kept} | seen
+    notes["n_rejected"] = routes.counts["n_rejected_arity"] + routes.counts["n_rejected_number"]
     return JobOutput(TX.read_user_features(spark, feat_path), {"clean_log": log_path, "features": feat_path},
-                     _stats(spark, counts, **{k: v for k, v in bounds.items() if v is not None}))
+                     _stats(spark, **{k: v for k, v in notes.items() if v is not None}), routes.rejected)
 
 
 def run_cooccurrence(spark: SparkSession, train: str, test: str | None, out: str,
@@ -66,18 +73,20 @@ def run_cooccurrence(spark: SparkSession, train: str, test: str | None, out: str
     """Inverted index and the top item pairs of the deep interactions.
 
     ``limit`` bounds the report: its rows end in one file.  Statistics: text
-    lines, deep records, edges, indexed items, users, pairs.
+    lines, deep records, edges, indexed items, pairs (all taken while
+    the job writes) and users.
     """
-    paths = [train, test if test is not None else train]
-    lines = TX.read_lines(spark, paths)
-    log = TX.parse_behavior_lines(lines)
-    edges = materialize(CO.interaction_edges(log), "edges")
+    routes = _parsed(spark, train, test, n_deep_rows=F.count_if(F.col("behavior_type").isin(*DEEP_BEHAVIORS)))
+    one = F.count(F.lit(1))
+    edges, n_edges = observed(CO.interaction_edges(routes.log), lambda df: materialize(df, "edges"), n_edges=one)
     idx_path, pair_path = f"{out}/item_user_inverted_index.txt", f"{out}/item_co_occurrence.txt"
-    sinks.write_inverted_index(CO.inverted_index(edges), idx_path)
-    pairs = materialize(CO.item_cooccurrence(edges), "pairs")
+    _, n_items = observed(CO.inverted_index(edges), lambda df: sinks.write_inverted_index(df, idx_path),
+                          n_items=F.count_if(F.col("block") == 0))
+    pairs, n_pairs = observed(CO.item_cooccurrence(edges), lambda df: materialize(df, "pairs"), n_pairs=one)
     sinks.write_cooccurrence(CO.top_item_pairs(pairs, limit), pair_path)
-    stats = _stats(spark, CO.cooccurrence_stats(log, edges, pairs), n_lines=lines.count())
-    return JobOutput(spark.read.text(pair_path), {"index": idx_path, "pairs": pair_path}, stats)
+    notes = {k: routes.counts[k] for k in ("n_lines", "n_deep_rows")} | n_edges | n_items | n_pairs
+    notes["n_users"] = edges.agg(F.count_distinct("user_id")).first()[0]
+    return JobOutput(spark.read.text(pair_path), {"index": idx_path, "pairs": pair_path}, _stats(spark, **notes), routes.rejected)
 
 
 def run_clustering(spark: SparkSession, features: str, out: str, train: str,
@@ -87,15 +96,14 @@ def run_clustering(spark: SparkSession, features: str, out: str, train: str,
     Statistics: distinct training users, users that enter clustering, turns,
     users per cluster.
     """
-    users = materialize(TX.read_user_ids(spark, train, strict=True), "train-users")
-    pts = materialize(KM.restrict_to_users(TX.read_user_features(spark, features), users), "points")
-    res = KM.kmeans(pts, k=k, init=init)
+    users, n_users = observed(TX.read_user_ids(spark, train, strict=True), lambda df: materialize(df, "train-users"),
+                              n_train_users=F.count(F.lit(1)))
+    res = KM.kmeans(KM.restrict_to_users(TX.read_user_features(spark, features), users), k=k, init=init)
     c_path, l_path = f"{out}/cluster_centers.txt", f"{out}/user_cluster_labels.csv"
     sinks.write_centres(res.centres_frame(spark), c_path)
-    sinks.write_labels(res.labels, l_path)
-    sizes = KM.cluster_sizes(res.labels, k).select(
-        F.concat(F.lit("n_cluster_"), F.col("cluster_id").cast("string")).alias("metric"), F.col("n_users").alias("value"))
-    stats = _stats(spark, sizes, n_train_users=users.count(), n_clustered_users=pts.count(), iterations=res.iterations)
+    _, sizes = observed(res.labels, lambda df: sinks.write_labels(df, l_path),
+                        **{f"n_cluster_{i}": F.count_if(F.col("cluster_id") == i) for i in range(k)})
+    stats = _stats(spark, n_clustered_users=res.n_points, iterations=res.iterations, **n_users, **sizes)
     return JobOutput(spark.read.text(l_path), {"centres": c_path, "labels": l_path, "iterations": res.iterations}, stats)
 
 

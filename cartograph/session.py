@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 import warnings
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every cartograph job wants; callers on a cluster pass their own
 # master / memory through spark-submit and keep these.
@@ -75,6 +76,17 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def observed(df: DataFrame, write: Callable[[DataFrame], object], **metrics: Column) -> tuple[object, dict]:
+    """``write(df)`` and the aggregates ``metrics`` of the rows it writes, from the same job.
+
+    The rows are observed in the stage that writes them, whose tasks count
+    once each, also when executors are lost.
+    """
+    obs = Observation()
+    out = write(df.observe(obs, *[c.alias(k) for k, c in metrics.items()]))
+    return out, obs.get
+
+
 def loop_session(spark: SparkSession, shuffle_partitions: int) -> SparkSession:
     """A session of its own for a loop whose shuffles are sized by its data.
 

@@ -10,13 +10,15 @@ fields are ignored; there is no CSV quoting, so files are read with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.functions.columns import java_trim, parse_double, parse_int, parse_long, split_field
-from cartograph.schema import HEADER_PREFIX
+from cartograph.schema import BEHAVIOR_SCHEMA, HEADER_PREFIX
+from cartograph.session import observed, scratch_path
 
 _LOG_ARITY = 5
 _FEATURE_ARITY = 4
@@ -92,20 +94,64 @@ def line_stats(lines: DataFrame, require_category: bool = True) -> DataFrame:
 
     A single aggregation over the lines (the data-quality view of the parse).
     """
+    routed = route_lines(lines, require_category)
+    return routed.agg(*[c.alias(k) for k, c in route_counts().items()])
+
+
+# ---- one parse for all kinds of lines
+
+LOG, REJECTED, HEADER, BLANK = "log", "rejected", "header", "blank"
+
+
+def route_lines(lines: DataFrame, require_category: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Every line once, with where it belongs: ``route`` (log, rejected, header, blank), ``reason`` and ``value``
+    (of lines outside the log), the typed columns (of the log) and ``keep``."""
     v = F.col("value")
-    header = v.startswith(HEADER_PREFIX)
-    blank = ~header & (java_trim(v) == "")
-    data = ~header & ~blank
-    _, reason = _typed_fields(require_category)
-    return lines.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(header).alias("n_header"),
-        F.count_if(blank).alias("n_blank"),
-        F.count_if(data).alias("n_data"),
-        F.count_if(data & (reason == "arity")).alias("n_rejected_arity"),
-        F.count_if(data & (reason == "number")).alias("n_rejected_number"),
-        F.count_if(data & reason.isNull()).alias("n_parsed"),
-    )
+    cols, reason = _typed_fields(require_category)
+    route = (F.when(v.startswith(HEADER_PREFIX), HEADER).when(java_trim(v) == "", BLANK)
+             .when(reason.isNotNull(), REJECTED).otherwise(LOG))
+    names = [f.name for f in BEHAVIOR_SCHEMA]
+    routed = lines.select(v, route.alias("route"), reason.alias("reason"), *cols, *keep)
+    return routed.select(
+        "route", F.when(F.col("route") == REJECTED, F.col("reason")).alias("reason"),
+        F.when(F.col("route") != LOG, v).alias("value"), *[F.when(F.col("route") == LOG, F.col(c)).alias(c) for c in names], *keep)
+
+
+def route_counts() -> dict[str, Column]:
+    """Aggregates over :func:`route_lines`: lines by kind."""
+    route, reason = F.col("route"), F.col("reason")
+    return {"n_lines": F.count(F.lit(1)), "n_header": F.count_if(route == HEADER), "n_blank": F.count_if(route == BLANK),
+            "n_data": F.count_if(route.isin(LOG, REJECTED)), "n_rejected_arity": F.count_if(reason == "arity"),
+            "n_rejected_number": F.count_if(reason == "number"), "n_parsed": F.count_if(route == LOG)}
+
+
+@dataclass
+class Routes:
+    """Lines parsed in one scan and written by ``route``; each frame reads its own folder only."""
+
+    path: str
+    log: DataFrame             # typed columns and those kept
+    rejected: DataFrame        # (value, reason)
+    header: DataFrame          # (value)
+    blank: DataFrame           # (value)
+    counts: dict               # route_counts and the further metrics asked for
+
+
+def write_routes(lines: DataFrame, require_category: bool = True, keep: Sequence[str] = (), **metrics: Column) -> Routes:
+    """Parse ``lines`` once, write them to a folder a route, and count them on the way.
+
+    ``metrics`` are further aggregates over :func:`route_lines`.
+    """
+    spark, path = lines.sparkSession, scratch_path(lines.sparkSession, "routes")
+    routed = route_lines(lines, require_category, keep)
+    _, counts = observed(routed, lambda df: df.write.partitionBy("route").parquet(path), **route_counts(), **metrics)
+    back = spark.read.schema(routed.schema).parquet(path)
+    names = [f.name for f in BEHAVIOR_SCHEMA]
+
+    def of(route: str, *columns: str) -> DataFrame:
+        return back.where(F.col("route") == route).select(*columns)
+
+    return Routes(path, of(LOG, *names, *keep), of(REJECTED, "value", "reason"), of(HEADER, "value"), of(BLANK, "value"), counts)
 
 
 def read_behavior_log(spark: SparkSession, paths: str | Sequence[str],

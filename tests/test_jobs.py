@@ -1,6 +1,7 @@
 from conftest import lines_df
 
 from cartograph.plans import jobs as J
+from cartograph.sources import text as TX
 
 TRAIN = ["user_id,item_id,category_id,behavior_type,timestamp",
          "1,10,100,buy,1000", "1,20,100,cart,1100", "2,10,100,fav,1200", "2,30,100,pv,1300",
@@ -85,3 +86,50 @@ def test_command_line(spark, tmp_out):
     assert main(["cooccurrence", train, f"{tmp_out}/cli-co"]) == 0
     # train only: user 1 holds {10, 20} (its fav of 30 is in the test split)
     assert [r.value for r in spark.read.text(f"{tmp_out}/cli-co/item_co_occurrence.txt").collect()] == ["10,20\t1"]
+
+
+def test_one_scan_for_log_and_rejects(spark, tmp_out):
+    """The log, the rejected lines and the counts of a job come from one read of the text."""
+    train, test = _write(spark, tmp_out, "train", TRAIN), _write(spark, tmp_out, "test", TEST)
+    job = J.run_features(spark, train, test, f"{tmp_out}/t1")
+    assert sorted(tuple(r) for r in job.rejected.collect()) == [("2,20,x,cart,2200", "number"), ("bad,line", "arity")]
+    stats = {r.metric: r.value for r in job.stats.collect()}
+    assert stats["n_lines"] == len(TRAIN) + len(TEST) and stats["n_rejected"] == 2
+    routes = TX.write_routes(TX.read_lines(spark, train))
+    for df in (routes.log, routes.rejected, routes.header, routes.blank):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "PartitionFilters: [isnotnull(route" in plan and "FileScan text" not in plan
+    assert routes.counts == {"n_lines": 10, "n_header": 1, "n_blank": 1, "n_data": 8, "n_rejected_arity": 1, "n_rejected_number": 0, "n_parsed": 7}
+    assert [df.count() for df in (routes.log, routes.rejected, routes.header, routes.blank)] == [7, 1, 1, 1]
+    # before it is written, the whole of it is one scan of the text
+    plan = TX.route_lines(TX.read_lines(spark, train))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+
+
+def test_stats_need_no_scan_of_the_text(spark, tmp_out):
+    """Jobs read each text file once: all counts are taken while they write."""
+    train, test = _write(spark, tmp_out, "train", TRAIN), _write(spark, tmp_out, "test", TEST)
+    reads = []
+    plain = TX.read_lines
+
+    def counted(s, paths):
+        reads.extend([paths] if isinstance(paths, str) else paths)
+        return plain(s, paths)
+
+    TX.read_lines = counted
+    try:
+        J.run_features(spark, train, test, f"{tmp_out}/t1").stats.collect()
+        assert sorted(p for p in reads if p in (train, test)) == sorted([train, test])
+        reads.clear()
+        J.run_cooccurrence(spark, train, test, f"{tmp_out}/t2").stats.collect()
+        assert sorted(reads) == sorted([train, test])
+    finally:
+        TX.read_lines = plain
+
+
+def test_jobs_on_empty_files(spark, tmp_out):
+    empty = _write(spark, tmp_out, "empty", [""])
+    stats = {r.metric: r.value for r in J.run_features(spark, empty, empty, f"{tmp_out}/t1").stats.collect()}
+    assert stats["n_lines"] == 2 and stats["n_users"] == 0 and "max_ts" not in stats
+    stats = {r.metric: r.value for r in J.run_cooccurrence(spark, empty, None, f"{tmp_out}/t2").stats.collect()}
+    assert stats["n_lines"] == 2 and {stats[k] for k in ("n_deep_rows", "n_edges", "n_items", "n_users", "n_pairs")} == {0}
