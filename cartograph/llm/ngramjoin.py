@@ -4,7 +4,8 @@ Texts are sets of hashed 5-word shingles.  In every run each set picks, by a has
 share, about BETA / (threshold * size) of its shingles and joins the bucket of each pick; a pair at
 the threshold shares BETA picks on average (DEEPER below the first level, so that sets which only
 share a passage thin out).  A bucket of at most LEAF sets, or one whose sets are
-alike by their min-hash signatures, is a leaf; other buckets are split again by picks with the
+alike, is a leaf (every set has SIGNATURE one-bit min-hashes; how often two sets agree follows from
+the number of ones a bit); other buckets are split again by picks with the
 bucket's own hash, to DEPTH at most, where what is left is a leaf of any size.  Runs repeat until
 the chance that a pair at the threshold misses every leaf is below 1 - RECALL (``n_runs``).
 
@@ -38,10 +39,10 @@ from cartograph.llm.common import connected_components
 from cartograph.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
-BETA, DEEPER, LEAF, CHUNK, OWN_CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 1.5, 200, 1024, 256, 4, 16, 0.5
+BETA, DEEPER, LEAF, CHUNK, OWN_CHUNK, DEPTH, SIGNATURE, ALIKE = 3.0, 1.5, 200, 1024, 256, 4, 64, 0.5
 CHUNK_SHINGLES = 400_000
 KNOWN_WORDS = 300_000
-MAX_BROADCAST_CLASSES = 200_000
+MAX_BROADCAST_CLASSES, MAX_BROADCAST_ENTRIES = 200_000, 2_000_000
 
 WORD = re.compile(r"[^\W_]+")
 U = np.uint64
@@ -55,44 +56,68 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+PICK_CELLS = 1 << 20
+SIGNATURE_SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=U) * U(0x632BE59BD9B4E019))
+
+
+class WordHashes(dict):
+    """64-bit hash of a word, remembered for the last words met."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        self[word] = h
+        return h
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word n-grams."""
 
     def __init__(self, n_words: int = WORDS):
-        self.n, self.known = n_words, {}
+        self.n, self.hash_of = n_words, WordHashes().__getitem__
         self.powers = [U(pow(0x9E3779B97F4A7C15, k + 1, 2 ** 64)) for k in range(n_words)]
 
-    def hash_of(self, word: str) -> int:
-        return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
     def __call__(self, text: str | None) -> np.ndarray:
         words = WORD.findall((text or "").lower())
         if not words:
             return np.zeros(0, U)
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = self.hash_of(w)
-        h = np.fromiter(map(known.__getitem__, words), U, len(words))
+        h = np.fromiter(map(self.hash_of, words), U, len(words))
         n = min(self.n, len(h))
         with np.errstate(over="ignore"):
             out = np.full(len(h) - n + 1, n, U)
             for k in range(n):
                 out += h[k:len(h) - n + 1 + k] * self.powers[k]
-            return np.unique(mix(out))
+            return distinct(mix(out))
 
 
-def picks(shingles: np.ndarray, seed: int, threshold: float, beta: float = BETA) -> np.ndarray:
-    """Buckets (signed 64-bit) that a set joins under ``seed``."""
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    share = beta / (threshold * len(shingles))
-    with np.errstate(over="ignore"):
-        h = mix(shingles ^ U(seed & MASK))
-        chosen = h if share >= 1 else h[h < U(int(share * 2 ** 64))]
-        return mix(chosen * U(3) + U(seed & MASK)).view(np.int64)
+def picks(shingles: np.ndarray, seeds: np.ndarray, threshold: float, beta: float = BETA) -> np.ndarray:
+    """Distinct buckets (signed 64-bit) that a set joins under any of ``seeds``."""
+    out = [np.zeros(0, U)]
+    if len(shingles):
+        share = beta / (threshold * len(shingles))
+        step = max(1, PICK_CELLS // len(shingles))
+        with np.errstate(over="ignore"):
+            for a in range(0, len(seeds), step):
+                some = seeds[a:a + step]
+                h = mix(shingles[None, :] ^ some[:, None])
+                row, at = np.nonzero(h < U(int(share * 2 ** 64))) if share < 1 else np.nonzero(np.ones(h.shape, bool))
+                out.append(mix(h[row, at] * U(3) + some[row]))
+    return distinct(np.concatenate(out).view(np.int64))
+
+
+def signature(shingles: np.ndarray) -> int:
+    """SIGNATURE one-bit min-hashes of a set in one signed 64-bit number."""
+    least = np.full(SIGNATURE, MASK, U)
+    for a in range(0, len(shingles), 4096):
+        np.minimum(least, (SIGNATURE_SEEDS[:, None] ^ shingles[None, a:a + 4096]).min(axis=1), out=least)
+    return int(np.bitwise_or.reduce(((least >> U(1)) & U(1)) << np.arange(SIGNATURE, dtype=U)).view(np.int64))
 
 
 def n_runs(recall: float = RECALL, beta: float = BETA, deeper: float = DEEPER, depth: int = DEPTH) -> int:
@@ -104,25 +129,20 @@ def n_runs(recall: float = RECALL, beta: float = BETA, deeper: float = DEEPER, d
     return math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
-def run_seed(run: int) -> int:
-    return (run + 1) * 0xD1B54A32D192ED03 & MASK
+def run_seeds(runs: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.arange(1, runs + 1, dtype=U) * U(0xD1B54A32D192ED03)
 
 
 def class_keys(docs: DataFrame, threshold: float, n_words: int, runs: int) -> DataFrame:
     """One row per distinct text: cls, h, first_doc, copies, n (shingles), sig, buckets."""
 
-    @F.pandas_udf("struct<n:int,sig:array<long>,buckets:array<long>>")
+    @F.pandas_udf("struct<n:int,sig:long,buckets:array<long>>")
     def keys(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(n_words)
-        seeds = mix(np.arange(1, SIGNATURE + 1, dtype=U) * U(0x632BE59BD9B4E019))
+        shingle, seeds = Shingler(n_words), run_seeds(runs)
         for texts in parts:
-            rows = []
-            for t in texts:
-                s = shingle(t)
-                got = np.unique(np.concatenate([picks(s, run_seed(r), threshold) for r in range(runs)])) if len(s) else np.zeros(0, np.int64)
-                sig = [int((s ^ x).min() >> U(1)) for x in seeds] if len(s) else []
-                rows.append((len(s), sig, got.tolist()))
-            yield pd.DataFrame(rows, columns=["n", "sig", "buckets"])
+            sets = map(shingle, texts)
+            yield pd.DataFrame([(len(s), signature(s), picks(s, seeds, threshold)) for s in sets], columns=["n", "sig", "buckets"])
 
     body = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", F.md5(body).alias("h"), keys(body).alias("k"))
@@ -131,18 +151,21 @@ def class_keys(docs: DataFrame, threshold: float, n_words: int, runs: int) -> Da
         .select(F.monotonically_increasing_id().alias("cls"), "h", "first_doc", "copies", "k.*"), "ngram-classes")
 
 
-def with_text(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``classes`` (h, first_doc, ...) with their text: broadcast while few (counted), a shuffle join beyond."""
+def with_text(docs: DataFrame, classes: DataFrame, entries: Column) -> DataFrame:
+    """``classes`` (h, first_doc, ...) with their text: broadcast while their rows and the ``entries`` of their arrays
+    are few (counted), a shuffle join beyond."""
     body = F.coalesce("text", F.lit(""))
     texts = docs.select(F.col("doc_id").alias("__doc"), F.md5(body).alias("__h"), body.alias("text"))
-    side = F.broadcast(classes) if classes.count() <= MAX_BROADCAST_CLASSES else classes
+    size = classes.agg(F.count("*").alias("rows"), F.coalesce(F.sum(entries), F.lit(0)).alias("entries")).first()
+    few = size["rows"] <= MAX_BROADCAST_CLASSES and size["entries"] <= MAX_BROADCAST_ENTRIES
+    side = F.broadcast(classes) if few else classes
     return texts.join(side, (F.col("__h") == F.col("h")) & F.col("__doc").eqNullSafe(F.col("first_doc"))) \
         .drop("__doc", "__h")
 
 
 def leaves(docs: DataFrame, classes: DataFrame, threshold: float, n_words: int) -> DataFrame:
     """(leaf, cls): members of all leaves of all runs, redundant leaves left out."""
-    nodes = classes.select(F.explode("buckets").alias("path"), "cls", "n")
+    nodes = classes.select(F.explode("buckets").alias("path"), "cls")
     done = None
     for depth in range(1, DEPTH + 1):
         nodes = materialize(nodes, "ngram-nodes")
@@ -153,12 +176,13 @@ def leaves(docs: DataFrame, classes: DataFrame, threshold: float, n_words: int)
         leaf, split = buckets, None
         if depth < DEPTH and not big.isEmpty():
             inside = materialize(nodes.join(big, "path"), "ngram-big")
-            alike = (inside.join(classes.select("cls", "sig"), "cls")
-                     .select("path", "m", F.posexplode("sig").alias("pos", "v"))
-                     .groupBy("path", "m", "pos", "v").agg(F.count("*").alias("c"))
-                     .groupBy("path", "m").agg((F.sum(F.col("c") * F.col("c")) / F.lit(SIGNATURE)).alias("same"))
-                     .where(F.col("same") < ALIKE * F.col("m") * F.col("m")).select("path"))
-            split = materialize(alike, "ngram-split")
+            # two sets agree in a bit with chance (1 + resemblance) / 2; k ones among m sets are k^2 + (m - k)^2 agreeing pairs
+            bits = [F.sum(F.shiftrightunsigned("sig", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(SIGNATURE)]
+            ones = [F.col(f"b{i}").cast("double") for i in range(SIGNATURE)]
+            agree = sum((k * k + (F.col("m") - k) * (F.col("m") - k) for k in ones), F.lit(0.0)) / F.lit(SIGNATURE)
+            split = materialize(
+                inside.join(classes.select("cls", "sig"), "cls").groupBy("path", "m").agg(*bits)
+                .where(agree < (1 + ALIKE) / 2 * F.col("m") * F.col("m")).select("path"), "ngram-split")
             leaf = buckets.join(split, "path", "left_anti")
         # buckets with the same members are one leaf; a leaf's id puts larger ones first
         leaf = leaf.groupBy("m", "x", "s").agg(F.min("path").alias("path")).select(
@@ -184,17 +208,14 @@ def split_nodes(docs: DataFrame, classes: DataFrame, inside: DataFrame, threshol
     def deeper(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         shingle = Shingler(n_words)
         for texts, paths in parts:
-            out = []
-            for t, ps in zip(texts, paths):
-                s = shingle(t)
-                got = [picks(s, int(p) * 0x9FB21C651E98DF25 + 1, threshold, DEEPER) for p in ps]
-                out.append(np.unique(np.concatenate(got)).tolist() if got else [])
-            yield pd.Series(out)
+            with np.errstate(over="ignore"):
+                yield pd.Series([picks(shingle(t), np.asarray(p, np.int64).view(U) * U(0x9FB21C651E98DF25) + U(1), threshold, DEEPER)
+                                 for t, p in zip(texts, paths)])
 
     todo = materialize(inside.groupBy("cls").agg(F.collect_list("path").alias("paths"))
-                       .join(classes.select("cls", "h", "first_doc", "n"), "cls"), "ngram-todo")
-    return (with_text(docs, todo).select("cls", "n", F.explode(deeper("text", "paths")).alias("path"))
-            .select("path", "cls", "n").distinct())
+                       .join(classes.select("cls", "h", "first_doc"), "cls"), "ngram-todo")
+    return (with_text(docs, todo, F.size("paths")).select("cls", F.explode(deeper("text", "paths")).alias("path"))
+            .select("path", "cls").distinct())
 
 
 RESULT = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
@@ -279,8 +300,6 @@ def compare(docs: DataFrame, classes: DataFrame, members: DataFrame, threshold:
 
     of = members.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
     todo = materialize(of.join(classes.select("cls", "h", "first_doc", "copies", "n"), "cls"), "ngram-todo")
-    sets = materialize(with_text(docs, todo).dropDuplicates(["cls"])
-                       .select("cls", "copies", "leaves", packed("text").alias("shingles")), "ngram-sets")
     # chunks: within a large leaf, sets are dealt by their first leaf and a hash, so that two chunks
     # of one earlier leaf (all their pairs are settled there) need not meet; sets of first leaves
     # with few members here share their chunks (-2), a small leaf is one chunk (-1)
@@ -304,10 +323,16 @@ def compare(docs: DataFrame, classes: DataFrame, members: DataFrame, threshold:
     sides = (pairs.where("p = q").select("leaf", F.col("p").alias("chunk"), "block", F.lit(0).alias("side"))
              .unionByName(pairs.where("p <> q").select("leaf", F.col("p").alias("chunk"), "block", F.lit(1).alias("side")))
              .unionByName(pairs.where("p <> q").select("leaf", F.col("q").alias("chunk"), "block", F.lit(2).alias("side"))))
-    rows = (plan.select("leaf", "cls", chunk.alias("chunk")).join(sides, ["leaf", "chunk"])
-            .join(sets, "cls")
-            .select("leaf", "block", "side", "cls", "copies", "shingles",
-                    F.filter("leaves", lambda x: x < F.col("leaf")).alias("earlier")))
+    # a set goes from its text straight to its blocks: sets are neither written nor joined
+    block = F.struct("leaf", "block", "side")
+    at = (plan.select("leaf", "cls", chunk.alias("chunk")).join(sides, ["leaf", "chunk"])
+          .groupBy("cls").agg(F.collect_list(block).alias("blocks")))
+    todo = materialize(todo.drop("n").join(at, "cls"), "ngram-blocks")
+    rows = (with_text(docs, todo, F.size("leaves") + F.size("blocks")).dropDuplicates(["cls"])
+            .select("cls", "copies", "leaves", "blocks", packed("text").alias("shingles"))
+            .select("cls", "copies", "leaves", "shingles", F.explode("blocks").alias("b"))
+            .select("b.leaf", "b.block", "b.side", "cls", "copies", "shingles",
+                    F.filter("leaves", lambda x: x < F.col("b.leaf")).alias("earlier")))
 
     def brute(table: pa.Table) -> pa.Table:
         cls = table.column("cls").to_numpy()
