@@ -19,6 +19,7 @@ from cartograph.operators import features as FT
 from cartograph.operators import rank as RK
 from cartograph.plans import jobs as J
 from cartograph.plans import oracle as O
+from cartograph.plans import state as ST
 from cartograph.session import materialize, scratch_path
 from cartograph.sources import adapters as A
 from cartograph.sources import text as TX
@@ -750,6 +751,29 @@ def q_route_lines(spark, sf_dir):
     return out.select("route", "reason", "value", *typed)
 
 
+def _state(spark, sf_dir) -> str:
+    # the train split first; the second refresh reads the test split only
+    train, test = _text_files(spark, sf_dir)
+    state = scratch_path(spark, "user-state")
+    ST.refresh(spark, state, {"train": train})
+    ST.refresh(spark, state, {"train": train, "test": test})
+    return state
+
+
+@register("incremental_features", O.NORM_TEXT + """
+SELECT user_id, f1, f2, f3 FROM norm""")
+def q_incremental_features(spark, sf_dir):
+    return ST.features(spark, _state(spark, sf_dir))
+
+
+@register("state_lineage", O.parsed() + """,
+per AS (SELECT split, count(*) AS n_lines FROM lines GROUP BY split)
+SELECT CASE split WHEN 'train' THEN 1 ELSE 2 END::BIGINT AS run, split, 1 AS version, n_lines,
+       (SELECT count(*) FROM parsed p WHERE p.split = per.split) AS n_records FROM per""")
+def q_state_lineage(spark, sf_dir):
+    return ST.lineage(spark, _state(spark, sf_dir)).select("run", "split", "version", "n_lines", "n_records")
+
+
 # ------------------------------------------ larger graph, large ids, hot keys
 
 _LARGE = """,
