@@ -36,6 +36,7 @@ from cartograph.session import materialize
 
 MAGIC, BLOCK, PERCENTILE, END_ID = b"PFR1", 128, 0.9, 1
 SEGMENT_TOKENS = 1 << 19
+TEXTS = 256  # texts that a task turns to strings at once
 SEGMENTS = "pid int, seq int, n_tokens long, payload binary, doc_ids array<long>, lengths array<int>"
 
 
@@ -50,42 +51,48 @@ def write_segment(ids: np.ndarray, n_docs: int = 0) -> bytes:
     full = full.reshape(blocks, BLOCK)
     low = full.min(axis=1)
     res = full - low[:, None]
-    at = np.sort(res, axis=1)[:, int(PERCENTILE * (BLOCK - 1))]
+    nth = int(PERCENTILE * (BLOCK - 1))
+    at = np.partition(res, nth, axis=1)[:, nth]
     widths = np.zeros(blocks, np.uint8)
     for b in range(32):
         widths[at >= np.uint32(1 << b)] = b + 1
-    out: list = [b""] * blocks
-    for w in np.unique(widths):
+    limits = np.array([(1 << w) - 1 for w in range(33)], np.uint32)[widths]
+    odd = res > limits[:, None]
+    n_odd = odd.sum(axis=1)
+    sizes = 6 + widths.astype(np.int64) * (BLOCK // 8) + 5 * n_odd
+    starts = np.cumsum(sizes) - sizes
+    body = np.zeros(int(sizes.sum()), np.uint8)
+    heads = np.zeros(blocks, np.dtype([("low", "<u4"), ("w", "u1"), ("n", "u1")]))
+    heads["low"], heads["w"], heads["n"] = low, widths, n_odd
+    body[starts[:, None] + np.arange(6)] = heads.view(np.uint8).reshape(blocks, 6)
+    row, col = np.nonzero(odd)
+    patch = np.zeros(len(row), np.dtype([("at", "u1"), ("v", "<u4")]))
+    patch["at"], patch["v"] = col, res[row, col]
+    spot = np.repeat(starts + sizes - 5 * n_odd, n_odd) + 5 * (np.arange(len(row)) - np.repeat(np.cumsum(n_odd) - n_odd, n_odd))
+    body[spot[:, None] + np.arange(5)] = patch.view(np.uint8).reshape(-1, 5)
+    res[odd] = 0
+    for w in np.unique(widths[widths > 0]):
         rows = np.flatnonzero(widths == w)
-        part = res[rows]
-        fits = part <= np.uint32((1 << int(w)) - 1)
-        packed = pack_bits(np.where(fits, part, 0), int(w))
-        heads = np.zeros(len(rows), np.dtype([("low", "<u4"), ("w", "u1"), ("n", "u1")]))
-        heads["low"], heads["w"], heads["n"] = low[rows], w, (~fits).sum(axis=1)
-        for i, r in enumerate(rows):
-            odd = np.flatnonzero(~fits[i])
-            patch = np.zeros(len(odd), np.dtype([("at", "u1"), ("v", "<u4")]))
-            patch["at"], patch["v"] = odd, part[i, odd]
-            out[r] = heads[i].tobytes() + packed[i].tobytes() + patch.tobytes()
-    sizes = np.fromiter(map(len, out), np.uint32, blocks)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype("<u4")
-    return MAGIC + struct.pack("<III", n, blocks, n_docs) + starts.tobytes() + b"".join(out)
+        body[starts[rows][:, None] + 6 + np.arange(int(w) * BLOCK // 8)] = pack_bits(res[rows], int(w))
+    return MAGIC + struct.pack("<III", n, blocks, n_docs) + starts.astype("<u4").tobytes() + body.tobytes()
 
 
 def pack_bits(values: np.ndarray, w: int) -> np.ndarray:
     """Rows of BLOCK values as rows of w * BLOCK / 8 bytes."""
     if not w:
         return np.zeros((len(values), 0), np.uint8)
-    wide = values.astype(">u4").view(np.uint8).reshape(len(values), BLOCK, 4)
-    return np.packbits(np.unpackbits(wide, axis=2)[:, :, 32 - w:].reshape(len(values), BLOCK * w), axis=1)
+    size = 2 if w <= 16 else 4
+    bits = np.unpackbits(values.astype(f">u{size}").view(np.uint8), axis=1).reshape(len(values), BLOCK, 8 * size)
+    return np.packbits(bits[:, :, 8 * size - w:].reshape(len(values), BLOCK * w), axis=1)
 
 
 def unpack_bits(packed: np.ndarray, w: int) -> np.ndarray:
     if not w:
         return np.zeros((len(packed), BLOCK), np.uint32)
-    bits = np.zeros((len(packed), BLOCK, 32), np.uint8)
-    bits[:, :, 32 - w:] = np.unpackbits(packed, axis=1).reshape(len(packed), BLOCK, w)
-    return np.packbits(bits, axis=2).reshape(len(packed), BLOCK * 4).view(">u4").astype(np.uint32)
+    size = 2 if w <= 16 else 4
+    bits = np.zeros((len(packed), BLOCK, 8 * size), np.uint8)
+    bits[:, :, 8 * size - w:] = np.unpackbits(packed, axis=1).reshape(len(packed), BLOCK, w)
+    return np.packbits(bits.reshape(len(packed), -1), axis=1).view(f">u{size}").astype(np.uint32)
 
 
 def read_range(payload: bytes, first_block: int = 0, last_block: int | None = None) -> np.ndarray:
@@ -137,16 +144,16 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                 {"pid": [pid], "seq": [seq], "n_tokens": [size], "payload": [payload], "doc_ids": [doc_ids],
                  "lengths": [ids]}, schema=SEGMENT_SCHEMA)
 
-        for batch in batches:
-            for pid, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("pid", "doc_id", "text"))):
-                part = bpe.encode(text) + end
-                parts.append(part)
-                ids.append(len(part) // 4)
-                doc_ids.append(doc_id)
-                size += len(part) // 4
-                if size >= SEGMENT_TOKENS:
-                    yield segment()
-                    ids, doc_ids, parts, size, seq = [], [], [], 0, seq + 1
+        for pid, doc_id, text in (row for batch in batches for a in range(0, batch.num_rows, TEXTS)
+                                  for row in zip(*(batch.slice(a, TEXTS).column(c).to_pylist() for c in ("pid", "doc_id", "text")))):
+            part = bpe.encode(text) + end
+            parts.append(part)
+            ids.append(len(part) // 4)
+            doc_ids.append(doc_id)
+            size += len(part) // 4
+            if size >= SEGMENT_TOKENS:
+                yield segment()
+                ids, doc_ids, parts, size, seq = [], [], [], 0, seq + 1
         if ids:
             yield segment()
 
