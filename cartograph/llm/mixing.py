@@ -7,15 +7,16 @@ that keeps ``SHARE`` of all tokens in expectation: a rare cell that is wanted mo
 occurs is kept whole and does not thin out the others.  A hash of id and text decides whether a
 document is in the sample.  Every document is counted; no cell or row is dropped from the counts.
 
-The registered query follows its SQL instead (``share=None``): factor over the largest factor.
-
 Defined results: null source, language and text are values of their own (text: no tokens); a cell
-without tokens keeps weight 1; marginals without a target keep their share; equal rows get equal
+without tokens is kept whole; targets that the sweeps do not reach are met as well as they can be, with a
+warning that names the largest gap; marginals without a target keep their share; equal rows get equal
 draws; an empty table gives no rows; extra columns pass through untouched.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def tokens(text: Column) -> Column:
 
 
 def topic(text: Column) -> Column:
-    """Form of the text as its topic: table, list, note, article or book."""
+    """Form of the text as its topic: empty, table, note, block, article or book."""
     n = F.length(text)
     return (F.when(text.isNull() | (n == 0), "empty").when(F.instr(text, " | ") > 0, "table")
             .when(F.instr(text, "\n") == 0, F.when(n < 600, "note").otherwise("block"))
@@ -88,6 +89,9 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         off = max(x or 0.0 for x in marg.agg(*gaps).first())
         if off <= tolerance * total:
             break
+    else:
+        # targets that no weights on these cells can meet, or not in so many sweeps
+        warnings.warn(f"a marginal is off its target by {off / total:.3g} of all tokens after {done} sweeps", stacklevel=2)
     return work.drop(*[f"target_{d}" for d in targets])
 
 
@@ -111,16 +115,10 @@ def scale_of(raked: DataFrame, share: float) -> float | None:
         scale, whole = max(scale, (wanted - (r[0] or 0.0)) / r[1]), r[2]
 
 
-def probabilities(raked: DataFrame, share: float | None = None) -> DataFrame:
-    """Cells with ``prob``; 1 for cells without tokens.
-
-    With a ``share``: min(1, scale * factor) such that this share of the tokens is expected to stay.
-    Without: factor (weight / tokens) over the largest factor, so the rarest cell sets the size.
-    """
+def probabilities(raked: DataFrame, share: float = SHARE) -> DataFrame:
+    """Cells with ``prob``: min(1, scale * weight / tokens) such that ``share`` of the tokens is expected to
+    stay; 1 for cells without tokens."""
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    if share is None:
-        top = raked.agg(F.max(factor)).first()[0] or 1.0
-        return raked.withColumn("prob", F.coalesce(F.round(factor / F.lit(top), 9), F.lit(1.0)))
     scale = scale_of(raked, share)
     prob = F.when(factor > 0, F.lit(1.0)).otherwise(factor) if scale is None else F.least(F.lit(1.0), factor * F.lit(scale))
     return raked.withColumn("prob", F.when(F.col("tokens") > 0, prob).otherwise(1.0))
@@ -133,7 +131,7 @@ def draw(doc_id: Column, text: Column, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str = "mix", topic_of=topic,
-        share: float | None = SHARE) -> DataFrame:
+        share: float = SHARE) -> DataFrame:
     """``docs`` plus ``__topic``, ``__tokens``, ``__prob`` and ``__sampled``; ``share`` as in ``probabilities``.
 
     The cell table has one row per (source, lang, topic) and is joined on those keys: broadcast

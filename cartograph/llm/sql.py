@@ -99,8 +99,14 @@ rake AS (SELECT 0 AS it, *, tokens AS w FROM start
          SELECT it + 1, source, lang, topic, tokens, t_source, t_lang, t_topic, total, {_rake_step('topic')} AS w FROM (
            SELECT * EXCLUDE (w), {_rake_step('lang')} AS w FROM (
              SELECT * EXCLUDE (w), {_rake_step('source')} AS w FROM rake WHERE it < 60))),
-fac AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN w / tokens END AS f FROM rake WHERE it = 60),
-prob AS (SELECT source, lang, topic, coalesce(round(f / max(f) OVER (), 9), 1.0) AS prob FROM fac)
+fac AS (SELECT source, lang, topic, tokens, w, total, CASE WHEN tokens > 0 THEN w / tokens END AS f FROM rake WHERE it = 60),
+-- cells by falling factor: the first that is not whole at the scale that fills the share with those before it whole
+fill AS (SELECT f, ({mixing.SHARE} * total - (sum(tokens) OVER (ORDER BY f DESC, source, lang, topic) - tokens))
+                     / sum(w) OVER (ORDER BY f DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c
+         FROM fac WHERE tokens > 0 AND w > 0),
+scale AS (SELECT max(c) FILTER (WHERE c * f < 1 AND f = top) AS c FROM fill, (SELECT max(f) FILTER (WHERE c * f < 1) AS top FROM fill)),
+prob AS (SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 WHEN c IS NULL THEN CASE WHEN f > 0 THEN 1.0 ELSE f END
+                                          ELSE least(1.0, f * c) END AS prob FROM fac, scale)
 SELECT doc_id, d.topic, d.tokens, round(prob, 6) AS prob,
        ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT
          / {float(16 ** 12)!r} < prob AS sampled

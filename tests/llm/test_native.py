@@ -164,3 +164,13 @@ def test_scale_saturates_cells_one_after_the_other(spark):
     probs = {r["tokens"]: r["prob"] for r in mixing.probabilities(table, 0.5).collect()}
     assert probs[1] == probs[10] == probs[0] == 1 and probs[5] == 0 and abs(probs[100] - 0.47) < 1e-12
     assert {r["prob"] for r in mixing.probabilities(table.where("weight > 0"), 1.0).collect()} == {1.0}
+
+
+def test_raking_that_cannot_settle_says_so(spark):
+    """A marginal of a value whose only cell is also bound by another target: the gap is named, not hidden."""
+    table = spark.createDataFrame([("a", "en", "t", 50, 1), ("b", "de", "t", 50, 1)], "source string, lang string, topic string, tokens long, n_docs long")
+    goal = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, target double"),
+            "lang": spark.createDataFrame([("en", 0.2), ("de", 0.8)], "lang string, target double")}
+    with pytest.warns(UserWarning, match="off its target"):
+        got = mixing.rake(table, goal, sweeps=10).collect()
+    assert len(got) == 2
