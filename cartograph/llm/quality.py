@@ -1,18 +1,27 @@
 """Quality rules with risk-controlled thresholds.
 
 Every text gets counts (words, symbols, repeated lines and 5-word windows) and badness ratios.
-A hard base rule fails very short or very repetitive texts.  Beyond it each ratio has one cutoff
-per stratum (language), chosen from labels: one half of the labelled rows proposes a ladder of
-cutoffs (quantiles of good texts), the other half tests them from the loosest to the strictest.
-A step is accepted while the exact binomial tail P(X <= false rejections | n, limit) stays below
-``DELTA`` divided by the number of (stratum, ratio) families; the first failing step ends its
-ladder (fixed sequence, so steps need no further correction).  The limits of the ratios add up to
-``RISK``: with confidence 1 - DELTA, in every stratum at once, at most that share of good texts is
-rejected by the cutoffs.  Strata with too few labels get no cutoff and reject nothing.
+A hard base rule fails very short or very repetitive texts.  Beyond it one badness score, a weighted
+sum of the ratios, has one cutoff per stratum (language), chosen from labels.  Labelled texts are
+taken once each, however many copies they have, and fall by a hash of the text into two halves:
+
+* the first half fits: a ratio's weight is how far bad texts lie above good ones, in units of their
+  variance (none if they lie below), and a ladder of cutoffs runs from quantiles of the bad texts over
+  the middle between both down to quantiles of the stratum's good texts;
+* the second half tests the ladder from the loosest step to the strictest.  A step is accepted
+  while the exact binomial tail P(X <= false rejections | n, RISK) stays below ``DELTA`` divided by the
+  number of strata; the first failing step ends its ladder (fixed sequence, so steps need no further
+  correction).  Among accepted steps, all of which hold at once, the first half chooses the one that
+  separates its bad texts best (ties: the loosest).
+
+With confidence 1 - DELTA, in every stratum at once, at most the share RISK of good texts is rejected by
+the cutoffs.  A stratum needs about ln(DELTA / strata) / ln(1 - RISK) good texts in its second half (86
+with four strata); one with fewer gets no cutoff and rejects nothing beyond the base rule.
 
 Defined results: null and wordless texts have zero counts and fail the base rule; null language is
-a stratum of its own; rows repeat as given; an empty table gives no rows; missing or null labels
-only mean fewer tests; extra columns are ignored.
+a stratum of its own; a very long text is counted whole; rows repeat as given, and equal texts get equal
+verdicts in a stratum; a text that any label calls good is good; ties at a cutoff stay; an empty table
+gives no rows; missing or null labels only mean fewer tests; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +37,8 @@ from cartograph.session import materialize
 
 RISK, DELTA = 0.05, 0.05
 RATIOS = ("symbols", "repeats", "dup_lines", "capitals", "marks")
-LADDER = (0.9999, 0.999, 0.998, 0.995, 0.99, 0.985, 0.98, 0.97, 0.95)
+LADDER = (0.9999, 0.999, 0.998, 0.995, 0.99, 0.985, 0.98, 0.97, 0.95)  # of good texts
+BAD_LADDER = (0.5, 0.25, 0.1, 0.05, 0.01)  # of bad texts
 MAX_BROADCAST_STRATA = 100_000
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -95,8 +105,8 @@ def ratios() -> dict:
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id, stratum, counts, ratios and base_failed of every row (written, so counted once)."""
     counts = F.pandas_udf(text_counts, ", ".join(f"{c} long" for c in COUNTS))
-    counted = docs.select("doc_id", F.col("lang").alias("stratum"), counts("text").alias("c")) \
-        .select("doc_id", "stratum", "c.*")
+    counted = docs.select("doc_id", F.col("lang").alias("stratum"), F.xxhash64("text").alias("text_hash"), counts("text").alias("c")) \
+        .select("doc_id", "stratum", "text_hash", "c.*")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return materialize(counted.withColumns(ratios() | {"base_failed": failed}), "quality-counts")
 
@@ -111,50 +121,85 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return float(min(1.0, np.exp(logs).sum()))
 
 
-def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA,
-               ladder=LADDER) -> DataFrame:
-    """One row per stratum: stratum, n_good and the accepted cutoff of each ratio (null: none)."""
-    good = (measured.join(labels.where("quality = 1").select(F.col("doc_id").alias("__id")),
+def labelled_texts(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every labelled text that passes the base rule once: stratum, good, tune (first half) and its ratios."""
+    named = measured.join(labels.where("quality is not null").select(F.col("doc_id").alias("__id"), "quality"),
                           F.col("doc_id") == F.col("__id")).where("not base_failed")
-            .select("stratum", *RATIOS, (F.crc32(F.concat(F.lit("tune:"), F.col("doc_id").cast("string")))
-                                         % 2 == 0).alias("tune")))
-    good = materialize(good, "quality-good")
-    ladder_of = good.where("tune").groupBy("stratum").agg(
-        *[F.percentile_approx(r, [float(q) for q in ladder], F.lit(20_000)).alias(f"q_{r}") for r in RATIOS])
-    tested = good.where("not tune").alias("g").join(
-        ladder_of.withColumnRenamed("stratum", "__s"), F.col("stratum").eqNullSafe(F.col("__s")))
-    counts = materialize(tested.groupBy("stratum").agg(
-        F.count("*").alias("n_good"), *[F.any_value(f"q_{r}").alias(f"q_{r}") for r in RATIOS],
-        *[F.array(*[F.sum((F.col(r) > F.col(f"q_{r}")[i]).cast("long")) for i in range(len(ladder))]).alias(f"k_{r}")
-          for r in RATIOS]), "quality-ladder")
-    families = max(1, counts.count()) * len(RATIOS)
-    limit, level = risk / len(RATIOS), delta / families
+    return named.groupBy("stratum", "text_hash").agg(
+        (F.max("quality") == 1).alias("good"), *[F.any_value(r).alias(r) for r in RATIOS]) \
+        .withColumn("tune", F.pmod(F.xxhash64(F.lit("tune"), "text_hash"), F.lit(2)) == 0).drop("text_hash")
+
+
+def weights_of(texts: DataFrame) -> dict[str, float]:
+    """Weight of every ratio, from the first half: two rows of means and variances come back."""
+    rows = {r["good"]: r for r in texts.where("tune").groupBy("good").agg(
+        *[F.avg(r).alias(f"m_{r}") for r in RATIOS], *[F.var_pop(r).alias(f"v_{r}") for r in RATIOS]).collect()}
+    if len(rows) < 2:
+        return dict.fromkeys(RATIOS, 0.0)
+    good, bad = rows[True], rows[False]
+    return {r: max(0.0, bad[f"m_{r}"] - good[f"m_{r}"]) / (bad[f"v_{r}"] + good[f"v_{r}"] + 1e-9) for r in RATIOS}
+
+
+def badness(weights: dict[str, float]):
+    return sum((F.col(r) * F.lit(w) for r, w in weights.items()), F.lit(0.0))
+
+
+def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA,
+               ladder=LADDER) -> tuple[DataFrame, dict[str, float]]:
+    """One row per stratum (stratum, n_good, cutoff; null: none), and the weights of the ratios."""
+    texts = materialize(labelled_texts(measured, labels), "quality-labelled")
+    weights = weights_of(texts)
+    texts = texts.select("stratum", "good", "tune", badness(weights).alias("score"))
+    bad = texts.where("tune and not good").agg(F.percentile_approx("score", list(BAD_LADDER), F.lit(20_000)).alias("q")).first()["q"]
+    of_bad = F.array(*[F.lit(float(x)) for x in bad or []]).cast("array<double>")
+    of_good = F.percentile_approx("score", [float(q) for q in ladder], F.lit(20_000))
+    above = F.filter(of_bad, lambda x: x > F.col("q")[0])
+    steps = texts.where("tune and good").groupBy("stratum").agg(of_good.alias("q")).select(
+        F.col("stratum").alias("__s"), F.sort_array(F.array_distinct(F.concat(
+            of_bad, F.transform(above, lambda x: (x + F.col("q")[0]) / 2), "q")), asc=False).alias("steps"))
+    over = F.col("score") > F.col("cut")
+
+    def count(which: str):
+        return F.count_if(F.expr(which)), F.count_if(F.expr(which) & over)
+
+    parts = {"test": "good and not tune", "tune": "good and tune", "bad": "tune and not good"}
+    counts = (texts.join(steps, F.col("stratum").eqNullSafe(F.col("__s")))
+              .select("stratum", "good", "tune", "score", F.posexplode("steps").alias("step", "cut"))
+              .groupBy("stratum", "step", "cut").agg(*[c.alias(f"{k}{i}") for k, w in parts.items() for i, c in zip("nk", count(w))]))
+    names = [f"{k}{i}" for k in parts for i in "nk"]
+    runs = materialize(counts.groupBy("stratum").agg(F.array_sort(F.collect_list(F.struct("step", "cut", *names))).alias("run")),
+                       "quality-ladder")  # some twenty steps a stratum
+    level = delta / max(1, runs.count())
 
     @F.pandas_udf("double")
-    def climb(n: pd.Series, cuts: pd.Series, wrong: pd.Series) -> pd.Series:
-        out = []
-        for total, cs, ks in zip(n, cuts, wrong):
-            best = None
-            for c, k in zip(cs, ks):
-                if binomial_tail(int(k), int(total), limit) > level:
-                    break
-                best = float(c)
-            out.append(best)
-        return pd.Series(out, dtype="float64")
+    def climb(series: pd.Series) -> pd.Series:
+        return pd.Series([choose(run, risk, level) for run in series], dtype="float64")
+
+    useful = any(weights.values())
+    cutoff = climb("run") if useful else F.lit(None).cast("double")
+    return materialize(runs.select("stratum", F.col("run")[0]["testn"].alias("n_good"), cutoff.alias("cutoff")), "quality-cutoffs"), weights
+
 
-    return materialize(counts.select("stratum", "n_good", *[climb("n_good", f"q_{r}", f"k_{r}").alias(f"cut_{r}")
-                                                            for r in RATIOS]), "quality-cutoffs")
+def choose(run, risk: float, level: float) -> float | None:
+    """Best separating cutoff among the accepted steps of a ladder; None if not one is accepted."""
+    best, top = None, 0.0
+    for step in run:
+        if binomial_tail(int(step["testk"]), int(step["testn"]), risk) > level:
+            break
+        gain = step["badk"] / max(1, step["badn"]) - step["tunek"] / max(1, step["tunen"])
+        if best is None or gain > top:
+            best, top = float(step["cut"]), gain
+    return best
 
 
 def judge(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     """Counts, base_failed and kept of every row of ``docs`` (doc_id, text, lang)."""
     measured = measure(docs)
-    cuts = thresholds(measured, labels.select("doc_id", "quality"), **kw).withColumnRenamed("stratum", "__s").drop("n_good")
+    cuts, weights = thresholds(measured, labels.select("doc_id", "quality"), **kw)
+    cuts = cuts.select(F.col("stratum").alias("__s"), "cutoff")
     if cuts.count() <= MAX_BROADCAST_STRATA:
         cuts = F.broadcast(cuts)
-    over = F.lit(False)
-    for r in RATIOS:
-        over = over | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
+    over = F.coalesce(badness(weights) > F.col("cutoff"), F.lit(False))
     return (measured.join(cuts, F.col("stratum").eqNullSafe(F.col("__s")), "left")
             .withColumn("kept", ~F.col("base_failed") & ~over)
             .select("doc_id", *COUNTS[:5], "base_failed", "kept"))

@@ -136,3 +136,71 @@ def test_rules_control_false_rejections(spark, odd_docs, odd_rows, no_docs):
     want = [(r[0], *quality_brute(r[1])) for r in odd_rows if r[0] != 8]
     assert rows_of(none.where("doc_id is null or doc_id <> 8").select("doc_id", *quality.COUNTS[:5])) == sorted(want, key=repr)
     assert quality.judge(no_docs, lab).count() == 0
+
+
+def plain_verdicts(rows, labels):
+    """kept by a recomputation of the whole method in plain Python, given the library's halves and quantile rule."""
+    import numpy as np
+
+    counts = {t: quality.count_text(t) for _, t, _ in rows}
+
+    def ratios(t):
+        c = dict(zip(quality.COUNTS, counts[t]))
+        ch, w = max(c["word_chars"], 1), max(c["n_words"], 1)
+        return np.array([c["n_symbols"] / ch, c["n_repeat_words"] / w, c["n_dup_lines"] / max(c["n_lines"], 1), c["n_capitals"] / ch, c["n_marks"] / w])
+
+    def failed(t):
+        return counts[t][0] < 10 or 100 * counts[t][4] > 20 * counts[t][0]
+
+    seen = {}
+    for i, t, lang in rows:
+        if labels.get(i) is not None and not failed(t):
+            seen[lang, t] = max(seen.get((lang, t), 0), labels[i])
+    return ratios, failed, seen
+
+
+def test_verdicts_by_recomputation(spark):
+    """kept equals a plain recomputation; copies count once; the cutoff is a tested one."""
+    import numpy as np
+
+    rng = random.Random(8)
+    rows, labels = [], {}
+    for i in range(1200):
+        lang, bad = rng.choice(["en", "de", None, "xx"]), rng.random() < 0.15
+        words = prose(rng, rng.randint(12, 40)).split()
+        for _ in range(rng.randint(2, 6) if bad else rng.random() < 0.05):
+            words[rng.randrange(len(words))] += rng.choice("#*$%")
+        text = " ".join(words)
+        for c in range(30 if i == 3 else 1):  # one text with many copies
+            rows.append((len(rows), text, lang))
+            if lang != "xx" or i % 20 == 0:  # hardly any labels in a stratum
+                labels[rows[-1][0]] = int(not bad)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    measured = quality.measure(docs)
+    cuts, weights = quality.thresholds(measured, lab)
+    cut = {r["stratum"]: r["cutoff"] for r in cuts.collect()}
+    ratios, failed, seen = plain_verdicts(rows, labels)
+    half = {(r["lang"], r["text"]): r["tune"] for r in docs.select("lang", "text", (F.pmod(F.xxhash64(F.lit("tune"), F.xxhash64("text")), F.lit(2)) == 0).alias("tune")).collect()}
+    first = {k: g for k, g in seen.items() if half[k]}
+    by = {g: np.array([ratios(t) for (_, t), q in first.items() if q == g]) for g in (0, 1)}
+    want = np.maximum(0, by[0].mean(0) - by[1].mean(0)) / (by[0].var(0) + by[1].var(0) + 1e-9)
+    assert np.allclose([weights[r] for r in quality.RATIOS], want, rtol=1e-9)
+    assert cut["xx"] is None and all(cut[s] is not None for s in ("en", "de", None))
+    for s in ("en", "de", None):
+        test = [ratios(t) @ want for (lang, t), g in seen.items() if lang == s and g == 1 and not half[lang, t]]
+        wrong = sum(x > cut[s] for x in test)
+        assert quality.binomial_tail(wrong, len(test), quality.RISK) <= quality.DELTA / 4
+        good = [ratios(t) @ want for (lang, t), g in first.items() if lang == s and g == 1]
+        bad = [ratios(t) @ want for (lang, t), g in first.items() if lang == s and g == 0]
+        assert np.mean([x > cut[s] for x in bad]) - np.mean([x > cut[s] for x in good]) > 0.7
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.judge(docs, lab).collect()}
+    for i, t, s in rows:
+        over = cut[s] is not None and ratios(t) @ want > cut[s] + 1e-12
+        assert got[i] == (failed(t), not failed(t) and not over)
+
+
+def test_chosen_step():
+    step = lambda cut, testk, badk, tunek: {"cut": cut, "testn": 100, "testk": testk, "badn": 10, "badk": badk, "tunen": 100, "tunek": tunek}
+    run = [step(9.0, 0, 2, 0), step(5.0, 0, 9, 0), step(4.0, 0, 9, 0), step(1.0, 9, 10, 9)]
+    assert quality.choose(run, 0.05, 0.0125) == 5.0 and quality.choose(run, 0.05, 1e-9) is None
