@@ -6,6 +6,8 @@ twice or more are encoded once, in a dictionary table, and joined back to the do
 them; all other chunks are encoded where they stand.  A document's ids are its chunks' ids in
 order, with every join repaired: the words around it are encoded again across the join, over a
 window that doubles until its ids agree with the chunk ids on both sides (at last the whole text).
+A document with a join that the narrowest window doesn't settle is finished where it is scanned; for
+the others ids of their own chunks and digests of the shared ones are all that is kept, never the text.
 
 Which chunks may be shared is passed to the second scan as a bitmap of fixed size (SHARED_BITS,
 whatever the data's size): a stray bit only sends a chunk to the dictionary needlessly.
@@ -26,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.llm.wordbpe import WordBpe
+from cartograph.llm.wordbpe import ODD_SPACE, WordBpe, word_bpe
 from cartograph.session import materialize
 
 STEPS = (1, 2, 4, 8)
 ROLL = 16  # bytes the rolling hash sees: 1 + sum(STEPS)
 CUT_BITS = 9  # a cut every 2 ** CUT_BITS bytes on average
 SHARED_BITS = 1 << 25  # 4 MB
+SENT = 1_000_000  # digests of a task whose chunk it remembers to have passed on
 JOIN_WORDS = 1  # words on either side of a join that are encoded again first
 
 _rng = np.random.default_rng(20_240_607)
@@ -106,6 +109,33 @@ def shared_bitmap(docs: DataFrame) -> bytes:
     return bitmap.tobytes()
 
 
+def narrow(ids: bytes) -> bytes:
+    """Packed ids with two bytes each where all are below 2^16, behind a byte that names the size."""
+    wide_ids = np.frombuffer(ids, "<u4")
+    return b"\x02" + wide_ids.astype("<u2").tobytes() if wide_ids.max(initial=0) < 1 << 16 else b"\x04" + ids
+
+
+def wide(ids: bytes) -> bytes:
+    return ids[1:] if ids[0] == 4 else np.frombuffer(ids, "<u2", offset=1).astype("<u4").tobytes()
+
+
+def windows(left: bytes, right: bytes, n: int, bpe: WordBpe) -> tuple[bytes, bytes, bytes]:
+    """Ids of the last ``n`` words of ``left``, of the first ``n`` of ``right``, and of both across the join."""
+    a, b = left.rsplit(None, n)[-n:], right.split(None, n)[:n]
+    a, b = b" ".join(a).decode("utf-8", "replace"), b" ".join(b).decode("utf-8", "replace")
+    return bpe.encode(a), bpe.encode(b), bpe.encode_whole(a + left[len(left.rstrip()):].decode("utf-8") + b)
+
+
+def agree(left: bytes, right: bytes, bpe: WordBpe) -> bool:
+    """Whether the narrowest window settles a join.
+
+    The ids of a chunk without odd white space are those of its words in order, so they begin and
+    end with the ids of its first and last words.
+    """
+    tail, head, across = windows(left, right, JOIN_WORDS, bpe)
+    return across == tail + head
+
+
 def join_ids(parts: list[tuple[bytes, bytes]], bpe: WordBpe) -> bytes:
     """Ids of a text from (chunk, ids) parts, every join repaired until it agrees exactly."""
     if not parts:
@@ -114,10 +144,7 @@ def join_ids(parts: list[tuple[bytes, bytes]], bpe: WordBpe) -> bytes:
     for (left, left_ids), (right, right_ids) in zip(parts, parts[1:]):
         n = JOIN_WORDS
         while True:
-            a, b = left.rsplit(None, n)[-n:], right.split(None, n)[:n]
-            a, b = b" ".join(a).decode("utf-8", "replace"), b" ".join(b).decode("utf-8", "replace")
-            tail, head = bpe.encode(a), bpe.encode(b)
-            across = bpe.encode_whole(a + left[len(left.rstrip()):].decode("utf-8") + b)
+            tail, head, across = windows(left, right, n, bpe)
             if left_ids.endswith(tail) and right_ids.startswith(head) and across == tail + head:
                 out.append(right_ids)
                 break
@@ -143,56 +170,54 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str] = (), ids: bool
     spark = docs.sparkSession
     texts = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
     bitmap = spark.sparkContext.broadcast(shared_bitmap(texts.select(F.col("__text").alias("text"))))
-    out_type = "struct<n:long,ids:string,decoded:string,raw:binary,shared:array<struct<pos:int,digest:binary>>>"
+    out_type = ("struct<n:long,ids:string,decoded:string,raw:binary,"
+                "parts:array<struct<pos:int,own:binary,digest:binary,chunk:binary>>>")
 
     @F.pandas_udf(out_type)
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bits, bpe = np.frombuffer(bitmap.value, np.uint8), WordBpe(tokenizer_path)
+        bits, bpe, sent = np.frombuffer(bitmap.value, np.uint8), word_bpe(tokenizer_path), set()
         for series in parts:
             rows = []
             for text in series:
                 cut = chunks(text)
                 marks = [digest(c) for c in cut]
-                shared = [{"pos": i, "digest": d} for i, d in enumerate(marks) if (s := spot(d)) >= 0 and bits[s >> 3] >> (7 - (s & 7)) & 1]
-                if shared:
-                    rows.append((None, None, None, None, shared))
+                shared = [bool(bits[(s := spot(d)) >> 3] >> (7 - (s & 7)) & 1) for d in marks]
+                if any(shared) and not ODD_SPACE.search(text) and all(agree(a, b, bpe) for a, b in zip(cut, cut[1:])):
+                    if len(sent) > SENT:
+                        sent.clear()
+                    # a shared chunk's bytes leave the task once, for the dictionary
+                    rows.append((None, None, None, None, [
+                        (i, None, d, None if d in sent or sent.add(d) else c) if known else (i, narrow(bpe.encode(c.decode("utf-8"))), None, None)
+                        for i, (c, d, known) in enumerate(zip(cut, marks, shared))]))
                 else:
                     got = join_ids([(c, bpe.encode(c.decode("utf-8"))) for c in cut], bpe)
                     rows.append((*finish(got, bpe), got if ids else None, []))
-            yield pd.DataFrame(rows, columns=["n", "ids", "decoded", "raw", "shared"])
+            yield pd.DataFrame(rows, columns=["n", "ids", "decoded", "raw", "parts"])
 
-    scanned = texts.withColumn("__s", scan("__text")).withColumn("__row", F.monotonically_increasing_id())
-    scanned = materialize(scanned.withColumn("__text", F.when(F.col("__s.n").isNull(), F.col("__text"))), "bpe-scan")
+    scanned = texts.withColumn("__s", scan("__text")).drop("__text").withColumn("__row", F.monotonically_increasing_id())
+    scanned = materialize(scanned, "bpe-scan")
     waiting = scanned.where("__s.n is null")
-    refs = waiting.select("__row", "__text", F.explode("__s.shared").alias("c")).select("__row", "__text", "c.*")
+    refs = waiting.select("__row", F.explode("__s.parts").alias("c")).select("__row", "c.*").where("digest is not null")
 
     @F.pandas_udf("binary")
     def encode_chunk(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe(tokenizer_path)
+        bpe = word_bpe(tokenizer_path)
         for series in parts:
-            yield pd.Series([bpe.encode(c.decode("utf-8")) for c in series])
-
-    @F.pandas_udf("array<binary>")
-    def chunk_bytes(series: pd.Series) -> pd.Series:
-        return pd.Series([chunks(t) for t in series])
+            yield pd.Series([narrow(bpe.encode(c.decode("utf-8"))) for c in series])
 
-    first = (waiting.select(F.col("__s.shared").alias("shared"), chunk_bytes("__text").alias("cut"))
-             .select(F.explode(F.transform("shared", lambda x: F.struct(
-                 x["digest"].alias("digest"), F.col("cut")[x["pos"]].alias("chunk")))).alias("c"))
-             .groupBy("c.digest").agg(F.any_value("c.chunk").alias("chunk")))
+    first = refs.where("chunk is not null").groupBy("digest").agg(F.any_value("chunk").alias("chunk"))
     dictionary = materialize(first.select("digest", encode_chunk("chunk").alias("chunk_ids")), "bpe-dictionary")
     per_doc = (refs.select("__row", "pos", "digest").join(dictionary, "digest")
                .groupBy("__row").agg(F.collect_list(F.struct("pos", "chunk_ids")).alias("known")))
 
     @F.pandas_udf("struct<n:long,ids:string,decoded:string,raw:binary>")
     def assemble(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(tokenizer_path)
-        for texts_, knowns in parts:
+        bpe = word_bpe(tokenizer_path)
+        for owns, knowns in parts:
             rows = []
-            for text, known in zip(texts_, knowns):
+            for own, known in zip(owns, knowns):
                 table = {k["pos"]: k["chunk_ids"] for k in known}
-                got = join_ids([(c, table[i] if i in table else bpe.encode(c.decode("utf-8")))
-                                for i, c in enumerate(chunks(text))], bpe)
+                got = b"".join(wide(table[i] if c is None else c) for i, c in enumerate(own))
                 rows.append((*finish(got, bpe), got if ids else None))
             yield pd.DataFrame(rows, columns=["n", "ids", "decoded", "raw"])
 
@@ -203,5 +228,7 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str] = (), ids: bool
                 F.col(f"{c}.decoded").alias("decoded_sha256"), *([F.col(f"{c}.raw").alias("ids")] if ids else [])]
 
     done = scanned.where("__s.n is not null").select(*shown("__s"))
-    later = waiting.drop("__s").join(per_doc, "__row").withColumn("__a", assemble("__text", "known")).select(*shown("__a"))
+    own = F.transform("__s.parts", lambda x: x["own"])
+    later = (waiting.select(*cols, "__row", own.alias("__own")).join(per_doc, "__row")
+             .withColumn("__a", assemble("__own", "known")).select(*shown("__a")))
     return done.unionByName(later)
