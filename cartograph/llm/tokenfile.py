@@ -133,9 +133,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
             .withColumn("pid", F.spark_partition_id()))
 
     def encode(batches):
-        from cartograph.llm.wordbpe import WordBpe, pack
+        from cartograph.llm.wordbpe import pack, word_bpe
 
-        bpe, end = WordBpe(tokenizer_path), pack([end_id])
+        bpe, end = word_bpe(tokenizer_path), pack([end_id])
         ids, doc_ids, parts, size, seq, pid = [], [], [], 0, 0, 0
 
         def segment():

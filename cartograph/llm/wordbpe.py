@@ -10,8 +10,10 @@ to it whole.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
+from functools import lru_cache
 
 from tokenizers import Tokenizer
 
@@ -83,6 +85,17 @@ class WordBpe:
         return " ".join(map(self.names.__getitem__, unpack(ids)))
 
 
+@lru_cache(maxsize=2)
+def _loaded(path: str, size: int, changed: int) -> WordBpe:
+    return WordBpe(path)
+
+
+def word_bpe(path: str) -> WordBpe:
+    """The tokenizer of a file, kept with the words it knows for all tasks of a worker process."""
+    at = os.stat(path)
+    return _loaded(path, at.st_size, at.st_mtime_ns)
+
+
 def pack(ids) -> bytes:
     return array("I", ids).tobytes()
 
