@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def shape_of(docs: DataFrame, result: DataFrame) -> DataFrame:
     return result.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def keeps_columns(operator):
+    """For operators from documents to documents: ``docs`` may have columns under the names with ``__`` that
+    operators add; they are set aside under free names and come back unchanged, in the same order."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kw) -> DataFrame:
+        taken = set(docs.columns)
+        aside = {c: next(n for n in (f"aside{i}_{k}" for k in range(len(taken) + 1)) if n not in taken)
+                 for i, c in enumerate(docs.columns) if c.startswith("__")}
+        inner = docs.withColumnsRenamed(aside)
+        return shape_of(inner, operator(inner, *args, **kw)).withColumnsRenamed({v: k for k, v in aside.items()})
+
+    return run
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Smallest reachable id of every endpoint of ``edges`` (u, v): columns node, component.
 

@@ -20,7 +20,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import WORD_RE
+from cartograph.llm.common import WORD_RE, keeps_columns
 from cartograph.session import materialize
 
 DIMS = ("source", "lang", "topic")
@@ -156,6 +156,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: str
 MAX_BROADCAST_CELLS = 100_000
 
 
+@keeps_columns
 def sample(docs: DataFrame, **kw) -> DataFrame:
     """The sampled documents, with the columns of ``docs``."""
     return mix(docs, **kw).where("__sampled").select(*[F.col(f"`{c}`") for c in docs.columns])

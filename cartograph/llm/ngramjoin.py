@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import connected_components
+from cartograph.llm.common import connected_components, keeps_columns
 from cartograph.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
@@ -381,6 +381,7 @@ def classify(docs: DataFrame, **kw) -> DataFrame:
             .select("doc_id", "class_id", "n_links"))
 
 
+@keeps_columns
 def keep_one(docs: DataFrame, **kw) -> DataFrame:
     """One row of each class, its smallest doc_id, with the columns of ``docs``."""
     found = join(docs, **kw).select(F.col("h").alias("__h"), F.col("component").alias("__group"),

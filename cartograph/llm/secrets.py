@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartograph.llm.common import keeps_columns
 from cartograph.session import materialize
 
 SPANS = "array<struct<s:int,e:int>>"
@@ -131,6 +132,7 @@ def digest(rules) -> Column:
     return F.array_join(F.transform(F.array_sort(tagged), lambda x: F.concat_ws(":", x["n"], x["s"], x["e"])), ",")
 
 
+@keeps_columns
 def redact(docs: DataFrame, text: str = "text", rules=RULES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span found replaced by ``mask``; all rows and columns kept.
 

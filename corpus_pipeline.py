@@ -1,7 +1,13 @@
 """Corpus pipeline: toxicity, near-duplicates, secrets, mixture, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
-reread as the next stage's docs.  All but the last keep the columns of ``documents``.
+reread as the next stage's docs.  All but the last keep the columns of ``documents``, extra ones
+and such with names that operators use included.
+
+Defined results: null and empty texts are clean and equal to each other, so one of them stays; equal
+rows (and equal texts under different ids) leave one; null ids, languages and sources are values of
+their own; a very long text goes through every stage whole; an empty table gives no rows; without labels
+no document is toxic.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cartograph.llm import bpechunks, mixing, ngramjoin, secrets, toxicity
-from cartograph.llm.common import shape_of
+from cartograph.llm.common import keeps_columns
 from cartograph.session import materialize
 
 # toxicity scores are not SQL: run() is tested against a brute-force version
@@ -20,7 +26,7 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below one half stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    return shape_of(docs, toxicity.rate(docs, labels).where("__score < 0.5"))
+    return keeps_columns(lambda d: toxicity.rate(d, labels).where("__score < 0.5"))(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
