@@ -1,11 +1,15 @@
 """Toxicity scores: a Levenshtein automaton intersected with a trie of learned terms.
 
 Terms and weights come from a bounded sample of labelled rows (``SAMPLE_ROWS``): whole words and
-word beginnings that toxic texts hold significantly more often.  The terms form a trie; the product
+word beginnings that toxic texts hold significantly more often than their length makes likely (a
+long text holds more words of any kind).  The terms form a trie; the product
 of the trie with Levenshtein automata (budget by term length) is determinised on demand and run
 over each distinct word of a text, so misspelled terms are found without listing their variants.
-Each hit is weighed by its context window: inside quotation marks or after a reporting word it
-counts as a quotation.  A one-variable logistic curve fitted on the sample maps the sum to a score.
+Words with marks between their letters are also read without the marks, and runs of single
+letters as one word.  Each hit is weighed by its context window: inside quotation marks or after a
+reporting word it counts as a quotation.  A logistic curve of the sum of weights and the logarithm of the
+text's words, fitted on the sample, gives the score: what one hit says is not drowned by a long text's
+many chances, nor the other way round.
 
 Defined results: null and wordless texts have no hits and get the score of a text without hits;
 without labels of both classes every score is 0; repeated rows are scored alike; an empty table
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,9 @@ WINDOW = 80  # characters on either side that are read as context
 KNOWN = 400_000  # harmless words a worker remembers before it starts afresh
 
 WORD, RAW = re.compile(r"\w+"), re.compile(r"\S+")
+MARKED = re.compile(r"\w+(?:[^\w\s]+\w+)+")  # letters with marks between them
+SPACED = re.compile(r"(?<!\w)\w(?:[^\w\n]{1,2}\w(?!\w)){3,}")  # four single letters or more
+JOINERS = re.compile(r"[\W_]+")
 REPORT = re.compile(r"\b(said|says|quote[ds]?|called|wrote|dit|disait|sagte|schrieb|dijo|escribi\w+)\W*$")
 
 
@@ -127,6 +134,9 @@ def hits_of(text: str, automaton: Automaton, known: set) -> dict:
     hot: dict = {}
     for raw in set(low.split()) - known:
         found = [(w.start(), w.end(), hit) for w in WORD.finditer(raw) if (hit := automaton.look(w[0]))]
+        # marked words count as the term they hide, not as a word that begins like one
+        found += [(w.start(), w.end(), hit) for w in MARKED.finditer(raw)
+                  if (hit := {t: e for t, e in automaton.look(JOINERS.sub("", w[0])).items() if t[-1] != "*"})]
         if found:
             hot[raw] = found
         else:
@@ -140,9 +150,18 @@ def hits_of(text: str, automaton: Automaton, known: set) -> dict:
                 quoted = quotation(low, m.start() + a, m.start() + b)
                 for term, edits in hit.items():
                     out[term, edits, quoted] += 1
+    for m in SPACED.finditer(low):
+        for term, edits in automaton.look(JOINERS.sub("", m[0])).items():
+            if term[-1] != "*":
+                out[term, edits, quotation(low, m.start(), m.end())] += 1
     return out
 
 
+def size_of(text: str | None) -> float:
+    """Logarithm of the number of words, the curve's second input."""
+    return math.log1p(len((text or "").split()))
+
+
 def quotation(low: str, a: int, b: int) -> bool:
     """Is low[a:b] quoted: between quotation marks on its line, or after a reporting word?"""
     before, after = low[max(0, a - WINDOW):a].rpartition("\n")[2], low[b:b + WINDOW].partition("\n")[0]
@@ -204,22 +223,35 @@ def document_counts(rows: DataFrame, wanted: set) -> dict:
     return {r["f"]: r["n"] for r in counted.collect()}  # at most MAX_CANDIDATES rows
 
 
+def toxic_counts(rows: DataFrame, least: int) -> tuple[dict, dict]:
+    """The MAX_CANDIDATES words and beginnings that most texts of ``rows`` hold, ``least`` or more, with their number
+    of texts; and of the beginnings the number of distinct words.  Counted by Spark, no text leaves it."""
+
+    @F.pandas_udf("array<string>")
+    def held(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(set().union(*features(t))) for t in texts], dtype=object)
+
+    texts = materialize(rows.select(held("text").alias("f")), "toxicity-features").select(F.explode("f").alias("f"))
+    top = materialize(texts.groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+                      .orderBy(F.desc("n"), "f").limit(MAX_CANDIDATES), "toxicity-candidates")
+    words = texts.where(~F.col("f").endswith("*")).distinct()
+    stems = words.select(F.explode(F.array(*[F.when(F.length("f") > k, F.concat(F.substring("f", 1, k), F.lit("*"))) for k in STEMS])).alias("f"))
+    kinds = stems.where("f is not null").groupBy("f").agg(F.count("*").alias("kinds"))
+    got = top.join(kinds, "f", "left").collect()
+    return {r["f"]: r["n"] for r in got}, {r["f"]: r["kinds"] or 0 for r in got}
+
+
 def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     """Terms from a bounded sample, with its numbers of toxic and other texts."""
-    n_class = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pos, neg = n_class.get(1, 0), n_class.get(0, 0)
+    per = {r["toxic"]: r for r in sample.groupBy("toxic").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
+    pos, neg = (per[k]["n"] if k in per else 0 for k in (1, 0))
     if not pos or not neg:
         return [], pos, neg
-    hold, kinds = Counter(), defaultdict(set)
-    for r in sample.where("toxic = 1").select("text").collect():  # at most SAMPLE_ROWS
-        words, stems = features(r["text"])
-        hold.update(words | stems)
-        for w in words:
-            for k in STEMS:
-                if len(w) > k:
-                    kinds[w[:k] + "*"].add(w)
     least = max(3, math.ceil(SUPPORT * pos))
-    wanted = {f for f, n in hold.most_common(MAX_CANDIDATES) if n >= least}
+    hold, kinds = toxic_counts(sample.where("toxic = 1"), least)
+    wanted = set(hold)
+    # a text without the cause holds a rare feature in proportion to its length
+    share = (per[1]["chars"] or 1) / ((per[1]["chars"] or 1) + (per[0]["chars"] or 1))
 
     def lift(f, b, n):
         return (hold[f] + 0.5) / (pos + 1) / ((b + 0.5) / (n + 1))
@@ -230,12 +262,11 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     for rows in (sample.where(part == 0), sample.where(part != 0)):
         others.update(document_counts(rows.where("toxic = 0"), wanted))
         wanted = {f for f in wanted if lift(f, others[f], neg) >= 20}
-    share = pos / (pos + neg)
     level = math.log(0.01 / n_tests)
     scored = []
     for f in wanted:
         a, b = hold[f], others[f]
-        if tail(a, a + b, share) <= level and (f[-1] != "*" or len(kinds[f]) >= 5):
+        if tail(a, a + b, share) <= level and (f[-1] != "*" or kinds[f] >= 5):
             scored.append((f, a))
     stems: list[str] = []
     for f, _ in sorted((x for x in scored if x[0][-1] == "*"), key=lambda x: (len(x[0]), x[0])):
@@ -245,36 +276,40 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], int, int]:
     return (stems + words)[:MAX_TERMS], pos, neg
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of a ridge-damped logistic curve, by Newton steps."""
-    design, beta = np.stack([np.ones_like(x), x], 1), np.zeros(2)
+def fit_curve(*inputs: np.ndarray) -> tuple[float, ...]:
+    """Intercept and slopes of a ridge-damped logistic curve, by Newton steps; the last input is the class."""
+    *xs, y = inputs
+    design = np.stack([np.ones_like(y), *xs], 1)
+    k = design.shape[1]
+    beta = np.zeros(k)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         grad = design.T @ (y - p) - 0.01 * beta
-        hess = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2)
+        hess = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(k)
         step = np.linalg.solve(hess, grad)
         beta = beta + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0]), float(beta[1])
+    return tuple(map(float, beta))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
-    """Model: terms, weights by (term, edits), intercept and slope."""
+    """Model: terms, weights by (term, edits), intercept and slope of the curve, its slope by length."""
     sample = materialize(labelled_sample(docs, labels, rows).dropDuplicates(["text"]), "toxicity-sample")
     terms, pos, neg = learn_terms(sample)
     if not pos or not neg:
-        return {"terms": [], "weights": {}, "curve": (-30.0, 0.0)}
+        return {"terms": [], "weights": {}, "curve": (-30.0, 0.0), "length": 0.0}
 
     @F.pandas_udf("array<struct<t:string,e:int,q:boolean>>")
     def found(texts: pd.Series) -> pd.Series:
         automaton, known = Automaton(terms), set()
         return pd.Series([[{"t": t, "e": e, "q": q} for t, e, q in sorted(hits_of(s, automaton, known))] if s else [] for s in texts])
 
-    seen = [(r["toxic"], {(h["t"], h["e"], h["q"]) for h in r["h"]})
-            for r in sample.select("toxic", found("text").alias("h")).collect()]  # hits of at most SAMPLE_ROWS texts
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != ""))
+    seen = [(r["toxic"], {(h["t"], h["e"], h["q"]) for h in r["h"]}, math.log1p(r["w"]))
+            for r in sample.select("toxic", found("text").alias("h"), words.alias("w")).collect()]  # hits of at most SAMPLE_ROWS texts
     counts = [Counter(), Counter()]
-    for y, hits in seen:
+    for y, hits, _ in seen:
         counts[y].update({(t, e) for t, e, _ in hits})
     weights = {k: math.log((counts[1][k] + 0.5) / (pos + 1)) - math.log((counts[0][k] + 0.5) / (neg + 1))
                for k in counts[0] | counts[1]}
@@ -282,20 +317,30 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
         for e in range(budget(t) + 1):
             weights.setdefault((t, e), max(0.0, weights.get((t, 0), 0.0)) / (1 + e))
     weights = {k: max(0.0, w) for k, w in weights.items()}
-    x = np.array([total(h, weights) for _, h in seen])
-    return {"terms": terms, "weights": weights, "curve": fit_curve(x, np.array([float(y) for y, _ in seen]))}
+    x, y, size = (np.array(v, np.float64) for v in zip(*[(total(h, weights), c, n) for c, h, n in seen]))
+    hit = x > 0
+    if not hit.any():
+        return {"terms": terms, "weights": weights, "curve": fit_curve(x, y), "length": 0.0}
+    # texts with hits have the curve, the others their share of toxic texts in the sample
+    a, b, c = fit_curve(x[hit], size[hit], y[hit])
+    return {"terms": terms, "weights": weights, "curve": (a, b), "length": c, "no_hit": float((y[~hit].sum() + 0.5) / ((~hit).sum() + 1))}
 
 
 def score(model: dict):
     """Column function: text -> score in [0, 1]."""
-    terms, weights, (a, b) = model["terms"], model["weights"], model["curve"]
+    terms, weights, (a, b), c, none = model["terms"], model["weights"], model["curve"], model["length"], model.get("no_hit")
+
+    def chance(text: str | None, automaton: Automaton, known: set) -> float:
+        x = total(hits_of(text, automaton, known), weights) if text and terms else 0.0
+        if not x and none is not None:
+            return none
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x + c * size_of(text)))))
 
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         automaton, known = Automaton(terms), set()
         for texts in parts:
-            yield pd.Series([1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * (total(hits_of(t, automaton, known), weights) if t and terms else 0.0)))))
-                             for t in texts], dtype="float64")
+            yield pd.Series([chance(t, automaton, known) for t in texts], dtype="float64")
 
     return scored
 

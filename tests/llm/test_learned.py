@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,58 @@ def test_toxicity_learns_terms_stems_and_misspellings(spark, odd_rows, no_docs):
     assert {r["__score"] for r in toxicity.rate(docs, lab.limit(0)).collect()} == {1 / (1 + math.exp(30))}
 
 
+def test_marks_and_spaced_letters():
+    auto = toxicity.Automaton(["idiot", "trash", "lowe*"])
+    found = {t: {k[:2] for k in toxicity.hits_of(t, auto, set())} for t in (
+        "tr*sh", "tr.ash!", "(t-r-a-s-h)", "t r a s h", "so t. r. a. s. h. it is", "i d i o t s", "a b c d", "tr ash", "l.o.w.e.n", "x_idiot_x")}
+    assert found == {"tr*sh": {("trash", 1)}, "tr.ash!": {("trash", 0)}, "(t-r-a-s-h)": {("trash", 0)}, "t r a s h": {("trash", 0)},
+                     "so t. r. a. s. h. it is": {("trash", 0)}, "i d i o t s": {("idiot", 1)}, "a b c d": set(), "tr ash": set(),
+                     "l.o.w.e.n": set(), "x_idiot_x": set()}
+
+
+def test_scores_by_recomputation(spark):
+    """Every score from plain edit distances, the model's weights and its curve."""
+    rows, labels = labelled(random.Random(4), 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, lab)
+    (a, b), c = model["curve"], model["length"]
+
+    def plain(text):
+        best = {}
+        for w in re.findall(r"\w+", text.lower()):
+            for t in model["terms"]:
+                if t[-1] == "*":
+                    e = 0 if w.startswith(t[:-1]) and len(w) > len(t) - 1 else None
+                else:
+                    e = d if (d := distance(w, t)) <= toxicity.budget(t) else None
+                if e is not None:
+                    best[t, e] = model["weights"].get((t, e), 0.0)
+        x = sum(best.values())
+        return 1 / (1 + math.exp(-(a + b * x + c * math.log1p(len(text.split()))))) if x else model["no_hit"]
+
+    probes = [r[1] for r in rows[:40]] + ["grumphead", "a grumphaed and a snotlig", "blarghzz blarghb", "quiet words " * 60, "grumphead " + "quiet words " * 200]
+    got = spark.createDataFrame(list(enumerate(probes)), "i long, text string").select("i", toxicity.score(model)("text").alias("s")).collect()
+    assert all(abs(r["s"] - plain(probes[r["i"]])) < 1e-9 for r in got)
+    score = {probes[r["i"]]: r["s"] for r in got}
+    assert score["grumphead"] > 0.5 > score["quiet words " * 60] and score["grumphead " + "quiet words " * 200] > model["no_hit"]
+
+
+def test_length_alone_makes_no_term(spark):
+    """Toxic texts are five times as long here: common words of long texts are no terms."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(300):
+        words = prose(rng, 250 if i % 4 == 0 else 50).split()
+        words += [f"filler{rng.randrange(400)}" for _ in range(len(words) // 5)]
+        rows.append((i, " ".join(words + ["snotling"] * (i % 4 == 0)), "en", "a", 1))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert [t for t in model["terms"] if t[-1] != "*"] in ([], ["snotling"]) and not any(t.startswith("fill") for t in model["terms"])
+    assert any("snotling".startswith(t.rstrip("*")) for t in model["terms"])
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 def test_toxicity_held_out(spark):
     from cartograph.llm.queries import QUERIES
