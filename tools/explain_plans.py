@@ -96,7 +96,8 @@ def main():
         out += [f"## {title}", "", "```", plan, "```", ""]
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
-        fh.write("\n".join(out))
+        # literals in a plan may hold control characters (the trim set): shown escaped, so the file stays text
+        fh.write("".join(c if c in "\n\t" or ord(c) >= 32 else f"\\u{ord(c):04x}" for c in "\n".join(out)))
     print("wrote docs/PLANS.md")
 
 
