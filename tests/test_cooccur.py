@@ -135,3 +135,49 @@ def test_all_pairs_in_one_order(spark, tmp_out):
         assert lines[0] == f"{r.first_item_a},{r.first_item_b}\t{r.first_n_users}"
         got += lines
     assert got == want and len(index) > 1
+
+
+def test_ordered_lines_are_numbered_in_place(spark, tmp_out):
+    """Every line of every stretch of the files gets its place, and no line is shuffled for it."""
+    rng = random.Random(4)
+    rows = [(a, b, rng.randrange(1, 4)) for a in range(40) for b in range(a + 1, 120)]
+    pairs = spark.createDataFrame(rows, "item_a long, item_b long, n_users long").repartition(6)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "1000",
+            "spark.sql.files.openCostInBytes": "0"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        index = SK.write_cooccurrence_ordered(pairs, f"{tmp_out}/pairs")
+        lines = SK.read_ordered_lines(spark, f"{tmp_out}/pairs", index)
+        got = [tuple(r) for r in lines.orderBy("line").collect()]
+        assert lines.rdd.getNumPartitions() > 20 > index.count() > 1
+        plan = lines._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    want = [f"{a},{b}\t{n}" for a, b, n in sorted(rows, key=lambda r: (-r[2], r[0], r[1]))]
+    assert got == list(enumerate(want))
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+@pytest.mark.parametrize("far", [0, 1 << 40])
+@pytest.mark.parametrize("kw", [{}, {"pairs_per_task": 7, "repeats": 1 << 30}, {"repeats": 0}, {"block_size": 4, "pairs_per_task": 50}])
+def test_pairs_counted_by_any_route(spark, far, kw):
+    """Items cut by salts, baskets in blocks, counts before the shuffle, ids too far apart for offsets, null and repeated keys."""
+    rng = random.Random(5)
+    pairs = sorted({(u, rng.choice([-3, 1, 2, rng.randrange(40)])) for u in range(30) for _ in range(12)})
+    pairs = [(u, i + far * (i > 20)) for u, i in pairs]
+    e = _edges(spark, pairs)
+    nulls = spark.createDataFrame([(None, 1), (None, 2), (1, None), (2, None)], "user_id long, item_id long")
+    got = [tuple(r) for r in CO.item_cooccurrence(e.unionByName(nulls), **kw).collect()]
+    assert len(got) == len(set(got)) and {(a, b): n for a, b, n in got} == _brute(pairs)
+    twice = e.unionByName(e.where("item_id = 1"))
+    n1 = {(a, b): n for a, b, n in CO.item_cooccurrence(twice, **kw).collect()}
+    assert n1 == {k: n * (2 if 1 in k else 1) for k, n in _brute(pairs).items()}
+
+
+def test_counting_moves_lists_not_pairs(spark):
+    e = _edges(spark, [(u, (u * 37 + j * j * 11) % 5000) for u in range(100) for j in range(20)]).distinct()
+    plan = CO.item_cooccurrence(e, pairs_per_task=5000)._jdf.queryExecution().executedPlan().toString()
+    # the only shuffle is that of an item's lists; the opened pairs are counted where they are
+    assert plan.count("Exchange ") == 1 and "Exchange hashpartitioning(item_a" in plan and "Join" not in plan, plan
