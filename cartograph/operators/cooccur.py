@@ -13,7 +13,13 @@ Scale notes
   ``(p=h(a), q)`` and each right row to ``(p, q=h(b))``, so every item pair of
   the user meets in exactly one key, and no key produces more than about
   ``block_size**2`` pairs.  Light users keep ``s = 1`` (no replication).
-  Counting pairs is a partial+final aggregate right after the join.
+* Pair counts do not move pairs: a user's basket gives every item one row with the
+  later items as a list (:func:`pair_stripes`), offsets of 4 bytes where the ids
+  allow it.  The rows go to the task of their item, which opens the lists and counts;
+  the number of tasks follows the number of pairs (:data:`PAIRS_PER_TASK`), and an
+  item with more pairs than that is cut by a hash of the other item.  Where the same
+  few pairs come again and again (:data:`REPEATS`), lists are opened and counted
+  before the shuffle instead.
 """
 
 from __future__ import annotations
@@ -31,6 +37,13 @@ DEFAULT_MAX_LIST = 1 << 20
 DEFAULT_PAIR_BLOCK = 4096
 # (key, nsplit) rows are 12 bytes: 1M rows is a ~12 MB broadcast
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# a counted pair takes ~100 bytes of a task's hash table: 2M pairs are ~200 MB
+PAIRS_PER_TASK = 2_000_000
+# a small input's tasks hold at least so many pairs; beyond MAX_PAIR_TASKS tasks they grow instead
+LEAST_PAIRS_PER_TASK = 50_000
+MAX_PAIR_TASKS = 20_000
+# pairs per possible pair from which on counting before the shuffle moves less than lists
+REPEATS = 256
 # sampled members a segment of a split list, and cuts looked at in one run
 SAMPLE_PER_SEGMENT, CUT_RUN = 64, 32
 
@@ -137,11 +150,67 @@ def item_pairs(edges: DataFrame, block_size: int = DEFAULT_PAIR_BLOCK) -> DataFr
             .select("user_id", "item_a", "item_b"))
 
 
-def item_cooccurrence(edges: DataFrame, block_size: int = DEFAULT_PAIR_BLOCK) -> DataFrame:
+def _pair_blocks(edges: DataFrame, block_size: int) -> DataFrame:
+    """``(user_id, nsplit, p, items)``: sorted items of every basket, cut into the hash blocks of :func:`item_pairs`."""
+    e = _split_counts(edges.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()), "user_id", block_size)
+    h = F.pmod(F.xxhash64("item_id"), F.col("nsplit")).cast("int")
+    return e.groupBy("user_id", "nsplit", h.alias("p")).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+
+
+def pair_stripes(blocks: DataFrame, split: bool = True) -> DataFrame:
+    """``(item_a, others)``: for every item of a block of :func:`_pair_blocks` the items of the same user that
+    pair with it, all above it but for repeats of itself.  ``split``: is any basket cut into blocks?"""
+    light = (blocks.where("nsplit = 1").select("items", F.posexplode("items").alias("pos", "item_a"))
+             .where(F.col("pos") < F.size("items") - 1)
+             .select("item_a", F.slice("items", F.col("pos") + 2, F.size("items")).alias("others")))
+    if not split:
+        return light
+    heavy = blocks.where("nsplit > 1")
+    fan = F.explode(F.sequence(F.lit(0), F.col("nsplit") - 1))
+    left = heavy.select("user_id", F.col("items").alias("mine"), "p", fan.alias("q"))
+    right = heavy.select("user_id", "items", F.col("p").alias("q"), fan.alias("p"))
+    split = (left.join(right, ["user_id", "p", "q"]).select("items", F.explode("mine").alias("item_a"))
+             .select("item_a", F.filter("items", lambda x: x > F.col("item_a")).alias("others")).where(F.size("others") > 0))
+    return light.unionByName(split)
+
+
+def item_cooccurrence(edges: DataFrame, block_size: int = DEFAULT_PAIR_BLOCK, pairs_per_task: int = PAIRS_PER_TASK,
+                      repeats: int = REPEATS) -> DataFrame:
     """``(item_a, item_b, n_users)``: how many users hold both items (a < b)."""
-    return (item_pairs(edges, block_size)
-            .groupBy("item_a", "item_b")
-            .agg(F.count(F.lit(1)).alias("n_users")))
+    blocks = materialize(_pair_blocks(edges, block_size), "pair-blocks")
+    # pairs an item is the smaller one of; all items of the user where its basket is split
+    after = F.when(F.col("nsplit") == 1, F.size("items") - F.col("pos") - 1).otherwise(F.col("nsplit") * block_size)
+    loads = materialize(
+        blocks.select("items", "nsplit", F.posexplode("items").alias("pos", "item_a"))
+        .groupBy("item_a").agg(F.sum(after.cast("long")).alias("load"), F.max("nsplit").alias("nsplit")), "pair-loads")
+    n_pairs, n_items, low, high, split, n_heavy = loads.agg(
+        F.coalesce(F.sum("load"), F.lit(0)), F.count(F.lit(1)), F.min("item_a"), F.max("item_a"),
+        F.coalesce(F.max("nsplit") > 1, F.lit(False)), F.count_if(F.col("load") > pairs_per_task)).first()
+    low = low if n_items and high - low < 1 << 31 else None  # base of 4-byte offsets
+    if low is not None:
+        blocks = blocks.withColumn("items", F.transform("items", lambda x: (x - F.lit(low)).cast("int")))
+    stripes, key = pair_stripes(blocks, split), ["item_a"]
+    if 2 * n_pairs < repeats * n_items * (n_items - 1):
+        if n_heavy:
+            heavy = loads.where(F.col("load") > pairs_per_task).select(  # at most n_pairs / pairs_per_task rows
+                (F.col("item_a") - F.lit(low)).cast("int").alias("item_a") if low is not None else "item_a",
+                F.ceil(F.col("load") / F.lit(pairs_per_task)).cast("int").alias("nsalt"))
+            side = F.broadcast(heavy) if n_heavy <= DEFAULT_BROADCAST_ROWS else heavy
+            salts = F.sequence(F.lit(0), F.coalesce("nsalt", F.lit(1)) - 1)
+            cut = F.when(F.col("nsalt").isNull(), F.col("others")).otherwise(
+                F.filter("others", lambda x: F.pmod(F.xxhash64(x), F.col("nsalt")) == F.col("salt")))
+            key = ["item_a", "salt"]
+            stripes = (stripes.join(side, "item_a", "left").withColumn("salt", F.explode(salts))
+                       .select("item_a", cut.alias("others"), "salt").where(F.size("others") > 0))
+        cores = edges.sparkSession.sparkContext.defaultParallelism
+        wanted = max(-(-n_pairs // pairs_per_task), min(cores, -(-n_pairs // LEAST_PAIRS_PER_TASK)))
+        stripes = stripes.repartition(min(MAX_PAIR_TASKS, max(1, wanted)), *key)
+    # a pair has one salt: grouped with it, its count needs no second shuffle
+    counts = (stripes.select(*key, F.explode("others").alias("item_b")).where(F.col("item_a") < F.col("item_b"))
+              .groupBy(*key, "item_b").agg(F.count(F.lit(1)).alias("n_users")))
+    if low is None:
+        return counts.select("item_a", "item_b", "n_users")
+    return counts.select(*[(F.col(c).cast("long") + F.lit(low)).alias(c) for c in ("item_a", "item_b")], "n_users")
 
 
 def top_item_pairs(cooccurrence: DataFrame, limit: int = TOP_PAIRS) -> DataFrame:
