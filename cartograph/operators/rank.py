@@ -25,9 +25,12 @@ Scale design (see :func:`walks`):
   replicated to each salt, so no join key holds more than ``block_size`` edges;
 * a node without out-edges has one block that leads back to the target: its
   mass restarts there with no bookkeeping in the turn;
-* the blocks are bucketed on ``(src_kind, src_id, salt)``, so each turn shuffles
+* the blocks are bucketed on their ``place``, so each turn shuffles
   only the (smaller) vector into the buckets and the blocks stream through a
-  shuffle-hash join without being re-sorted;
+  shuffle-hash join without being re-sorted.  A block's place is a hash of its node;
+  that of a salted node's block is its salt's remainder, hence a hash of the neighbours alone: all
+  that salted nodes give to one neighbour is summed in one bucket, so a turn moves
+  one row a neighbour and not one a neighbour and bucket;
 * a turn is one job: join -> union with the old vector and the restart rows
   -> one ``groupBy(target, node)`` that yields the new and the old score; each
   target's change and row count are collected with an ``Observation`` while the
@@ -62,6 +65,9 @@ MAX_BUCKETS = 50_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
 # nodes above the block size; the block size grows with the graph to keep them fewer
 MAX_HEAVY = 1_000_000
+# places a bucket (they fall into buckets by hash), and least edges a place of a salted node
+PLACES_PER_BUCKET = 4
+EDGES_PER_PLACE = 64
 # targets of one loop: a turn observes two values for each
 TARGETS_PER_WALK = 64
 _NODE = ["kind", "id"]
@@ -246,7 +252,7 @@ SELECT target, kind, id, sum(rst) + {alpha} * sum(inc) AS score, sum(old) AS old
 FROM (
   SELECT target, if(d.kind < 0, {user}, d.kind) AS kind, if(d.kind < 0, target, d.id) AS id, inc, 0D AS rst, 0D AS old
   FROM (SELECT /*+ {join_hint}(v) */ v.target, v.score / CAST(e.out_deg AS DOUBLE) AS inc, explode(e.dsts) AS d
-        FROM {edges} e JOIN ({sent}) v ON e.src_kind = v.kind AND e.src_id = v.id AND e.salt = v.salt)
+        FROM {edges} e JOIN ({sent}) v ON e.src_kind = v.kind AND e.src_id = v.id AND e.salt = v.salt{same_place})
   UNION ALL
   SELECT target, kind, id, 0D, 0D, score FROM {vec}
   {restart}
@@ -254,19 +260,28 @@ FROM (
 """
 
 
-def _turn_sql(tag: str, edges: str, targets: list[int], alpha: float, join_hint: str, salted: bool) -> str:
-    """A turn from ``<tag>_vec`` for the ``targets`` that are in the graph; ``<tag>_heavy`` names the salts."""
+def _place(kind: str, node: str, salt: str, nsalt: str, places: int) -> str:
+    """Where a block lies: by its neighbours for a salted node (``nsalt`` not null), else by the node."""
+    return f"if({nsalt} IS NULL, hash({kind}, {node}), {salt} % {places})"
+
+
+def _turn_sql(tag: str, edges: str, targets: list[int], alpha: float, join_hint: str, salted: bool, places: int = 0) -> str:
+    """A turn from ``<tag>_vec`` for the ``targets`` that are in the graph; ``<tag>_heavy`` names the salts.
+    ``places``: those of salted nodes in a bucketed table, 0 for blocks without places."""
     sent = f"SELECT target, kind, id, score, 0 AS salt FROM {tag}_vec"
     if salted:
-        sent = (f"SELECT /*+ BROADCAST(h) */ target, kind, id, score, explode(sequence(0, coalesce(nsalt, 1) - 1)) AS salt "
+        sent = (f"SELECT /*+ BROADCAST(h) */ target, kind, id, score, nsalt, explode(sequence(0, coalesce(nsalt, 1) - 1)) AS salt "
                 f"FROM {tag}_vec LEFT JOIN {tag}_heavy h USING (kind, id)")
+    if places:
+        nsalt = "nsalt" if salted else "NULL"
+        sent = f"SELECT target, kind, id, score, salt, {_place('kind', 'id', 'salt', nsalt, places)} AS place FROM ({sent})"
     restart = ""
     if targets:
         rows = ", ".join(f"CAST({t} AS BIGINT)" for t in targets)
         restart = (f"UNION ALL SELECT t, {USER}, t, 0D, CAST({1.0 - alpha!r} AS DOUBLE), 0D "
                    f"FROM (SELECT explode(array({rows})) AS t)")
     return _TURN_SQL.format(alpha=repr(float(alpha)), user=USER, edges=edges, vec=f"{tag}_vec", sent=sent, restart=restart,
-                            join_hint=join_hint)
+                            join_hint=join_hint, same_place=" AND e.place = v.place" if places else "")
 
 
 def bucket_count(n_edges: int, parallelism: int) -> int:
@@ -303,17 +318,28 @@ def walks(graph: DataFrame, targets: Iterable[int], alpha: float = RANK_ALPHA, m
     nodes = materialize(node_table(graph, block_size), "rank-nodes")
     n_edges = nodes.agg(F.coalesce(F.sum("out_deg"), F.lit(0))).first()[0]
     block_size = max(block_size, -(-n_edges // MAX_HEAVY))
-    heavy = heavy_nodes(nodes, block_size)
-    extra = heavy.agg(F.sum(F.col("nsalt") - 1)).first()[0] if heavy is not None else 0
     parts = partitions or bucket_count(n_edges, spark.sparkContext.defaultParallelism)
+    places = PLACES_PER_BUCKET * parts
+    # salted for its size, or because its neighbours hear from many nodes; salts a multiple of the places
+    least = min(block_size, max(EDGES_PER_PLACE * places, -(-n_edges // MAX_HEAVY)))
+    heavy = heavy_nodes(nodes, least)
+    extra = 0
+    if heavy is not None:
+        spread = places * F.ceil(F.col("out_deg") / F.lit(block_size * places)).cast("int")
+        heavy = materialize(heavy.withColumn("nsalt", spread), "rank-heavy")
+        extra = heavy.agg(F.sum(F.col("nsalt") - 1)).first()[0]
     own = loop_session(spark, parts)
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # buckets by place serve the whole join key
     tag = scratch_path(spark, "rank").rsplit("/", 1)[1].replace("-", "_")
     edges_table = f"spark_catalog.default.{tag}_edges"
-    loop = _Loop(own, tag, edges_table, alpha, max_iter, tol, parts, broadcast_rows, keep_turns, heavy is not None, extra)
+    loop = _Loop(own, tag, edges_table, alpha, max_iter, tol, parts, broadcast_rows, keep_turns, heavy is not None, extra, places)
     out = WalksResult(scores=spark.createDataFrame([], _VEC_SCHEMA), nodes=nodes, iterations={}, converged={},
                       in_graph={t: False for t in targets}, changes={})
     try:
-        _write_bucketed(adjacency_blocks(graph, nodes, block_size, heavy, parts), edges_table, parts, scratch_path(spark, "rank-edges"))
+        blocks = adjacency_blocks(graph, nodes, block_size, heavy, parts)
+        nsalt = "NULL" if heavy is None else f"if(out_deg > {least}, 1, NULL)"
+        blocks = blocks.withColumn("place", F.expr(_place("src_kind", "src_id", "salt", nsalt, places)))
+        _write_bucketed(blocks.repartition(parts, "place"), edges_table, parts, scratch_path(spark, "rank-edges"))
         if heavy is not None:
             own.read.schema(heavy.schema).parquet(*heavy.inputFiles()).createOrReplaceTempView(f"{tag}_heavy")
         for i in range(0, len(targets), TARGETS_PER_WALK):
@@ -340,6 +366,7 @@ class _Loop:
     keep_turns: bool
     salted: bool
     extra_salts: int
+    places: int
 
     def run(self, targets: list[int], nodes: DataFrame, out: WalksResult) -> None:
         own, spark = self.session, nodes.sparkSession
@@ -354,7 +381,7 @@ class _Loop:
             for turn in range(1, self.max_iter + 1):
                 vec.createOrReplaceTempView(f"{self.tag}_vec")
                 hint = "BROADCAST" if sum(rows[t] for t in active) + self.extra_salts * len(active) <= self.broadcast_rows else "SHUFFLE_HASH"
-                new = own.sql(_turn_sql(self.tag, edges, [t for t in active if t in known], self.alpha, hint, self.salted))
+                new = own.sql(_turn_sql(self.tag, edges, [t for t in active if t in known], self.alpha, hint, self.salted, self.places))
                 live, obs = F.col("score") != 0, Observation(f"rank-turn-{turn}")
                 mine = {t: F.col("target") == F.lit(t) for t in active}
                 new = new.observe(obs, *[F.max(F.when(w, F.abs(F.col("score") - F.col("old")))).alias(f"change_{i}")
@@ -386,7 +413,7 @@ class _Loop:
                     if sum(rows[t] for t in active) <= self.broadcast_rows:
                         reached = F.broadcast(reached)
                     inside = own.table(self.edges_table).join(reached, ["src_kind", "src_id"], "left_semi")
-                    _write_bucketed(inside.repartition(self.parts, "src_kind", "src_id", "salt"), closed_table, self.parts,
+                    _write_bucketed(inside.repartition(self.parts, "place"), closed_table, self.parts,
                                     scratch_path(spark, "rank-edges"))
                     edges = closed_table
         finally:
@@ -397,8 +424,8 @@ class _Loop:
 
 def _write_bucketed(blocks: DataFrame, table: str, parts: int, path: str) -> None:
     """Blocks as an external table in the shared folder, bucketed on the join
-    keys: a turn reads it already partitioned and moves only the vector."""
-    blocks.write.bucketBy(parts, "src_kind", "src_id", "salt").option("path", path).saveAsTable(table)
+    keys' place: a turn reads it already partitioned and moves only the vector."""
+    blocks.write.bucketBy(parts, "place").option("path", path).saveAsTable(table)
 
 
 def seen_items(edges: DataFrame, target: int) -> DataFrame:

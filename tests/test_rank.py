@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartograph.operators import rank as R
 
@@ -231,3 +232,29 @@ def test_no_join_of_edges_with_nodes(spark):
     nodes = R.node_table(graph, 16).cache()
     plan = R.adjacency_blocks(graph, nodes, 16, R.heavy_nodes(nodes, 16))._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_salted_nodes_give_to_a_neighbour_from_one_bucket(spark, monkeypatch):
+    """Many nodes with the same neighbours: all they give to one neighbour lies in one bucket, so a turn moves it once."""
+    monkeypatch.setattr(R, "EDGES_PER_PLACE", 2)
+    seen, write = [], R._write_bucketed
+
+    def spy(blocks, table, parts, path):
+        write(blocks, table, parts, path)
+        seen.append(blocks.sparkSession.read.parquet(path).select(
+            "src_kind", "place", F.explode("dsts").alias("d"), F.expr(f"pmod(hash(place), {parts})").alias("bucket")).cache())
+        seen[-1].count()
+
+    monkeypatch.setattr(R, "_write_bucketed", spy)
+    pairs = [(u, i) for u in range(1, 200) for i in range(1000, 1012) if (u + i) % 5]
+    for kw in ({}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "block_size": 16}):
+        seen.clear()
+        many = R.walks(R.bipartite_edges(_edges(spark, pairs)), [1, 2, 3], max_iter=6, tol=0.0, partitions=3, **kw)
+        for t in (1, 2, 3):
+            _, want = _walk_by_hand(pairs, t, tol=0.0, max_iter=6)
+            assert {(r.kind, r.id): r.score for r in many.of(t).scores.collect()} == pytest.approx(want, abs=1e-12)
+        for blocks in seen:
+            per = blocks.where(F.col("src_kind") == R.ITEM).groupBy("d.kind", "d.id").agg(F.count_distinct("bucket").alias("n"))
+            assert per.count() == 199 and per.agg(F.max("n")).first()[0] == 1
+            assert blocks.select("bucket").distinct().count() > 1
+    assert not [t for t in spark.catalog.listTables() if "rank" in t.name]
