@@ -1,5 +1,6 @@
 """HTML extraction: block reading, wrapper inference and whole pages."""
 
+import json
 import random
 import re
 
@@ -100,3 +101,80 @@ def test_template_of_each_layout_from_all_pages(spark):
             want[i] = f"Title {i}\n{own}\nmore of {i}"
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     assert {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()} == want
+
+
+def test_fields_of_merged_layouts_decide(spark):
+    """Every page has a layout of its own; the path of the notice holds a page's own text elsewhere."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(32):
+        own = [f"{i} {part} " + prose(rng, 8) for part in ("title", "lead", "h2", "pre", "quote", "dl", "end")]
+        if i == 9:
+            own[-1] = "Call us about our offers"  # the notice's words as a page's own text
+        parts = [("h1", True), ("p", True), ("h2", i & 2), ("pre", i & 4), ("blockquote", i & 8), ("dl", i & 16), ("div", True)]
+        kept = [(tag, text) for (tag, here), text in zip(parts, own) if here]
+        notice = "<div>Call us about our offers</div>" if i & 1 else ""
+        rows.append((i, "https://many.example.org/", f"<article>{notice}{''.join(f'<{t}>{x}</{t}>' for t, x in kept)}</article>"))
+        want[i] = "\n".join(x for _, x in kept)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()} == want
+
+
+def random_streams(rng):
+    base = [rng.choice("abcde") for _ in range(rng.randint(0, 9))]
+    for _ in range(rng.randint(2, 6)):
+        yield [c for x in base if rng.random() < 0.85 for c in x * rng.choice([1, 1, 1, 2, 3])] * rng.choice([1, 1, 2])
+
+
+def test_merged_wrapper_reads_all_streams_as_its_expression():
+    rng = random.Random(4)
+    letters = {c: c for c in "abcde"}
+    for _ in range(300):
+        streams = list(random_streams(rng))
+        layouts, merged = [wrappers.folded(s) for s in streams], []
+        for nodes, fields in layouts:
+            assert [wrappers.tokens_of(nodes)[f] for f in fields] == streams[len(merged)]
+            merged.append(nodes if not merged else wrappers.merge(merged[-1], nodes))
+        machine, pattern = wrappers.automaton(merged[-1]), re.compile(wrappers.expression(merged[-1], letters))
+        for s in streams:
+            assert [wrappers.tokens_of(merged[-1])[f] for f in wrappers.reads(machine, s)] == s and pattern.fullmatch("".join(s))
+        for _ in range(10):
+            s = [rng.choice("abcde") for _ in range(rng.randint(0, 6))]
+            assert (wrappers.reads(machine, s) is not None) == bool(pattern.fullmatch("".join(s))), (s, pattern.pattern)
+
+
+def test_repeats_of_parts_of_several_lengths_are_one_group():
+    nodes, fields = wrappers.folded("a h p p h p h p p p z".split())
+    assert wrappers.expression(nodes, {c: c for c in "ahpz"}) == "a(?:h(?:p)+)+z" and fields == [0, 1, 2, 2, 1, 2, 1, 2, 2, 2, 3]
+
+
+def test_layouts_of_a_host_merge_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "FAN", 2)
+    rows = []
+    for host in ("x", "y"):
+        for i in range(20):
+            stream = ["n", "h1", "p", *[t for k, t in enumerate(("a", "b", "c", "d", "e")) if i >> k & 1], "f"] if host == "x" else ["q"] * (i > 9) + ["r"] * (i < 12)
+            nodes = wrappers.fold(stream)
+            rows.append((host, wrappers.number(json.dumps(nodes)), json.dumps(nodes, separators=(",", ":"))))
+    rows = sorted(set(rows))
+    got = wrappers.infer_wrappers(spark.createDataFrame(rows + [("z", 1, None)], "host string, layout long, nodes string")).collect()
+    assert sorted((r["host"], r["layout"]) for r in got) == [r[:2] for r in rows]
+    assert len({r["wrapper"] for r in got if r["host"] == "x"}) == 1
+    nodes = {(h, n): json.loads(x) for h, n, x in rows}
+    tokens = {}
+    for r in got:  # one token for each field of a wrapper
+        for field, token in zip(r["fields"], wrappers.tokens_of(nodes[r["host"], r["layout"]]), strict=True):
+            assert tokens.setdefault((r["host"], r["wrapper"], field), token) == token
+
+
+def test_layouts_too_wide_to_merge_have_their_own_template(spark):
+    rng = random.Random(2)
+    tags = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(wrappers.WIDTH + 50)]
+    rows, want = [], {}
+    for i in range(10):
+        own = [f"{t} {i}" for t in tags]
+        main = "".join(f"<div class='{t}'>{x}</div>" for t, x in zip(tags, own))
+        rows.append((i, "https://wide.example.org/", f"<article><section>Sign up</section>{main}</article>"))
+        want[i] = "\n".join(own)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()} == want
