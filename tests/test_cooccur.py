@@ -1,13 +1,16 @@
 import itertools
 import os
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cartograph import sinks as SK
 from cartograph.operators import cooccur as CO
+from cartograph.session import materialize, tidy_session
 
 
 def _edges(spark, pairs):
@@ -160,6 +163,72 @@ def test_ordered_lines_are_numbered_in_place(spark, tmp_out):
     assert "Window" not in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_ordering_moves_few_bytes_a_pair(spark, tmp_out):
+    """Pairs get into order as packed stretches: a row of 36 bytes took 7 or more of them compressed."""
+    n = 300_000
+    pairs = spark.range(n).select((F.col("id") * 7919 % n).alias("i")).select(
+        (F.col("i") % 600).alias("item_a"), (600 + F.col("i") / 600 * 13).cast("long").alias("item_b"),
+        F.when(F.col("i") % 11 == 0, 2).otherwise(1).cast("long").alias("n_users"))
+    pairs.write.parquet(f"{tmp_out}/table")
+    before = _shuffle_files(spark)
+    SK.write_cooccurrence_ordered(spark.read.parquet(f"{tmp_out}/table"), f"{tmp_out}/pairs")
+    moved = sum(size for name, size in _shuffle_files(spark).items() if name not in before)
+    assert moved < 3 * n
+
+
+@pytest.mark.parametrize("span", [40, 1 << 33, 1 << 62])
+def test_packed_pairs_in_order(spark, span):
+    """Small and wide ids, repeated pairs, stretches of one pair and partitions within equal counts."""
+    rng = random.Random(span)
+    rows = [(rng.randrange(-span, span), rng.randrange(-span, span), rng.randrange(1, 4)) for _ in range(3000)]
+    rows += [(-(1 << 63), (1 << 63) - 1, 1), ((1 << 63) - 1, -(1 << 63), 1)] * (span > 1 << 40)
+    pairs = spark.createDataFrame(rows, "item_a long, item_b long, n_users long").repartition(5)
+    want = sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
+    for kw in ({}, {"pairs_per_run": 170, "pairs_per_row": 7}, {"pairs_per_run": 900, "pairs_per_row": 1}):
+        out = CO.ordered_pairs(pairs, **kw)
+        parts = out.rdd.glom().map(lambda p: [tuple(r) for r in p]).collect()
+        assert [r for p in parts for r in p] == want
+        if kw:
+            assert max(map(len, parts)) < 3 * kw["pairs_per_run"]
+    assert CO.ordered_pairs(pairs.limit(0)).collect() == []
+    with pytest.raises(Exception, match="has a null"):
+        CO.ordered_pairs(spark.createDataFrame([(1, None, 1)], pairs.schema)).collect()
+
+
+def test_ordered_query(spark, tmp_out):
+    """The whole query over small tables: every line in its place, in files of the order."""
+    from cartograph.plans.catalog import q_write_cooccurrence_ordered
+    rng = random.Random(6)
+    spark.createDataFrame([(o, o % 37) for o in range(300)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_out}/orders.parquet")
+    items = [(o, rng.randrange(60), rng.choice("ANR")) for o in range(300) for _ in range(4)]
+    (spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_returnflag string")
+     .withColumn("l_shipdate", F.lit("1995-03-01").cast("timestamp")).write.parquet(f"{tmp_out}/lineitem.parquet"))
+    got = [tuple(r) for r in q_write_cooccurrence_ordered(spark, tmp_out).orderBy("line").collect()]
+    counts = _brute({(o % 37, i) for o, i, _ in items})
+    want = [f"{a},{b}\t{n}" for (a, b), n in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))]
+    assert got == list(enumerate(want))
+
+
+def test_tidy_session_frees_shuffles(spark):
+    """Shuffle files of a write in a tidy session go with it; the caller's settings stay."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, own, before = spark.conf.get(setting), tidy_session(spark), set(_shuffle_files(spark))
+    kept = materialize(spark.range(1000).repartition(3), "shuffled")
+    assert materialize(own.range(1000).repartition(3), "shuffled").count() == kept.count() == 1000
+    for _ in range(50):
+        left = {name.split("_")[1] for name in _shuffle_files(spark) if name not in before}
+        if len(left) <= 1:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1 and spark.conf.get(setting) == was
+
+
 @pytest.mark.parametrize("far", [0, 1 << 40])
 @pytest.mark.parametrize("kw", [{}, {"pairs_per_task": 7, "repeats": 1 << 30}, {"repeats": 0}, {"block_size": 4, "pairs_per_task": 50}])
 def test_pairs_counted_by_any_route(spark, far, kw):
